@@ -16,18 +16,23 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# A failed cast throws (and catches) a JVM exception per value; a regex test
+# in front keeps bad or empty tokens on the cheap path.
+INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+DOUBLE_TEXT = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[dDfF]?\s*$"
+
+
 def to_int(c: Column) -> Column:
-    return c.try_cast("int")
+    return F.when(c.rlike(INT_TEXT), c.try_cast("int"))
 
 
 def to_long(c: Column) -> Column:
-    return c.try_cast("bigint")
+    return F.when(c.rlike(INT_TEXT), c.try_cast("bigint"))
 
 
 def to_double(c: Column) -> Column:
-    d = c.try_cast("double")
-    # NaN / Infinity spelled out in a feed are not numbers we can average.
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    # Digits only: "NaN" / "Infinity" spelled out in a feed are not taken.
+    return F.when(c.rlike(DOUBLE_TEXT), c.try_cast("double"))
 
 
 def to_date(c: Column, fmt: str = DATE_FORMAT) -> Column:

@@ -13,13 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsevents.session import apply_runtime_defaults
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_runtime_defaults(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

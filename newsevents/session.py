@@ -17,8 +17,23 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
+# Runtime SQL settings the operators are tuned for. The 58-column feed parse
+# fuses into one generated method; past ~8 KB of bytecode the JVM will not
+# JIT it, so such a stage is better run without whole-stage fusion.
+RUNTIME_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    """Set ``RUNTIME_CONF`` on a session the caller built, unless already set."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key, None) in (None, "65535"):
+            spark.conf.set(key, value)
+
 
 def get_spark(app: str = "newsevents", master: str | None = None,
               shuffle_partitions: int | None = None,
@@ -28,6 +43,7 @@ def get_spark(app: str = "newsevents", master: str | None = None,
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    settings.update(RUNTIME_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

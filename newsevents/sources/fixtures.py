@@ -12,14 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsevents.operators.dataflow import spread
 from newsevents.schema import EVENT_WIDTH
 from newsevents.sources.tables import table
 
-EMPTY = F.lit("")
+def _empty() -> Column:
+    return F.lit("")
 
 
 def _s(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), EMPTY)
+    return F.coalesce(c.cast("string"), _empty())
 
 
 def _num2(c: Column) -> Column:
@@ -34,8 +36,8 @@ def _page_urls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 
 def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with the 58 feed fields as strings ``f0..f57``."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-               "l_quantity", "l_discount", "l_returnflag", "l_linestatus")
+    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                      "l_quantity", "l_discount", "l_returnflag", "l_linestatus"))
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
@@ -56,7 +58,7 @@ def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ln = F.col("l_linenumber")
     day = F.date_format("o_orderdate", "yyyyMMdd")
-    f = [EMPTY] * EVENT_WIDTH
+    f = [_empty()] * EVENT_WIDTH
     f[0] = _s(F.col("l_orderkey") * 8 + ln)
     f[1], f[2] = day, F.date_format("o_orderdate", "yyyyMM")
     f[3] = F.date_format("o_orderdate", "yyyy")
@@ -71,14 +73,14 @@ def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     f[33] = F.when(ln == 7, F.lit("x")).otherwise(_s(ln))
     f[34] = _num2(F.col("l_discount"))
     for start, typ, name, key in ((35, "1", "cn_name", "c_nationkey"), (42, "1", "sn_name", "s_nationkey")):
-        f[start:start + 7] = [F.lit(typ), _s(F.col(name)), _s(F.col(name)), EMPTY,
-                              _s(F.col(key)), _s(-F.col(key)), EMPTY]
+        f[start:start + 7] = [F.lit(typ), _s(F.col(name)), _s(F.col(name)), _empty(),
+                              _s(F.col(key)), _s(-F.col(key)), _empty()]
     open_line = F.col("l_linestatus") != "F"
-    geo = [F.lit("4"), _s(F.col("cn_name")), _s(F.col("cn_name")), EMPTY,
-           _s(F.col("c_nationkey")), _s(-F.col("c_nationkey")), EMPTY]
-    f[49:56] = [F.when(open_line, g).otherwise(EMPTY) for g in geo]
+    geo = [F.lit("4"), _s(F.col("cn_name")), _s(F.col("cn_name")), _empty(),
+           _s(F.col("c_nationkey")), _s(-F.col("c_nationkey")), _empty()]
+    f[49:56] = [F.when(open_line, g).otherwise(_empty()) for g in geo]
     f[56] = day
-    f[57] = F.when(ln % 2 == 1, _s(F.col("url"))).otherwise(EMPTY)
+    f[57] = F.when(ln % 2 == 1, _s(F.col("url"))).otherwise(_empty())
     return j.select(*[c.alias(f"f{i}") for i, c in enumerate(f)])
 
 
@@ -93,8 +95,8 @@ GRAPH_HEADER = "\t".join(["DATE", "NUMARTS", "COUNTS", "THEMES", "LOCATIONS", "P
 
 
 def _location(key: Column, name: Column) -> Column:
-    return F.concat_ws("#", F.lit("1"), name, name, EMPTY, key.cast("string"),
-                       (-key).cast("string"), EMPTY)
+    return F.concat_ws("#", F.lit("1"), name, name, _empty(), key.cast("string"),
+                       (-key).cast("string"), _empty())
 
 
 def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFrame:
@@ -138,7 +140,7 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
         F.date_format("o_orderdate", "yyyyMMdd"),
         n_lines.cast("string"),
         F.concat(F.lit("ORDER#"), n_lines.cast("string"), F.lit("#"), F.col("n_name"), F.lit(";")),
-        F.when(F.size(themes) > 0, F.concat(F.array_join(themes, ";"), F.lit(";"))).otherwise(EMPTY),
+        F.when(F.size(themes) > 0, F.concat(F.array_join(themes, ";"), F.lit(";"))).otherwise(_empty()),
         F.array_join(locs, ";"),
         _s(F.col("c_name")),
         F.array_join(F.coalesce(F.col("orgs"), F.array().cast("array<string>")), ";"),
