@@ -48,4 +48,4 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 # Importing the query modules fills the registry.
-from newsevents.plans import q_events, q_graph  # noqa: E402,F401
+from newsevents.plans import q_articles, q_events, q_graph  # noqa: E402,F401
