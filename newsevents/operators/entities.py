@@ -36,7 +36,8 @@ def entity_counts(graph: DataFrame) -> DataFrame:
     return tagged_entities(graph).groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n"))
 
 
-RANK_ORDER = [F.desc("n"), F.asc("entity")]
+def _rank_order():
+    return [F.desc("n"), F.asc("entity")]
 
 
 def entity_top_n(counts: DataFrame, n: int | None = None) -> DataFrame:
@@ -44,9 +45,10 @@ def entity_top_n(counts: DataFrame, n: int | None = None) -> DataFrame:
     if n is not None:
         if n < 1:
             raise ValueError("n must be positive")
-        w = Window.partitionBy("kind").orderBy(*RANK_ORDER)
-        return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-                .select("kind", "rank", "entity", "n"))
+        w = Window.partitionBy("kind").orderBy(*_rank_order())
+        # Filter on the bare row_number so Spark inserts a partial WindowGroupLimit.
+        return (counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+                .select("kind", F.col("_rn").cast("bigint").alias("rank"), "entity", "n"))
     return global_rank(counts)
 
 

@@ -48,4 +48,4 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 # Importing the query modules fills the registry.
-from newsevents.plans import q_articles, q_clusters, q_events, q_graph, q_text  # noqa: E402,F401,I001
+from newsevents.plans import q_articles, q_clusters, q_events, q_graph, q_io, q_text  # noqa: E402,F401,I001

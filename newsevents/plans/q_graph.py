@@ -45,8 +45,8 @@ g AS (
 
 @register("graph_parse", GRAPH_BASE + """
 SELECT date, num, 1 AS n_counts, 'ORDER#' || num || '#' || cn_name AS first_count,
-       n_themes, 1 + n_snat AS n_locations, 1 AS n_persons, c_name AS first_person,
-       n_orgs AS n_organizations, num AS n_cameos, 1 AS n_sources,
+       CAST(n_themes AS INTEGER) AS n_themes, CAST(1 + n_snat AS INTEGER) AS n_locations,
+       1 AS n_persons, c_name AS first_person, CAST(n_orgs AS INTEGER) AS n_organizations, num AS n_cameos, 1 AS n_sources,
        o_orderpriority AS first_source, 2 AS n_urls
 FROM g""")
 def q_graph_parse(spark, sf_dir):
