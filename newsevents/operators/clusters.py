@@ -28,8 +28,10 @@ def fit_clusters(vectors: DataFrame, k: int | None = None, features: str = "feat
     """Fit ``pyspark.ml`` k-means; the input is persisted for the iterations."""
     data = vectors.select(features).persist()
     try:
-        if k is None:
-            k = default_k(n if n is not None else data.count())
+        n = n if n is not None else data.count()
+        k = default_k(n) if k is None else k
+        if n < k:
+            raise ValueError(f"k-means needs at least k={k} documents, got {n}")
         return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(data)
     finally:
         data.unpersist()

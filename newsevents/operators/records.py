@@ -15,30 +15,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsevents import schema as S
-from newsevents.functions.parsing import (blank_to_null, convert, non_blank_items,
-                                           split_all, to_date, to_double, to_int,
-                                           to_long)
+from newsevents.functions.parsing import (convert, non_blank_items, split_all, to_date,
+                                           to_double, to_int, to_long)
 
 Tok = Callable[[int], Column]
 
 
-def _event_columns(tok: Tok) -> list[Column]:
-    cols = [convert(tok(i), t).alias(n) for i, n, t in S.EVENT_HEAD]
+def _event_columns(tok: Tok, blanks_are_null: bool) -> list[Column]:
+    def conv(c: Column, kind: str) -> Column:
+        # A scan that already maps empty fields to null keeps string leaves as
+        # bare columns, so filters on them reach the scan (PushedFilters).
+        return c if (blanks_are_null and kind == "string") else convert(c, kind)
+
+    cols = [conv(tok(i), t).alias(n) for i, n, t in S.EVENT_HEAD]
     for start, name in ((S.ACTOR1_START, "actor1"), (S.ACTOR2_START, "actor2")):
-        cols.append(F.struct(*[blank_to_null(tok(start + j)).alias(f)
+        cols.append(F.struct(*[conv(tok(start + j), "string").alias(f)
                                for j, f in enumerate(S.ACTOR_FIELDS)]).alias(name))
-    cols += [convert(tok(i), t).alias(n) for i, n, t in S.EVENT_MIDDLE]
+    cols += [conv(tok(i), t).alias(n) for i, n, t in S.EVENT_MIDDLE]
     for start, name in ((S.ACTOR1_GEO_START, "actor1_geo"), (S.ACTOR2_GEO_START, "actor2_geo"),
                         (S.EVENT_GEO_START, "event_geo")):
-        cols.append(F.struct(*[convert(tok(start + j), t).alias(f)
+        cols.append(F.struct(*[conv(tok(start + j), t).alias(f)
                                for j, (f, t) in enumerate(S.GEO_FIELDS)]).alias(name))
-    cols += [convert(tok(i), t).alias(n) for i, n, t in S.EVENT_TAIL]
+    cols += [conv(tok(i), t).alias(n) for i, n, t in S.EVENT_TAIL]
     return cols
 
 
-def events_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None) -> DataFrame:
-    """Typed event rows from any token source (``tok(i)`` = column ``i`` as string)."""
-    return df.select(*(keep or []), *_event_columns(tok))
+def events_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None,
+                       blanks_are_null: bool = False) -> DataFrame:
+    """Typed event rows from any token source (``tok(i)`` = column ``i`` as string).
+
+    ``blanks_are_null``: the source already turned empty fields into null
+    (the CSV scan does), so string fields need no conversion.
+    """
+    return df.select(*(keep or []), *_event_columns(tok, blanks_are_null))
 
 
 def parse_events(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -54,7 +63,7 @@ def parse_events(lines: DataFrame, value: str = "value", keep: list[str] | None
 
 def parse_event_csv_columns(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed event rows from the 58 string columns of a CSV scan."""
-    return events_from_tokens(df, lambda i: F.col(f"_c{i}"), keep)
+    return events_from_tokens(df, lambda i: F.col(f"_c{i}"), keep, blanks_are_null=True)
 
 
 def _struct_or_null(c: Column, fields: list[str]) -> Column:

@@ -20,7 +20,7 @@ def read_event_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     return (spark.read.schema(S.raw_event_schema())
             .option("sep", "\t").option("quote", "").option("escape", "")
-            .option("mode", "PERMISSIVE").option("header", "false")
+            .option("nullValue", "").option("mode", "PERMISSIVE").option("header", "false")
             .csv(path))
 
 
