@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -18,3 +19,14 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def explode_items(array: Column, pos: bool = False) -> Column:
+    """``explode`` of a computed array without Catalyst's inferred size filter.
+
+    For a plain ``explode`` the optimizer adds ``size(array) > 0`` and pushes
+    it down - past a ``spread`` repartition, so the whole array expression
+    runs twice, once in the single scan task. ``explode_outer`` infers
+    nothing; callers drop the null item rows (empty arrays) afterwards.
+    """
+    return F.posexplode_outer(array) if pos else F.explode_outer(array)

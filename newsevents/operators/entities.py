@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsevents.operators.dataflow import explode_items
 from newsevents.schema import ENTITY_KINDS
 from newsevents.session import cut_lineage
 
@@ -28,7 +29,8 @@ def tagged_entities(graph: DataFrame) -> DataFrame:
 
     parts = [F.transform(F.coalesce(F.col(col), F.array().cast("array<string>")), tag(kind))
              for kind, col in ENTITY_KINDS]
-    return graph.select(F.explode(F.concat(*parts)).alias("_e")).select("_e.kind", "_e.entity")
+    return (graph.select(explode_items(F.concat(*parts)).alias("_e"))
+            .where(F.col("_e").isNotNull()).select("_e.kind", "_e.entity"))
 
 
 def entity_counts(graph: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsevents.operators.entities import entity_counts, entity_top_n
 from newsevents.operators.records import parse_graph
+from newsevents.operators.dataflow import explode_items
 from newsevents.plans.catalog import register
 from newsevents.sources.fixtures import graph_lines
 
@@ -78,8 +79,8 @@ FROM g JOIN snat ON g.o_orderkey = snat.l_orderkey""")
 def q_graph_locations(spark, sf_dir):
     """``;`` list of ``#`` records -> array of structs, one row per location."""
     g = parsed_graph(spark, sf_dir)
-    return (g.select("date", "num", F.posexplode("locations").alias("pos", "loc"))
-            .select("date", "num", "pos", "loc.*"))
+    return (g.select("date", "num", explode_items(F.col("locations"), pos=True).alias("pos", "loc"))
+            .where(F.col("loc").isNotNull()).select("date", "num", "pos", "loc.*"))
 
 
 @register("graph_tones", GRAPH_BASE + """
@@ -100,7 +101,8 @@ SELECT g.date, 1 AS pos, p.url FROM g JOIN pages p ON p.page_id = (g.o_orderkey
 def q_graph_urls(spark, sf_dir):
     """``<UDIV>``-separated url list, one row per url."""
     g = parsed_graph(spark, sf_dir)
-    return g.select("date", F.posexplode("urls").alias("pos", "url"))
+    return (g.select("date", explode_items(F.col("urls"), pos=True).alias("pos", "url"))
+            .where(F.col("url").isNotNull()))
 
 
 ENTITY_SQL = GRAPH_BASE + """

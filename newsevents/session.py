@@ -54,6 +54,30 @@ def get_spark(app: str = "newsevents", master: str | None = None,
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (once per context).
+
+    The one Arrow UDF (the stemmer) lives in this package; executors need it
+    on their path. ``addPyFile`` serves a zip of the package from the driver,
+    as ``spark-submit --py-files`` would.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_newsevents_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="newsevents-pyfiles-"), "newsevents.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._newsevents_shipped = True
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
