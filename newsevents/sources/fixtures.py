@@ -30,10 +30,11 @@ def _num2(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
-def _page_urls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+def _page_urls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Pages and their count, the count as a scalar subquery inside the plan."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
-    # A scalar: parquet answers it from footers.
-    return pages, pages.count()
+    n = table(spark, sf_dir, "pages", "page_id").agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    return pages, n
 
 
 def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,7 @@ def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(cn, F.col("c_nationkey") == cn.cn_key)
          .join(sn, F.col("s_nationkey") == sn.sn_key)
          .join(part, F.col("l_partkey") == part.p_partkey)
-         .withColumn("_page", F.pmod(F.col("l_orderkey"), F.lit(max(n_pages, 1))))
+         .withColumn("_page", F.pmod(F.col("l_orderkey"), n_pages))
          .join(pages, F.col("_page") == pages.page_id, "left"))
 
     ln = F.col("l_linenumber")
@@ -111,7 +112,6 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     part = table(spark, sf_dir, "part", "p_partkey", "p_type")
     nation = F.broadcast(table(spark, sf_dir, "nation", "n_nationkey", "n_name"))
     pages, n_pages = _page_urls(spark, sf_dir)
-    n_pages = max(n_pages, 1)
 
     # Per order: bounded by the order's line count.
     per_order = (li.join(supp, li.l_suppkey == supp.s_suppkey)
@@ -128,8 +128,8 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     j = (orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
          .join(cust, F.col("o_custkey") == cust.c_custkey)
          .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-         .withColumn("_p1", F.pmod(F.col("o_orderkey"), F.lit(n_pages)))
-         .withColumn("_p2", F.pmod(F.col("o_orderkey") + 1, F.lit(n_pages)))
+         .withColumn("_p1", F.pmod(F.col("o_orderkey"), n_pages))
+         .withColumn("_p2", F.pmod(F.col("o_orderkey") + 1, n_pages))
          .join(u1, F.col("_p1") == u1.u1_id, "left")
          .join(u2, F.col("_p2") == u2.u2_id, "left"))
     n_lines = F.coalesce(F.col("n_lines"), F.lit(0))

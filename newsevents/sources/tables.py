@@ -3,9 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+# Parquet schema inference runs a small Spark job per read; the driver's
+# tables are read-only, so each path's schema is inferred once per process.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; naming the columns keeps the scan's ReadSchema narrow."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
