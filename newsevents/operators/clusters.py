@@ -32,7 +32,16 @@ def fit_clusters(vectors: DataFrame, k: int | None = None, features: str = "feat
         k = default_k(n) if k is None else k
         if n < k:
             raise ValueError(f"k-means needs at least k={k} documents, got {n}")
-        return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(data)
+        try:
+            return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(data)
+        except Exception as err:  # noqa: BLE001
+            # With fewer distinct points than k (many empty or identical
+            # articles) initialisation yields fewer than k centers, which the
+            # block trainer does not survive; the row trainer copes.
+            if "ArrayIndexOutOfBounds" not in str(err):
+                raise
+            return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features,
+                          solver="row").fit(data)
     finally:
         data.unpersist()
 
