@@ -27,7 +27,7 @@ from newsevents.operators.entities import entity_counts, entity_top_n  # noqa: E
 from newsevents.operators.pairs import pair_daily_avg  # noqa: E402
 from newsevents.operators.trend import assert_series, moving_average, pair_trend  # noqa: E402
 from newsevents.operators.tfidf import analyze, tfidf_vectors  # noqa: E402
-from newsevents.session import get_spark  # noqa: E402
+from newsevents.session import cut_lineage, get_spark  # noqa: E402
 from newsevents.sinks.writers import (write_articles, write_event_json, write_points,  # noqa: E402
                                       write_ranked, write_series, write_tsv)
 from newsevents.sources.feeds import read_articles, read_events, read_series  # noqa: E402
@@ -68,11 +68,11 @@ def job_extract_content(spark, a):
 def job_cluster(spark, a):
     docs = read_articles(spark, os.path.join(a.dir, "content")).select(
         F.col("cameo"), F.coalesce("content", F.lit("")).alias("text"))
-    vec = tfidf_vectors(analyze(docs), num_features=a.features).persist()
+    terms = cut_lineage(analyze(docs).select("cameo", "terms"))
+    vec = tfidf_vectors(terms, num_features=a.features)
     model = fit_clusters(vec, k=a.k)
     write_points(predict(model, vec), os.path.join(a.dir, "points"))
     model_cost(model, spark).write.mode("overwrite").json(os.path.join(a.dir, "cost"))
-    vec.unpersist()
 
 
 def main(argv=None):
