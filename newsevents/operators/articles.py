@@ -45,14 +45,16 @@ def article_paragraphs(html: Column) -> Column:
 
 
 def extract_articles(pages: DataFrame, html: str = "html", parallel: int | None = None) -> DataFrame:
-    """``pages`` + ``title``, ``paragraphs`` and ``content`` (paragraphs joined).
+    """``pages`` + ``fetched``, ``title``, ``paragraphs`` and ``content``.
 
-    A null page (failed fetch) gives null title and content. ``parallel``
-    spreads a small, unsplittable input over that many tasks (D1).
+    A null page (failed fetch) gives ``fetched = false`` and null title and
+    content. Filter on ``fetched``, not on ``content``: a filter on the
+    computed text would be pushed below the repartition and evaluated a
+    second time. ``parallel`` spreads a small, unsplittable input (D1).
     """
     clean = strip_noise(F.col(html))
     title = tidy_text(F.regexp_extract(clean, TITLE, 1))
-    src = spread(pages, parallel)
+    src = spread(pages, parallel).withColumn("fetched", F.col(html).isNotNull())
     out = src.withColumn("paragraphs", article_paragraphs(F.col(html)))
     return (out.withColumn("title", F.when(F.col(html).isNotNull(), title))
             .withColumn("content", F.when(F.col(html).isNotNull(),
@@ -69,6 +71,6 @@ def attach_content(events: DataFrame, articles: DataFrame, url: str = "source_ur
     URL cited by a large share of events (skew join).
     """
     ev = events.where(F.col(url).isNotNull()).select(key, F.col(url).alias("_url"))
-    arts = (articles.where(F.col("content").isNotNull())
-            .select(F.col("url").alias("_url"), "title", "content"))
+    ok = F.col("fetched") if "fetched" in articles.columns else F.col("content").isNotNull()
+    arts = articles.where(ok).select(F.col("url").alias("_url"), "title", "content")
     return ev.join(arts, "_url", "inner").select(key, "title", "content")

@@ -104,9 +104,9 @@ def _location(key: Column, name: Column) -> Column:
 
 def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFrame:
     """Knowledge-graph lines (column ``value``): one per order, plus a header line."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_totalprice", "o_orderpriority")
+    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    orders = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
+                          "o_totalprice", "o_orderpriority"))
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     part = table(spark, sf_dir, "part", "p_partkey", "p_type")
