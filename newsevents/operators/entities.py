@@ -58,8 +58,9 @@ def global_rank(counts: DataFrame, partitions: int | None = None) -> DataFrame:
     """Dense row numbers per kind over a distributed sort (no single-task window).
 
     1. range-partition on (kind, -n, entity) and sort within partitions;
-    2. tag each row with its partition and position, and checkpoint (ids must
-       not change between the two uses below, and the lineage is cut);
+    2. tag each row with its partition and position, and write the result to
+       the shared folder (``cut_lineage``): the ids must not change between
+       the two uses below;
     3. per (partition, kind): row count and first position - at most
        partitions x kinds rows, a proven bound, so it is broadcast;
     4. rank = rows of the kind in earlier partitions + position in own.

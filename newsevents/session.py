@@ -98,7 +98,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, name) if "://" not in root else root.rstrip("/") + "/" + name
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)  # makes sure a checkpoint dir is registered
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "cut"):
+    """Materialise ``df`` as a Parquet table in the shared folder and read it back.
+
+    One pass over the input (an eager ``checkpoint()`` computes it twice:
+    once to count, once to write), the result survives executor loss, and
+    later stages see real file statistics. Used before iterative work and
+    wherever non-deterministic ids must stay fixed.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

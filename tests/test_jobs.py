@@ -33,3 +33,33 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     assert spark.read.parquet(out + "/x/json").count() == 40
     jobs.job_cluster(spark, type("A", (), {"dir": out + "/x", "k": 2, "features": 64}))
     assert spark.read.option("sep", "\t").csv(out + "/x/points").count() == 40
+
+
+def test_write_ranked_one_pass_rank_order(spark, tmpdir_path):  # K2, Q25
+    from newsevents.sinks.writers import write_ranked
+    counts = spark.createDataFrame([("theme", f"t{i}", i % 7) for i in range(50)] +
+                                   [("person", "p1", 3), ("person", "p2", 9)],
+                                   "kind string, entity string, n bigint")
+    out = os.path.join(tmpdir_path, "ranked")
+    write_ranked(counts, out)
+    assert sorted(d for d in os.listdir(out) if d.startswith("kind=")) == ["kind=person", "kind=theme"]
+    themes = []
+    for f in sorted(os.listdir(os.path.join(out, "kind=theme"))):
+        if f.startswith("part-"):
+            with open(os.path.join(out, "kind=theme", f)) as fh:
+                themes += [line.rstrip("\n").split("\t") for line in fh]
+    ns = [int(n) for _, n in themes]
+    assert len(themes) == 50 and ns == sorted(ns, reverse=True)
+
+
+def test_cli_pair_trend(spark, tmpdir_path):
+    feed = os.path.join(tmpdir_path, "events")
+    os.makedirs(feed)
+    lines = [event_line(c0=str(i), c1=f"201409{(i % 9) + 1:02d}", c30=str(i), c37="RS", c44="UP")
+             for i in range(30)]
+    with open(os.path.join(feed, "f.CSV"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    out = os.path.join(tmpdir_path, "trend")
+    jobs.main(["pair-trend", feed, out, "--c1", "RS", "--c2", "UP", "--window", "3"])
+    rows = spark.read.option("sep", "\t").csv(out).collect()
+    assert len(rows) == 9
