@@ -120,3 +120,13 @@ def test_event_json_leaves_out_nulls(spark, tmpdir_path):  # K5, X15
     write_event_json(parse_events(lines_df(spark, [event_line(c0="1", c37="FR")])), path)
     js = spark.read.parquet(path).first().json
     assert '"actor1_geo":{"country_code":"FR"}' in js and "event_geo" not in js and "actor2" not in js
+
+
+def test_json_records_given_or_inferred_schema(spark):  # S5, P5, X16
+    from newsevents.sources.feeds import json_records
+    df = spark.createDataFrame([(1, '{"k": 69, "tag": "x"}'), (2, '{"k": 3}'), (3, "not json")],
+                               "id long, props string")
+    got = {r.id: r.k for r in json_records(df, "props", "k int").select("id", "props.k").collect()}
+    assert got == {1: 69, 2: 3, 3: None}
+    inferred = json_records(df, "props", sample='{"k": 1, "tag": "y"}')
+    assert {r.id: r.tag for r in inferred.select("id", "props.tag").collect()} == {1: "x", 2: None, 3: None}
