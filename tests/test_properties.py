@@ -48,3 +48,23 @@ def test_entity_counts_sum_to_list_sizes_under_any_partitioning(spark, records,
     assert (counts.groupBy().sum("n").first()[0] or 0) == total
     again = entity_counts(parse_graph(df.repartition(parts + 2)))
     assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, again.collect()))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.text(alphabet="ab1é'’. -,x", max_size=40), min_size=1, max_size=30))
+def test_tokenizer_equals_token_pattern(spark, texts):
+    import regex
+
+    from newsevents.functions.text import TOKEN, tokens
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r.i: r.t for r in df.select("i", tokens(df.text).alias("t")).collect()}
+    want = {i: regex.findall(TOKEN, t) for i, t in enumerate(texts)}
+    assert got == want
+
+
+def test_pathological_token_run_does_not_overflow(spark):
+    from pyspark.sql import functions as F
+
+    from newsevents.functions.text import tokens
+    df = spark.createDataFrame([("a." * 100000 + "end",)], "text string")
+    assert df.select(F.size(tokens(df.text))).first()[0] == 1
