@@ -15,8 +15,12 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     defaults to the cluster's default parallelism (the reference's
     ``repartition(parallel)`` argument, made conditional).
     """
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
+        return df.repartition(partitions) if partitions else df
+    if current >= target:
         return df
     return df.repartition(target)
 
