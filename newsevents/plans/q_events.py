@@ -10,16 +10,23 @@ from newsevents.operators.records import null_empty_structs, parse_events
 from newsevents.operators.trend import (check_series, moving_average, moving_average_explode,
                                          pair_trend)
 from newsevents.plans.catalog import flatten, r6, register
-from newsevents.sources.fixtures import event_lines
+from newsevents.sources.feeds import read_events
+from newsevents.sources.fixtures import event_lines, feed_files
 from newsevents.sources.tables import table
 
 PAIR = ("NATION_19", "NATION_18")
 
 
-def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events parsed from in-memory lines (exercises the ``split`` parser)."""
     return parse_events(event_lines(spark, sf_dir))
 
 
+def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read from the published feed files by the production CSV reader."""
+    return read_events(spark, feed_files(spark, sf_dir, "events"))
+
+
 # SQL that rebuilds, from the tables, what the event lines say.
 EVENT_BASE = """
 WITH np AS (SELECT count(*) AS n FROM pages),
@@ -96,7 +103,7 @@ PAIR_DAILY_SQL = EVENT_ROWS + f"""
 @register("event_parse", EVENT_ROWS + "\nSELECT * EXCLUDE (l_linestatus) FROM ev")
 def q_event_parse(spark, sf_dir):
     """Every event line parsed, all 58 leaves."""
-    return flatten(parsed_events(spark, sf_dir))
+    return flatten(line_events(spark, sf_dir))
 
 
 @register("event_parse_nulls", EVENT_ROWS + """
@@ -105,7 +112,7 @@ SELECT cameo, l_linestatus = 'F' AS event_geo_is_null, source_url IS NULL AS sou
 FROM ev""")
 def q_event_parse_nulls(spark, sf_dir):
     """All-null structs become null; bad or empty tokens become null."""
-    ev = null_empty_structs(parsed_events(spark, sf_dir))
+    ev = null_empty_structs(line_events(spark, sf_dir))
     return ev.select("cameo", F.col("event_geo").isNull().alias("event_geo_is_null"),
                      F.col("source_url").isNull().alias("source_url_is_null"),
                      F.col("num_articles").isNull().alias("num_articles_is_null"),

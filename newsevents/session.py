@@ -78,6 +78,38 @@ def ship_package(spark: SparkSession) -> None:
     sc._newsevents_shipped = True
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The cluster's shared folder (``spark.checkpoint.dir``); a private one in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = tempfile.mkdtemp(prefix="newsevents-ckpt-")
+        spark.sparkContext.setCheckpointDir(root)
+        root = spark.sparkContext.getCheckpointDir() or root
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
+    return root
+
+
+def publish_once(spark: SparkSession, path: str, write) -> str:
+    """Write a derived table to ``path`` once; concurrent callers are safe.
+
+    ``write(tmp_path)`` writes to a private folder that is then renamed into
+    place through the Hadoop FileSystem API (atomic on HDFS and local disks);
+    a caller that loses the race simply uses the winner's copy.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
+        return path
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+    return path
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
@@ -85,15 +117,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     checkpoint dir). Only when neither is set - local tests - is a private
     folder created and registered, so ``DataFrame.checkpoint()`` works too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="newsevents-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    root = shared_root(spark)
     name = "-".join(parts + (uuid.uuid4().hex[:12],)) if parts else uuid.uuid4().hex
     return os.path.join(root, name) if "://" not in root else root.rstrip("/") + "/" + name
 

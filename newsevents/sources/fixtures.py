@@ -9,10 +9,14 @@ oracle can rebuild the very same text.
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsevents.operators.dataflow import spread
+from newsevents.session import publish_once, shared_root
 from newsevents.schema import EVENT_WIDTH
 from newsevents.sources.tables import table
 
@@ -155,3 +159,31 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     if header:
         lines = lines.unionByName(spark.range(1).select(F.lit(GRAPH_HEADER).alias("value")))
     return lines
+
+
+# Bump when the line layout changes: published feeds are keyed by it.
+FEED_VERSION = "1"
+_FEED_TABLES = {"events": ["lineitem", "orders", "customer", "supplier", "part", "nation", "pages"],
+                "graph": ["lineitem", "orders", "customer", "supplier", "part", "nation", "pages"]}
+
+
+def _stamp(sf_dir: str, tables: list[str]) -> str:
+    parts = [FEED_VERSION, sf_dir.rstrip("/")]
+    for t in tables:
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if os.path.exists(p):           # local tables: a rewrite changes the key
+            st = os.stat(p)
+            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+    return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
+
+
+def feed_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Path of the ``events`` or ``graph`` feed files for these tables.
+
+    The feeds are written once per set of tables into the shared folder (as
+    the daily files would sit in storage) and then read by the production
+    readers, ``read_events`` / ``read_graph``.
+    """
+    build = {"events": event_lines, "graph": graph_lines}[kind]
+    path = f"{shared_root(spark).rstrip('/')}/feeds/{kind}-{_stamp(sf_dir, _FEED_TABLES[kind])}"
+    return publish_once(spark, path, lambda tmp: build(spark, sf_dir).write.text(tmp))
