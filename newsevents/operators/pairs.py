@@ -14,11 +14,16 @@ def pair_filter(events: DataFrame, c1: str, c2: str,
 
 
 def pair_daily_avg(events: DataFrame, c1: str, c2: str, measure: str = "goldstein",
-                   day: str = "day", out: str | None = None, **cols) -> DataFrame:
-    """``(day, avg_<measure>)`` over the pair's events; partial + final aggregate."""
+                   day: str = "day", out: str | None = None,
+                   left: str = "actor1_geo.country_code",
+                   right: str = "actor2_geo.country_code") -> DataFrame:
+    """``(day, avg_<measure>)`` over the pair's events; partial + final aggregate.
+
+    Only ``day``, ``measure`` and the two codes are read (column pruning), and
+    the equality filters reach the scan.
+    """
     out = out or f"avg_{measure}"
-    return (pair_filter(events.select(day, measure, cols.get("left", "actor1_geo.country_code"),
-                                      cols.get("right", "actor2_geo.country_code")), c1, c2, **cols)
+    return (pair_filter(events, c1, c2, left, right)
             .groupBy(day).agg(F.avg(measure).alias(out)))
 
 
