@@ -113,3 +113,69 @@ def q_articles_roundtrip(spark, sf_dir):
     write_articles(attach_content(parsed_events(spark, sf_dir), arts), path)
     back = read_articles(spark, path)
     return back.select("cameo", "title", F.md5("content").alias("content_md5"))
+
+
+@register("pair_average_tsv", PAIR_DAILY_SQL + "\nSELECT day, ROUND(avg_goldstein, 6) AS avg_goldstein FROM daily")
+def q_pair_average_tsv(spark, sf_dir):
+    """``day \\t avg`` text written and read back."""
+    from newsevents.plans.q_events import parsed_events
+    from newsevents.sinks.writers import write_tsv
+    path = shared_dir(spark, "pair-average")
+    write_tsv(pair_daily_avg(parsed_events(spark, sf_dir), *PAIR).orderBy("day"), path)
+    back = spark.read.schema("day date, avg_goldstein double").option("sep", "\t").csv(path)
+    return back.select("day", r6("avg_goldstein").alias("avg_goldstein"))
+
+
+@register("ranked_files", ENTITY_SQL + "\nSELECT kind, entity, n FROM counts")
+def q_ranked_files(spark, sf_dir):
+    """K2, Q25: ranked ``entity \\t n`` files, one folder per kind, in one write."""
+    from newsevents.plans.q_graph import feed_graph
+    from newsevents.sinks.writers import write_ranked
+    path = shared_dir(spark, "ranked")
+    write_ranked(entity_counts(feed_graph(spark, sf_dir)), path)
+    return spark.read.schema("entity string, n bigint, kind string").option("sep", "\t").csv(path) \
+        .select("kind", "entity", "n")
+
+
+@register("event_json_roundtrip", EVENT_ROWS + """
+SELECT cameo, day, goldstein, actor1_geo_country_code AS actor1_country,
+       l_linestatus = 'F' AS no_event_geo
+FROM ev""")
+def q_event_json_roundtrip(spark, sf_dir):
+    """Every event written as JSON (nulls left out) and parsed back."""
+    from newsevents.plans.q_events import parsed_events
+    from newsevents.sinks.writers import write_event_json
+    path = shared_dir(spark, "event-json")
+    write_event_json(parsed_events(spark, sf_dir), path)
+    schema = ("cameo bigint, day date, goldstein double, actor1_geo struct<country_code: string>, "
+              "event_geo struct<type: int>")
+    back = json_records(spark.read.parquet(path), "json", schema)
+    return back.select(F.col("json.cameo").alias("cameo"), F.col("json.day").alias("day"),
+                       F.col("json.goldstein").alias("goldstein"),
+                       F.col("json.actor1_geo.country_code").alias("actor1_country"),
+                       F.col("json.event_geo").isNull().alias("no_event_geo"))
+
+
+@register("points_roundtrip", """
+WITH cells AS (
+  SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+  FROM embeddings, range(1, len(embedding) + 1) t(i) GROUP BY label, i
+),
+centers AS (SELECT CAST(label AS INTEGER) AS cluster, list(m ORDER BY i) AS center FROM cells GROUP BY label),
+d AS (
+  SELECT e.vec_id, c.cluster,
+         list_sum(list_transform(e.embedding, lambda x, i: (CAST(x AS DOUBLE) - c.center[i]) * (CAST(x AS DOUBLE) - c.center[i]))) AS d2
+  FROM embeddings e, centers c
+)
+SELECT cluster, vec_id AS cameo FROM (
+  SELECT vec_id, cluster, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cluster) AS r FROM d
+) WHERE r = 1""")
+def q_points_roundtrip(spark, sf_dir):
+    """K6: ``cluster \\t id`` points written as text and read back."""
+    from newsevents.operators.clusters import assign_clusters, mean_centers
+    from newsevents.sinks.writers import write_points
+    emb = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    pts = assign_clusters(emb, mean_centers(emb, "label", "embedding"), "embedding")
+    path = shared_dir(spark, "points")
+    write_points(pts.select("cluster", F.col("vec_id").alias("cameo")), path)
+    return spark.read.schema("cluster int, cameo bigint").option("sep", "\t").csv(path)
