@@ -8,6 +8,8 @@ One job per capability of the original batch jobs, plus the chained trend:
   top-entities   <graph> <out> [--top N]                  themes/persons/orgs
   extract-content <events> <pages.parquet> <out> [--parallel N]
   cluster        <dir> [--k K] [--features 65536]         TF-IDF + k-means
+  stream-pair-average <feed dir> <out> [--c1 --c2] [--once]  running daily averages
+                                                          as new daily files arrive
 """
 
 from __future__ import annotations
@@ -75,6 +77,13 @@ def job_cluster(spark, a):
     model_cost(model, spark).write.mode("overwrite").json(os.path.join(a.dir, "cost"))
 
 
+def job_stream_pair_average(spark, a):
+    from newsevents.streaming.feeds import pair_daily_avg_stream, start, stream_events
+    q = start(pair_daily_avg_stream(stream_events(spark, a.feed, max_files_per_trigger=1), a.c1, a.c2),
+              "stream_pair_average", sink="parquet", path=a.out, available_now=a.once)
+    q.awaitTermination()
+
+
 def main(argv=None):
     p = argparse.ArgumentParser(prog="newsevents")
     sub = p.add_subparsers(dest="job", required=True)
@@ -91,11 +100,15 @@ def main(argv=None):
     s.add_argument("out"); s.add_argument("--parallel", type=int, default=None)
     s = sub.add_parser("cluster"); s.add_argument("dir"); s.add_argument("--k", type=int, default=None)
     s.add_argument("--features", type=int, default=1 << 16)
+    s = sub.add_parser("stream-pair-average"); s.add_argument("feed"); s.add_argument("out")
+    s.add_argument("--c1", default="FR"); s.add_argument("--c2", default="UK")
+    s.add_argument("--once", action="store_true", help="process the files present, then stop")
     a = p.parse_args(argv)
     spark = get_spark(f"newsevents-{a.job}")
     {"pair-average": job_pair_average, "moving-average": job_moving_average,
      "pair-trend": job_pair_trend, "top-entities": job_top_entities,
-     "extract-content": job_extract_content, "cluster": job_cluster}[a.job](spark, a)
+     "extract-content": job_extract_content, "cluster": job_cluster,
+     "stream-pair-average": job_stream_pair_average}[a.job](spark, a)
 
 
 if __name__ == "__main__":

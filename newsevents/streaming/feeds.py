@@ -58,13 +58,14 @@ def entity_counts_stream(graph: DataFrame) -> DataFrame:
 
 
 def start(df: DataFrame, name: str, sink: str = "memory", path: str | None = None,
-          mode: str = "update", checkpoint: str | None = None,
+          mode: str | None = None, checkpoint: str | None = None,
           available_now: bool = False) -> StreamingQuery:
     """Start a streaming aggregate with a checkpoint in the shared folder.
 
-    ``sink="memory"`` keeps the result as table ``name`` (tests, notebooks);
-    ``sink="parquet"`` appends each batch's changed rows to ``path``
-    (``foreachBatch``), readable while the stream runs.
+    ``sink="memory"`` keeps the whole result as table ``name`` (mode
+    ``complete``; tests, notebooks). ``sink="parquet"`` appends each batch's
+    changed rows (mode ``update``) to ``path`` through ``foreachBatch``, tagged
+    with the batch id, readable while the stream runs.
     """
     spark = df.sparkSession
     checkpoint = checkpoint or shared_dir(spark, "stream", name)
@@ -72,7 +73,7 @@ def start(df: DataFrame, name: str, sink: str = "memory", path: str | None = Non
     if available_now:
         writer = writer.trigger(availableNow=True)
     if sink == "memory":
-        return writer.outputMode("complete" if mode == "complete" else mode).format("memory").start()
+        return writer.outputMode(mode or "complete").format("memory").start()
     if sink == "parquet":
         if not path:
             raise ValueError("a parquet sink needs a path")
@@ -80,5 +81,5 @@ def start(df: DataFrame, name: str, sink: str = "memory", path: str | None = Non
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
 
-        return writer.outputMode(mode).foreachBatch(write_batch).start()
+        return writer.outputMode(mode or "update").foreachBatch(write_batch).start()
     raise ValueError(f"unknown sink {sink!r}")

@@ -63,3 +63,14 @@ def test_cli_pair_trend(spark, tmpdir_path):
     jobs.main(["pair-trend", feed, out, "--c1", "RS", "--c2", "UP", "--window", "3"])
     rows = spark.read.option("sep", "\t").csv(out).collect()
     assert len(rows) == 9
+
+
+def test_cli_stream_pair_average_once(spark, tmpdir_path):
+    feed = os.path.join(tmpdir_path, "feed")
+    os.makedirs(feed)
+    for d in (9, 10):
+        with open(os.path.join(feed, f"201409{d:02d}.CSV"), "w") as f:
+            f.write(event_line(c0=str(d), c1=f"201409{d:02d}", c30="2", c37="FR", c44="UK") + "\n")
+    out = os.path.join(tmpdir_path, "stream-out")
+    jobs.main(["stream-pair-average", feed, out, "--once"])
+    assert spark.read.parquet(out).select("day").distinct().count() == 2

@@ -41,3 +41,17 @@ def test_stream_entity_counts(spark, tmpdir_path):
     q.awaitTermination(120)
     got = {(r.kind, r.entity): r.n for r in spark.sql("select * from entities_test").collect()}
     assert got == {("theme", "T1"): 2, ("theme", "T2"): 2, ("person", "anna"): 2, ("organization", "acme"): 2}
+
+
+def test_stream_to_parquet_in_update_mode(spark, tmpdir_path):
+    feed = os.path.join(tmpdir_path, "feed")
+    write_file(feed, "a.CSV", [event_line(c0="1", c1="20140909", c30="4", c37="FR", c44="UK")])
+    out = os.path.join(tmpdir_path, "out")
+    q = start(pair_daily_avg_stream(stream_events(spark, feed), "FR", "UK"), "pair_avg_parquet",
+              sink="parquet", path=out)
+    q.processAllAvailable()
+    write_file(feed, "b.CSV", [event_line(c0="2", c1="20140909", c30="6", c37="FR", c44="UK")])
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.read.parquet(out).orderBy("batch_id").collect()
+    assert [(r.avg_goldstein, r.n) for r in rows] == [(4.0, 1), (5.0, 2)]
