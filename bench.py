@@ -22,10 +22,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "pair_trend", "event_file_scan", "moving_avg_by_type", "series_check",
-    "graph_file_scan", "entity_ranked", "entity_top_10",
-    "article_text", "event_content",
-    "tfidf", "stemmed_terms", "kmeans_documents",
+    "pair_trend", "pair_daily_avg_sql", "moving_avg_explode", "event_parse", "event_file_scan",
+    "moving_avg_by_type", "series_check",
+    "graph_parse", "graph_file_scan", "entity_counts", "entity_ranked", "entity_top_10",
+    "article_paragraphs", "article_text", "event_content",
+    "term_freq", "tfidf", "stemmed_terms", "kmeans_documents",
     "assign_nearest", "daily_cluster_sizes",
 ]
 
