@@ -11,15 +11,21 @@ from newsevents.operators.trend import (check_series, moving_average, moving_ave
                                          pair_trend)
 from newsevents.plans.catalog import flatten, r6, register
 from newsevents.sources.feeds import read_events
-from newsevents.sources.fixtures import event_lines, feed_files
+from newsevents.sources.fixtures import feed_files
 from newsevents.sources.tables import table
 
 PAIR = ("NATION_19", "NATION_18")
 
 
+def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event feed as text lines (``value``)."""
+    return spark.read.text(feed_files(spark, sf_dir, "events"))
+
+
 def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events parsed from in-memory lines (exercises the ``split`` parser)."""
-    return parse_events(event_lines(spark, sf_dir))
+    """Events from the feed's text lines through the ``split`` parser
+    (the path for lines that do not come from a CSV scan)."""
+    return parse_events(feed_lines(spark, sf_dir))
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,12 +10,12 @@ from newsevents.operators.records import parse_graph
 from newsevents.operators.dataflow import explode_items
 from newsevents.plans.catalog import register
 from newsevents.sources.feeds import read_graph
-from newsevents.sources.fixtures import feed_files, graph_lines
+from newsevents.sources.fixtures import feed_files
 
 
 def parsed_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graph records parsed from in-memory lines (exercises the parser)."""
-    return parse_graph(graph_lines(spark, sf_dir))
+    """Graph records: the feed's text lines through ``parse_graph`` (no row key)."""
+    return parse_graph(spark.read.text(feed_files(spark, sf_dir, "graph")))
 
 
 def feed_graph(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,7 +60,8 @@ SELECT l_orderkey * 8 + l_linenumber AS cameo, md5('lineitem-' || {_event_line_s
 FROM base""")
 def q_row_key(spark, sf_dir):
     """md5 row key of each feed line (source name + line text)."""
-    lines = with_row_key(event_lines(spark, sf_dir), "lineitem")
+    from newsevents.plans.q_events import feed_lines
+    lines = with_row_key(feed_lines(spark, sf_dir), "lineitem")
     return parse_events(lines, keep=["row_id"]).select("cameo", "row_id")
 
 
