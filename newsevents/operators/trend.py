@@ -50,17 +50,26 @@ def moving_average(df: DataFrame, n: int, keys: Sequence[str] = (), day: str = "
 
 
 def moving_average_explode(df: DataFrame, n: int, keys: Sequence[str] = (), day: str = "day",
-                           value: str = "value", out: str = "moving_avg") -> DataFrame:
-    """Cartesian form: ``(keys, day, out)``; same numbers as ``moving_average``."""
+                           value: str = "value", out: str = "moving_avg",
+                           with_value: bool = False) -> DataFrame:
+    """Cartesian form: ``(keys, day, out)``; same numbers as ``moving_average``.
+
+    ``with_value`` also returns the day's own ``value`` (its copy with offset
+    0; the largest if a day repeats), from the same aggregate - no join back.
+    """
     _check_window(n)
     keys = list(keys)
     shifted = (df.select(*keys, day, value,
                          F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k"))
                .withColumn("_target", F.date_add(F.col(day), F.col("_k"))))
-    return (shifted.groupBy(*keys, "_target")
-            .agg(F.sum(value).alias("_s"), F.count(value).alias("_c"), F.min("_k").alias("_pivot"))
+    aggs = [F.sum(value).alias("_s"), F.count(value).alias("_c"), F.min("_k").alias("_pivot")]
+    if with_value:
+        aggs.append(F.max(F.when(F.col("_k") == 0, F.col(value))).alias("_own"))
+    extra = [F.col("_own").alias(value)] if with_value else []
+    return (shifted.groupBy(*keys, "_target").agg(*aggs)
             .where(F.col("_pivot") == 0)        # the target day has a point of its own
-            .select(*keys, F.col("_target").alias(day), (F.col("_s") / F.col("_c")).alias(out)))
+            .select(*keys, F.col("_target").alias(day), *extra,
+                    (F.col("_s") / F.col("_c")).alias(out)))
 
 
 def check_series(df: DataFrame, keys: Sequence[str] = (), day: str = "day",

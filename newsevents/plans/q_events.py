@@ -150,8 +150,7 @@ FROM daily"""
 def _pair_window(spark, sf_dir, n, explode=False):
     daily = pair_daily_avg(parsed_events(spark, sf_dir), *PAIR)
     if explode:
-        ma = moving_average_explode(daily, n, value="avg_goldstein")
-        ma = ma.join(daily, "day")
+        ma = moving_average_explode(daily, n, value="avg_goldstein", with_value=True)
     else:
         ma = moving_average(daily, n, value="avg_goldstein")
     return ma.select("day", r6("avg_goldstein").alias("avg_goldstein"), r6("moving_avg").alias("moving_avg"))
