@@ -15,6 +15,8 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsevents.session import cut_lineage
+
 MAX_CENTER_CELLS = 1_000_000   # k x dim doubles inlined in a plan (8 MB)
 
 
@@ -78,7 +80,12 @@ def _squared_distance(v: Column, c: Column) -> Column:
 
 
 def collect_centers(centers: DataFrame) -> list[tuple[int, list[float]]]:
-    """Bring a center table to the driver after checking its size."""
+    """Bring a center table to the driver after checking its size.
+
+    The centers are written once (``cut_lineage``), so computing them from the
+    points is one pass; the size check and the collect read the small table.
+    """
+    centers = cut_lineage(centers, "centers")
     shape = centers.select(F.count(F.lit(1)).alias("k"), F.max(F.size("center")).alias("dim")).first()
     k, dim = int(shape["k"] or 0), int(shape["dim"] or 0)
     if k * dim > MAX_CENTER_CELLS:

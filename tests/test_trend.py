@@ -71,3 +71,10 @@ def test_window_must_be_positive(spark):  # Q21
         moving_average(series(spark, [(date(2014, 1, 1), 1.0)]), 0)
     with pytest.raises(ValueError):
         moving_average_explode(series(spark, [(date(2014, 1, 1), 1.0)]), 0)
+
+
+def test_explode_form_carries_own_value(spark):
+    pts = [(date(2014, 1, 1), 1.0), (date(2014, 1, 2), 3.0), (date(2014, 1, 5), 5.0)]
+    got = {r.day: (r.value, r.moving_avg)
+           for r in moving_average_explode(series(spark, pts), 3, with_value=True).collect()}
+    assert got == {date(2014, 1, 1): (1.0, 1.0), date(2014, 1, 2): (3.0, 2.0), date(2014, 1, 5): (5.0, 5.0)}
