@@ -13,18 +13,20 @@ from pyspark.sql import types as T
 from newsevents.operators.articles import attach_content, extract_articles
 from newsevents.operators.entities import entity_counts
 from newsevents.operators.pairs import pair_daily_avg
-from newsevents.operators.records import with_row_key
+from newsevents.operators.clusters import assign_clusters, mean_centers
+from newsevents.operators.records import parse_events, with_row_key
 from newsevents.operators.trend import moving_average
 from newsevents.plans.catalog import r6, register
 from newsevents.plans.q_articles import ARTICLES_SQL
-from newsevents.plans.q_events import EVENT_BASE, EVENT_ROWS, PAIR, PAIR_DAILY_SQL, _window_sql
-from newsevents.plans.q_graph import ENTITY_SQL
+from newsevents.plans.q_events import (EVENT_BASE, EVENT_ROWS, PAIR, PAIR_DAILY_SQL, _window_sql,
+                                       feed_lines, parsed_events)
+from newsevents.plans.q_graph import ENTITY_SQL, feed_graph
 from newsevents.session import shared_dir
-from newsevents.sinks.writers import write_articles, write_series
+from newsevents.sinks.writers import (write_articles, write_event_json, write_points, write_ranked,
+                                      write_series, write_tsv)
 from newsevents.sources.feeds import json_records, read_articles, read_events, read_graph, read_series
 from newsevents.sources.fixtures import event_lines, graph_lines
 from newsevents.sources.tables import table
-from newsevents.operators.records import parse_events
 
 
 def _event_line_sql() -> str:
@@ -60,7 +62,6 @@ SELECT l_orderkey * 8 + l_linenumber AS cameo, md5('lineitem-' || {_event_line_s
 FROM base""")
 def q_row_key(spark, sf_dir):
     """md5 row key of each feed line (source name + line text)."""
-    from newsevents.plans.q_events import feed_lines
     lines = with_row_key(feed_lines(spark, sf_dir), "lineitem")
     return parse_events(lines, keep=["row_id"]).select("cameo", "row_id")
 
@@ -94,7 +95,6 @@ def q_graph_file_scan(spark, sf_dir):
 @register("series_roundtrip", _window_sql(7))
 def q_series_roundtrip(spark, sf_dir):
     """S3, K3: pair series written as ``yyyyMMdd,value``, read back, 7-day window."""
-    from newsevents.plans.q_events import parsed_events
     path = shared_dir(spark, "series")
     daily = pair_daily_avg(parsed_events(spark, sf_dir), *PAIR)
     write_series(daily, path, value="avg_goldstein")
@@ -108,7 +108,6 @@ SELECT ev.cameo, art.title, md5(art.content) AS content_md5
 FROM ev JOIN art ON ev.source_url = art.url""")
 def q_articles_roundtrip(spark, sf_dir):
     """Event articles written as Parquet and read back."""
-    from newsevents.plans.q_events import parsed_events
     path = shared_dir(spark, "articles")
     arts = extract_articles(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     write_articles(attach_content(parsed_events(spark, sf_dir), arts), path)
@@ -119,8 +118,6 @@ def q_articles_roundtrip(spark, sf_dir):
 @register("pair_average_tsv", PAIR_DAILY_SQL + "\nSELECT day, ROUND(avg_goldstein, 6) AS avg_goldstein FROM daily")
 def q_pair_average_tsv(spark, sf_dir):
     """``day \\t avg`` text written and read back."""
-    from newsevents.plans.q_events import parsed_events
-    from newsevents.sinks.writers import write_tsv
     path = shared_dir(spark, "pair-average")
     write_tsv(pair_daily_avg(parsed_events(spark, sf_dir), *PAIR).orderBy("day"), path)
     back = spark.read.schema("day date, avg_goldstein double").option("sep", "\t").csv(path)
@@ -130,8 +127,6 @@ def q_pair_average_tsv(spark, sf_dir):
 @register("ranked_files", ENTITY_SQL + "\nSELECT kind, entity, n FROM counts")
 def q_ranked_files(spark, sf_dir):
     """K2, Q25: ranked ``entity \\t n`` files, one folder per kind, in one write."""
-    from newsevents.plans.q_graph import feed_graph
-    from newsevents.sinks.writers import write_ranked
     path = shared_dir(spark, "ranked")
     write_ranked(entity_counts(feed_graph(spark, sf_dir)), path)
     return spark.read.schema("entity string, n bigint, kind string").option("sep", "\t").csv(path) \
@@ -144,8 +139,6 @@ SELECT cameo, day, goldstein, actor1_geo_country_code AS actor1_country,
 FROM ev""")
 def q_event_json_roundtrip(spark, sf_dir):
     """Every event written as JSON (nulls left out) and parsed back."""
-    from newsevents.plans.q_events import parsed_events
-    from newsevents.sinks.writers import write_event_json
     path = shared_dir(spark, "event-json")
     write_event_json(parsed_events(spark, sf_dir), path)
     schema = ("cameo bigint, day date, goldstein double, actor1_geo struct<country_code: string>, "
@@ -173,8 +166,6 @@ SELECT cluster, vec_id AS cameo FROM (
 ) WHERE r = 1""")
 def q_points_roundtrip(spark, sf_dir):
     """K6: ``cluster \\t id`` points written as text and read back."""
-    from newsevents.operators.clusters import assign_clusters, mean_centers
-    from newsevents.sinks.writers import write_points
     emb = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     pts = assign_clusters(emb, mean_centers(emb, "label", "embedding"), "embedding")
     path = shared_dir(spark, "points")
