@@ -40,14 +40,34 @@ def _event_columns(tok: Tok, blanks_are_null: bool) -> list[Column]:
     return cols
 
 
+# Column expressions are unresolved trees: built once per SparkContext and
+# token source, they serve every DataFrame (hundreds of Py4J calls saved per
+# query build; a new context gets new ones).
+_COLUMNS: dict[tuple, list[Column]] = {}
+
+
+def _memo(kind: str, build) -> list[Column]:
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (kind, id(sc), id(sc._jsc) if sc is not None else None)
+    cols = _COLUMNS.get(key)
+    if cols is None:
+        cols = _COLUMNS[key] = build()
+    return cols
+
+
 def events_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None,
-                       blanks_are_null: bool = False) -> DataFrame:
+                       blanks_are_null: bool = False, memo_key: str | None = None) -> DataFrame:
     """Typed event rows from any token source (``tok(i)`` = column ``i`` as string).
 
     ``blanks_are_null``: the source already turned empty fields into null
-    (the CSV scan does), so string fields need no conversion.
+    (the CSV scan does), so string fields need no conversion. ``memo_key``
+    names a fixed token source whose column list may be reused.
     """
-    return df.select(*(keep or []), *_event_columns(tok, blanks_are_null))
+    def build() -> list[Column]:
+        return _event_columns(tok, blanks_are_null)
+    cols = _memo(f"events:{memo_key}:{blanks_are_null}", build) if memo_key else build()
+    return df.select(*(keep or []), *cols)
 
 
 def parse_events(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -58,12 +78,12 @@ def parse_events(lines: DataFrame, value: str = "value", keep: list[str] | None
     """
     toks = (lines.where(F.col(value) != F.lit(""))
             .select(*(keep or []), split_all(F.col(value), "\t").alias("_tok")))
-    return events_from_tokens(toks, lambda i: F.get(F.col("_tok"), i), keep)
+    return events_from_tokens(toks, lambda i: F.get(F.col("_tok"), i), keep, memo_key="split")
 
 
 def parse_event_csv_columns(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed event rows from the 58 string columns of a CSV scan."""
-    return events_from_tokens(df, lambda i: F.col(f"_c{i}"), keep, blanks_are_null=True)
+    return events_from_tokens(df, lambda i: F.col(f"_c{i}"), keep, blanks_are_null=True, memo_key="csv")
 
 
 def _struct_or_null(c: Column, fields: list[str]) -> Column:
@@ -116,8 +136,10 @@ def _graph_columns(tok: Tok) -> list[Column]:
     ]
 
 
-def graph_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None) -> DataFrame:
-    return df.select(*(keep or []), *_graph_columns(tok))
+def graph_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None,
+                      memo_key: str | None = None) -> DataFrame:
+    cols = _memo(f"graph:{memo_key}", lambda: _graph_columns(tok)) if memo_key else _graph_columns(tok)
+    return df.select(*(keep or []), *cols)
 
 
 def parse_graph(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -129,7 +151,7 @@ def parse_graph(lines: DataFrame, value: str = "value", keep: list[str] | None =
     toks = (lines.where(F.col(value) != F.lit(""))
             .select(*(keep or []), split_all(F.col(value), "\t").alias("_tok"))
             .where(F.coalesce(F.get(F.col("_tok"), 0), F.lit("")) != F.lit(S.GRAPH_HEADER_FIRST)))
-    return graph_from_tokens(toks, lambda i: F.get(F.col("_tok"), i), keep)
+    return graph_from_tokens(toks, lambda i: F.get(F.col("_tok"), i), keep, memo_key="split")
 
 
 def with_row_key(df: DataFrame, source: Column | str, value: str = "value",
