@@ -36,3 +36,12 @@ def test_attach_content_inner_and_failed_fetch(spark):  # J2, F2, Q15, Q28
                                    "cameo long, source_url string")
     got = sorted((r.cameo, r.content) for r in attach_content(events, arts).collect())
     assert got == [(10, "x"), (11, "x"), (13, "")]
+
+
+def test_hot_url_cited_by_most_events(spark):  # a third of rows on one key, and more
+    arts = extract_articles(pages(spark, [(1, "hot", "<article><p>big story</p></article>"),
+                                          (2, "cold", "<article><p>small</p></article>")]))
+    rows = [(i, "hot") for i in range(3000)] + [(10_000 + i, "cold") for i in range(10)]
+    events = spark.createDataFrame(rows, "cameo long, source_url string").repartition(7)
+    got = attach_content(events, arts).groupBy("content").count().collect()
+    assert {r["content"]: r["count"] for r in got} == {"big story": 3000, "small": 10}

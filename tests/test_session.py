@@ -23,3 +23,11 @@ def test_top_n_plan_limits_before_the_shuffle(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert [r.entity for r in top.orderBy("rank").collect()] == ["t99", "t98", "t97", "t96", "t95"]
+
+
+def test_spread_only_when_needed(spark):
+    from newsevents.operators.dataflow import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(8)
+    assert spread(many, 4) is many
