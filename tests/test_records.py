@@ -130,3 +130,14 @@ def test_json_records_given_or_inferred_schema(spark):  # S5, P5, X16
     assert got == {1: 69, 2: 3, 3: None}
     inferred = json_records(df, "props", sample='{"k": 1, "tag": "y"}')
     assert {r.id: r.tag for r in inferred.select("id", "props.tag").collect()} == {1: "x", 2: None, 3: None}
+
+
+def test_gzipped_feed_is_decoded(spark, tmpdir_path):  # Q26
+    import gzip
+    path = os.path.join(tmpdir_path, "gz")
+    os.makedirs(path)
+    lines = [event_line(c0=str(i), c1="20140909", c30="2", c37="FR", c44="UK") for i in range(5)]
+    with gzip.open(os.path.join(path, "20140909.export.CSV.gz"), "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    rows = read_events(spark, path).collect()
+    assert len(rows) == 5 and {r.actor1_geo.country_code for r in rows} == {"FR"}
