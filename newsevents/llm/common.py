@@ -20,9 +20,19 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str, name: str = "docu
     return df.select(*columns) if columns else df
 
 
+#: Rows of an Arrow batch: a few MB of text, so that workers hold little at a time.
+BATCH_ROWS = "500"
+
+
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package made importable on the executors."""
-    ship_package(df.sparkSession)
+    """``mapInArrow`` with this package made importable on the executors, over small batches.
+
+    The session's batch size is lowered if it is still Spark's default.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(fn, schema)
 
 

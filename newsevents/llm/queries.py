@@ -33,3 +33,54 @@ def op3(spark, sf_dir):
     out = decode(encode(documents(spark, sf_dir, "doc_id", "text"), path), path)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    """Toxicity of every whole text; learnt from rows that are not held out."""
+    from newsevents.llm.toxicity import fit, held_out, score
+
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = fit(docs, documents(spark, sf_dir, "doc_id", "toxic", name="labels"))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score",
+                                     (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_langid")
+def op5(spark, sf_dir):
+    """Language of every whole text; learnt from rows that are not held out."""
+    from newsevents.llm.langid import fit, predict
+    from newsevents.llm.toxicity import held_out
+
+    model = fit(documents(spark, sf_dir, "doc_id", "text", "lang"))
+    return predict(documents(spark, sf_dir, "doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "mix")
+
+
+@query("op7_quality")
+def op7(spark, sf_dir):
+    """Counts, base verdict and risk-controlled verdict of every whole text; strata are the languages."""
+    from newsevents.llm.quality_rules import quality
+
+    out = quality(documents(spark, sf_dir, "doc_id", "text", "lang"), documents(spark, sf_dir, "doc_id", "quality", name="labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op9_secrets")
+def op9(spark, sf_dir):
+    """Secrets in every whole text, as counts and digests of their spans."""
+    import public_tokenizers
+
+    from newsevents.llm.secret_scan import find_secrets
+
+    found = find_secrets(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
