@@ -12,6 +12,9 @@ from newsevents.llm.common import documents
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: Key of the pseudonyms in the registered queries; a real job passes its own secret.
+PII_KEY = "registered-query-key"
+
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
@@ -84,3 +87,47 @@ def op9(spark, sf_dir):
     base = F.filter("spans", lambda s: s["kind"] != "random")
     return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op1_pii")
+def op1(spark, sf_dir):
+    """Every whole text with its personal numbers, dates and addresses replaced by pseudonyms."""
+    from newsevents.llm.pii import KINDS, pseudonymise
+
+    out = pseudonymise(documents(spark, sf_dir, "doc_id", "text"), PII_KEY)
+    return out.select("doc_id", "text", F.coalesce(F.size("pii").cast("long"), F.lit(0)).alias("n_pii"),
+                      *[F.coalesce(F.expr(f"size(filter(pii, k -> k = '{kind}'))").cast("long"), F.lit(0)).alias(f"n_{kind}")
+                        for kind in KINDS])
+
+
+@query("op2_decontamination")
+def op2(spark, sf_dir):
+    """Every whole text against every benchmark item."""
+    from newsevents.llm.decontamination import contaminated
+
+    return contaminated(documents(spark, sf_dir, "doc_id", "text"), documents(spark, sf_dir, "item_id", "text", name="benchmark"))
+
+
+@query("op6_ngram_join")
+def op6(spark, sf_dir):
+    """Components of documents whose five-word shingles are alike."""
+    from newsevents.llm.ngram_join import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op8_chunk_dedup")
+def op8(spark, sf_dir):
+    """Spans of every whole text that occur earlier, by content-defined chunks."""
+    from newsevents.llm.chunk_dedup import repeated_spans
+
+    return repeated_spans(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op10_suffix_dedup")
+def op10(spark, sf_dir):
+    """Every whole text without the 100-byte strings that occur earlier."""
+    from newsevents.llm.suffix_dedup import deduplicate
+
+    out = deduplicate(documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
