@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsevents.functions.html import (ARTICLE, BODY, LINK_TEXT, TITLE, paragraph_chunks,
+from newsevents.functions.html import (BODY, LINK_TEXT, TITLE, articles, paragraph_chunks,
                                         strip_noise, tidy_text)
 from newsevents.functions.text import STOP_WORDS
 from newsevents.operators.dataflow import spread
@@ -32,11 +32,11 @@ def _is_prose(chunk: Column) -> Column:
 def article_paragraphs(html: Column) -> Column:
     """Array of paragraph texts.
 
-    The ``<article>`` element's non-blank paragraphs when there is one; else
+    The ``<article>`` elements' non-blank paragraphs when there is one; else
     the ``<body>`` paragraphs that read as prose (stop words, few links).
     """
     clean = strip_noise(html)
-    article = F.regexp_extract(clean, ARTICLE, 1)
+    article = articles(clean)
     body = F.regexp_extract(clean, BODY, 1)
     in_article = F.transform(paragraph_chunks(article), tidy_text)
     in_body = F.transform(F.filter(paragraph_chunks(body), _is_prose), tidy_text)
@@ -61,16 +61,19 @@ def extract_articles(pages: DataFrame, html: str = "html", parallel: int | None
                                           F.array_join("paragraphs", PARAGRAPH_SEP))))
 
 
-def attach_content(events: DataFrame, articles: DataFrame, url: str = "source_url",
-                   key: str = "cameo") -> DataFrame:
+def attach_content(events: DataFrame, extracted: DataFrame, url: str = "source_url",
+                   key: str = "cameo", version: str = "page_id") -> DataFrame:
     """``(cameo, title, content)`` for events whose page was extracted (inner join).
 
-    Failed fetches (null content) are dropped; empty content is kept. The
-    join is an equi-join on the URL: Spark broadcasts the articles only when
+    Failed fetches (null content) are dropped; empty content is kept. A URL
+    fetched several times counts once: the page with the highest ``version``
+    (``page_id``; without that column the greatest title and content). The join is an equi-join on the URL: Spark broadcasts the articles only when
     their measured size is under the broadcast threshold, and AQE splits a
     URL cited by a large share of events (skew join).
     """
     ev = events.where(F.col(url).isNotNull()).select(key, F.col(url).alias("_url"))
-    ok = F.col("fetched") if "fetched" in articles.columns else F.col("content").isNotNull()
-    arts = articles.where(ok).select(F.col("url").alias("_url"), "title", "content")
+    ok = F.col("fetched") if "fetched" in extracted.columns else F.col("content").isNotNull()
+    page = F.struct(*([version] if version in extracted.columns else []), "title", "content")
+    arts = (extracted.where(ok).groupBy(F.col("url").alias("_url")).agg(F.max(page).alias("_page"))
+            .select("_url", "_page.title", "_page.content"))
     return ev.join(arts, "_url", "inner").select(key, "title", "content")

@@ -1,23 +1,29 @@
 """K-means over article vectors, nearest-center assignment, cost.
 
-Centers are a model, not data: ``k`` rows of ``dim`` numbers. Assignment puts
-them in the plan as one literal array (the size is checked against
-``MAX_CENTER_CELLS``) and computes every row's distances with array
-functions - a map-only step, no join, no shuffle.
+Centers are a model: ``k`` rows of ``dim`` numbers. Assignment broadcasts them in
+blocks of at most ``BLOCK_CELLS`` numbers and finds each row's nearest center by
+a matrix product over Arrow batches (|v|^2 - 2 v.c + |c|^2, then the exact distance
+to the center chosen) - one map-only pass, no join, no shuffle, any ``k x dim``.
+
+K-means itself keeps ``k x features`` numbers on the driver and in every task.
+With ``k = sqrt(n / 2)`` they grow with the input, so the model is trained per
+day (``cluster_day``), as the original job was.
 """
 
 from __future__ import annotations
 
-import json
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsevents.session import cut_lineage
 
-MAX_CENTER_CELLS = 1_000_000   # k x dim doubles inlined in a plan (8 MB)
+BLOCK_CELLS = 4_000_000   # numbers of one broadcast block of centers (32 MB)
 
 
 def default_k(n: int) -> int:
@@ -27,27 +33,42 @@ def default_k(n: int) -> int:
 
 def fit_clusters(vectors: DataFrame, k: int | None = None, features: str = "features",
                  max_iter: int = 40, seed: int = 7, n: int | None = None) -> KMeansModel:
-    """Fit ``pyspark.ml`` k-means; the input is persisted for the iterations."""
+    """Fit ``pyspark.ml`` k-means; the input is persisted for the iterations.
+
+    ``k`` defaults to ``default_k`` of the number of rows. With fewer distinct
+    points than ``k`` there is at most one center per distinct point: ask
+    ``n_centers`` how many came out.
+    """
     data = vectors.select(features).persist()
     try:
         n = n if n is not None else data.count()
         k = default_k(n) if k is None else k
         if n < k:
             raise ValueError(f"k-means needs at least k={k} documents, got {n}")
-        try:
-            return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(data)
-        except Exception as err:  # noqa: BLE001
-            # With fewer distinct points than k (many empty or identical
-            # articles) initialisation yields fewer than k centers, which the
-            # block trainer does not survive; the row trainer copes.
-            if "ArrayIndexOutOfBounds" not in str(err):
-                raise
-            return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features,
-                          solver="row").fit(data)
+        distinct = data.distinct().limit(k + 1).count()
+        # The block solver needs as many initial centers as asked for, which
+        # few distinct points may not give; the row solver does not.
+        return KMeans(k=max(2, min(k, distinct)), maxIter=max_iter, seed=seed, featuresCol=features,
+                      solver="auto" if distinct > k else "row").fit(data)
     finally:
         data.unpersist()
 
 
+def n_centers(model: KMeansModel) -> int:
+    """How many centers the model has (fewer than asked for if few points are distinct)."""
+    return len(model.clusterCenters())
+
+
+def cluster_day(vectors: DataFrame, day, day_col: str = "day", k: int | None = None, **fit) -> tuple[KMeansModel, DataFrame]:
+    """Train on one day's rows and assign the same rows (C3): the model and the rows with ``cluster``.
+
+    ``n``, ``k`` and the centers come from that day only.
+    """
+    own = vectors.where(F.col(day_col) == F.lit(day))
+    model = fit_clusters(own, k=k, **fit)
+    return model, predict(model, own)
+
+
 def predict(model: KMeansModel, vectors: DataFrame, out: str = "cluster") -> DataFrame:
     """Cluster id per row, from the same (TF-IDF) space the model was fit on."""
     return model.setPredictionCol(out).transform(vectors).withColumn(out, F.col(out).cast("int"))
@@ -74,46 +95,60 @@ def mean_centers(df: DataFrame, label: str, vector: str) -> DataFrame:
                     F.transform("_cells", lambda c: c["_m"]).alias("center")))
 
 
-def _squared_distance(v: Column, c: Column) -> Column:
-    return F.aggregate(F.zip_with(v, c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
-                       F.lit(0.0), lambda acc, x: acc + x)
-
-
-def collect_centers(centers: DataFrame) -> list[tuple[int, list[float]]]:
-    """Bring a center table to the driver after checking its size.
-
-    The centers are written once (``cut_lineage``), so computing them from the
-    points is one pass; the size check and the collect read the small table.
-    """
-    centers = cut_lineage(centers, "centers")
-    shape = centers.select(F.count(F.lit(1)).alias("k"), F.max(F.size("center")).alias("dim")).first()
-    k, dim = int(shape["k"] or 0), int(shape["dim"] or 0)
-    if k * dim > MAX_CENTER_CELLS:
-        raise ValueError(f"{k} centers x {dim} dims is too large to inline; "
-                         "fit a pyspark.ml KMeansModel and use predict()")
-    return [(int(r["cluster"]), list(r["center"])) for r in centers.orderBy("cluster").collect()]
+def _blocks(centers: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(ids, matrix)`` blocks of the center table, lowest ids first, of at most ``BLOCK_CELLS`` numbers each."""
+    ids: list[int] = []
+    rows: list[np.ndarray] = []
+    for r in centers.orderBy("cluster").toLocalIterator():
+        c = np.asarray(r["center"], float)
+        if rows and (len(rows) + 1) * len(c) > BLOCK_CELLS:
+            yield np.array(ids), np.stack(rows)
+            ids, rows = [], []
+        ids.append(int(r["cluster"]))
+        rows.append(c)
+    if rows:
+        yield np.array(ids), np.stack(rows)
+
+
+def _nearest(shared):
+    """Arrow UDF: squared distance to the nearest of one block of centers, and its id."""
+    @F.pandas_udf("d double, id int")
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        own_ids, c, norms = shared.value
+        ok = np.array([v is not None and len(v) == c.shape[1] for v in vectors], bool)
+        d, chosen = np.full(len(vectors), np.nan), np.zeros(len(vectors), np.int32)
+        if ok.any():
+            v = np.stack(vectors[ok].to_list()).astype(float)
+            at = (norms - 2 * (v @ c.T)).argmin(1)
+            d[ok], chosen[ok] = ((v - c[at]) ** 2).sum(1), own_ids[at]
+        return pd.DataFrame({"d": d, "id": chosen})
+
+    return nearest
 
 
 def assign_clusters(points: DataFrame, centers: DataFrame, vector: str,
                     out: str = "cluster") -> DataFrame:
-    """Adds ``out`` (nearest center, ties to the lower id) and ``distance2``."""
-    cs = collect_centers(centers)
-    if not cs:
+    """Adds ``out`` (nearest center, ties to the lower id) and ``distance2``.
+
+    A null vector, or one whose length is not the centers', has neither: both
+    columns are null. Blocks are read from a written center table, so the
+    points are not scanned again for each.
+    """
+    sc = points.sparkSession.sparkContext
+    best = [_nearest(sc.broadcast((ids, matrix, (matrix * matrix).sum(1))))(F.col(vector))
+            for ids, matrix in _blocks(cut_lineage(centers, "centers"))]
+    if not best:
         raise ValueError("no centers")
-    # One string literal, folded by the optimizer into one array constant.
-    table = F.from_json(F.lit(json.dumps([[float(x) for x in c] for _, c in cs])),
-                        "array<array<double>>")
-    ids = F.from_json(F.lit(json.dumps([cid for cid, _ in cs])), "array<int>")
-    dists = F.transform(table, lambda c, i: F.struct(_squared_distance(F.col(vector), c).alias("d"),
-                                                     F.element_at(ids, i + 1).alias("id")))
-    best = F.array_min(dists)   # structs compare field by field: distance, then id
-    return points.withColumn("_best", best).select(
-        *points.columns, F.col("_best.id").alias(out), F.col("_best.d").alias("distance2"))
+    # Structs compare field by field: distance, then id.
+    pick = F.least(*best) if len(best) > 1 else best[0]
+    found = points.withColumn("_best", pick)
+    ok = F.col("_best.d").isNotNull() & ~F.isnan("_best.d")
+    return found.select(*points.columns, F.when(ok, F.col("_best.id")).alias(out), F.when(ok, F.col("_best.d")).alias("distance2"))
 
 
 def cluster_cost(assigned: DataFrame, distance: str = "distance2") -> DataFrame:
-    """Sum of squared distances to the nearest center, as one row."""
-    return assigned.agg(F.sum(distance).alias("cost"), F.count(F.lit(1)).alias("n_points"))
+    """Sum of squared distances to the nearest center and the points summed, as one row."""
+    return assigned.agg(F.sum(distance).alias("cost"), F.count(distance).alias("n_points"))
 
 
 def daily_cluster_sizes(points: DataFrame, events: DataFrame, id_col: str = "cameo",

@@ -7,22 +7,13 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``partitions`` tasks only if it has fewer.
+    """Round-robin ``df`` over ``partitions`` tasks; without the argument the plan is left alone.
 
-    A large input already scans into many splits and is returned as is (no
-    shuffle); a small or unsplittable one (one file, one row group) that feeds
-    CPU-heavy parsing gets spread so every core works. ``partitions``
-    defaults to the cluster's default parallelism (the reference's
-    ``repartition(parallel)`` argument, made conditional).
+    The reference's ``repartition(parallel)``: worth a shuffle for a small or
+    unsplittable input (one gzipped file, one row group) that feeds CPU-heavy
+    row work. Nothing is run to find out: the caller decides.
     """
-    try:
-        target = partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
-        return df.repartition(partitions) if partitions else df
-    if current >= target:
-        return df
-    return df.repartition(target)
+    return df if partitions is None else df.repartition(partitions)
 
 
 def explode_items(array: Column, pos: bool = False) -> Column:

@@ -5,10 +5,12 @@ in the row (no union of three scans), exploded, and counted with a partial
 (map-side) aggregate before the shuffle, so a hot entity costs one row per
 map task.
 
-Ranking never gathers a kind into one task: with a limit ``n``, Spark's
-partial ``WindowGroupLimit`` keeps at most ``n`` rows per kind in each map
-task before the shuffle; without a limit (the reference writes every entity),
-ranks come from a range-partitioned sort plus per-partition offsets.
+Ranking never gathers a kind into one task. With a limit ``n`` below the
+session's ``spark.sql.optimizer.windowGroupLimitThreshold``, Spark's partial
+``WindowGroupLimit`` keeps at most ``n`` rows per kind in each map task before
+the shuffle. From that threshold on Spark plans no such limit, so ranks come
+from a range-partitioned sort plus per-partition offsets, as they do without a
+limit (the reference writes every entity). The choice reads the setting only.
 """
 
 from __future__ import annotations
@@ -21,21 +23,24 @@ from newsevents.schema import ENTITY_KINDS
 from newsevents.session import cut_lineage
 
 
-def tagged_entities(graph: DataFrame) -> DataFrame:
+def tagged_entities(graph: DataFrame, kinds: list[str] | None = None) -> DataFrame:
     """``(kind, entity)``, one row per list item (a missing list gives no rows)."""
     def tag(kind: str):
         # transform() passes an index to a two-argument lambda: close over kind.
         return lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("entity"))
 
     parts = [F.transform(F.coalesce(F.col(col), F.array().cast("array<string>")), tag(kind))
-             for kind, col in ENTITY_KINDS]
+             for kind, col in ENTITY_KINDS if kinds is None or kind in kinds]
     return (graph.select(explode_items(F.concat(*parts)).alias("_e"))
             .where(F.col("_e").isNotNull()).select("_e.kind", "_e.entity"))
 
 
-def entity_counts(graph: DataFrame) -> DataFrame:
-    """``(kind, entity, n)``: list occurrences, a repeat inside one record counts again."""
-    return tagged_entities(graph).groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n"))
+def entity_counts(graph: DataFrame, kinds: list[str] | None = None) -> DataFrame:
+    """``(kind, entity, n)``: list occurrences, a repeat inside one record counts again.
+
+    ``kinds`` counts only those lists; the others are not even read.
+    """
+    return tagged_entities(graph, kinds).groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _rank_order():
@@ -44,14 +49,17 @@ def _rank_order():
 
 def entity_top_n(counts: DataFrame, n: int | None = None) -> DataFrame:
     """``(kind, rank, entity, n)``: rank 1 = most frequent, ties by entity name."""
-    if n is not None:
-        if n < 1:
-            raise ValueError("n must be positive")
+    if n is None:
+        return global_rank(counts)
+    if n < 1:
+        raise ValueError("n must be positive")
+    threshold = int(counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n < threshold:
         w = Window.partitionBy("kind").orderBy(*_rank_order())
         # Filter on the bare row_number so Spark inserts a partial WindowGroupLimit.
         return (counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
                 .select("kind", F.col("_rn").cast("bigint").alias("rank"), "entity", "n"))
-    return global_rank(counts)
+    return global_rank(counts).where(F.col("rank") <= n)
 
 
 def global_rank(counts: DataFrame, partitions: int | None = None) -> DataFrame:

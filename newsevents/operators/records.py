@@ -43,17 +43,20 @@ def _event_columns(tok: Tok, blanks_are_null: bool) -> list[Column]:
 # Column expressions are unresolved trees: built once per SparkContext and
 # token source, they serve every DataFrame (hundreds of Py4J calls saved per
 # query build; a new context gets new ones).
-_COLUMNS: dict[tuple, list[Column]] = {}
-
-
 def _memo(kind: str, build) -> list[Column]:
     from pyspark import SparkContext
     sc = SparkContext._active_spark_context
-    key = (kind, id(sc), id(sc._jsc) if sc is not None else None)
-    cols = _COLUMNS.get(key)
-    if cols is None:
-        cols = _COLUMNS[key] = build()
-    return cols
+    if sc is None:
+        return build()
+    # Kept on the context itself, so the columns live and die with its JVM.
+    memo = sc.__dict__.setdefault("_newsevents_columns", {})
+    if kind not in memo:
+        memo[kind] = build()
+    return memo[kind]
+
+
+#: A line with anything but blanks and control characters; the CSV source drops all others too.
+NOT_BLANK = r"[^\x00-\x20]"
 
 
 def events_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None,
@@ -73,10 +76,10 @@ def events_from_tokens(df: DataFrame, tok: Tok, keep: list[str] | None = None,
 def parse_events(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """In-memory event lines (one string column) -> typed event rows.
 
-    Blank lines are dropped; short lines give nulls for the missing columns;
+    Blank lines (white space only) are dropped, as the CSV scan does; short lines give nulls for the missing columns;
     columns past the 58th are ignored.
     """
-    toks = (lines.where(F.col(value) != F.lit(""))
+    toks = (lines.where(F.col(value).rlike(NOT_BLANK))
             .select(*(keep or []), split_all(F.col(value), "\t").alias("_tok")))
     return events_from_tokens(toks, lambda i: F.get(F.col("_tok"), i), keep, memo_key="split")
 
@@ -148,7 +151,7 @@ def parse_graph(lines: DataFrame, value: str = "value", keep: list[str] | None =
     A header line (first token ``DATE``) and blank lines are dropped; blank
     list items are dropped; extra inner tokens are ignored; bad numbers are null.
     """
-    toks = (lines.where(F.col(value) != F.lit(""))
+    toks = (lines.where(F.col(value).rlike(NOT_BLANK))
             .select(*(keep or []), split_all(F.col(value), "\t").alias("_tok"))
             .where(F.coalesce(F.get(F.col("_tok"), 0), F.lit("")) != F.lit(S.GRAPH_HEADER_FIRST)))
     return graph_from_tokens(toks, lambda i: F.get(F.col("_tok"), i), keep, memo_key="split")
@@ -156,11 +159,12 @@ def parse_graph(lines: DataFrame, value: str = "value", keep: list[str] | None =
 
 def with_row_key(df: DataFrame, source: Column | str, value: str = "value",
                  name: str = "row_id") -> DataFrame:
-    """Stable row key: md5 of ``source-line``.
+    """Content hash of a row: md5 of ``source-line``.
 
     ``source`` is the file path (``_metadata.file_path`` for a file scan) or
     any literal naming an in-memory feed. Unlike a split/offset key it does not
-    change when the input is split differently.
+    change when the input is split differently. It names a line's content, not
+    its place: identical lines of one file share it.
     """
     src = F.lit(source) if isinstance(source, str) else source
     return df.withColumn(name, F.md5(F.concat_ws("-", src, F.col(value))))

@@ -10,6 +10,10 @@ days are cut into buckets of ``bucket_days`` and each bucket also receives the
 holding most of the data - spreads over many tasks; the data grows by only
 ``1 + (N-1)/bucket_days``. ``moving_average_explode`` is the cartesian form
 (each point sent to its N target days, then sum/count) with the same result.
+
+A row without a day lies in no frame: both forms return it with a null average
+(the explode form one row per series), so it is seen, and ``check_series`` lists
+it. It never counts towards another day.
 """
 
 from __future__ import annotations
@@ -44,8 +48,8 @@ def moving_average(df: DataFrame, n: int, keys: Sequence[str] = (), day: str = "
               .withColumn("_bucket", F.explode(F.when(reaches_next, F.array(F.col("_home"), F.col("_home") + 1))
                                                .otherwise(F.array(F.col("_home"))))))
     w = Window.partitionBy(*keys, "_bucket").orderBy("_d").rangeBetween(-(n - 1), 0)
-    return (spread.withColumn(out, F.avg(value).over(w))
-            .where(F.col("_bucket") == F.col("_home"))
+    return (spread.withColumn(out, F.when(F.col("_d").isNotNull(), F.avg(value).over(w)))
+            .where(F.col("_bucket").eqNullSafe(F.col("_home")))
             .drop("_d", "_home", "_bucket"))
 
 
@@ -69,7 +73,7 @@ def moving_average_explode(df: DataFrame, n: int, keys: Sequence[str] = (), day:
     return (shifted.groupBy(*keys, "_target").agg(*aggs)
             .where(F.col("_pivot") == 0)        # the target day has a point of its own
             .select(*keys, F.col("_target").alias(day), *extra,
-                    (F.col("_s") / F.col("_c")).alias(out)))
+                    F.when(F.col("_target").isNotNull(), F.col("_s") / F.col("_c")).alias(out)))
 
 
 def check_series(df: DataFrame, keys: Sequence[str] = (), day: str = "day",

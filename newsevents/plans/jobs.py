@@ -7,9 +7,12 @@ One job per capability of the original batch jobs, plus the chained trend:
   pair-trend     <events> <out> [--c1 --c2 --window 30]   both, one plan
   top-entities   <graph> <out> [--top N]                  themes/persons/orgs
   extract-content <events> <pages.parquet> <out> [--parallel N]
-  cluster        <dir> [--k K] [--features 65536]         TF-IDF + k-means
+  cluster        <dir> [--day D] [--k K] [--features N]   TF-IDF + k-means on one day's articles
   stream-pair-average <feed dir> <out> [--c1 --c2] [--once]  running daily averages
                                                           as new daily files arrive
+
+All jobs take --checkpoint-dir: the folder that driver and executors share. What a
+job writes there is deleted when it ends.
 """
 
 from __future__ import annotations
@@ -28,11 +31,11 @@ from newsevents.operators.clusters import fit_clusters, model_cost, predict  # n
 from newsevents.operators.entities import entity_counts, entity_top_n  # noqa: E402
 from newsevents.operators.pairs import pair_daily_avg  # noqa: E402
 from newsevents.operators.trend import assert_series, moving_average, pair_trend  # noqa: E402
-from newsevents.operators.tfidf import analyze, tfidf_vectors  # noqa: E402
-from newsevents.session import cut_lineage, get_spark  # noqa: E402
+from newsevents.operators.tfidf import DEFAULT_FEATURES, analyze, tfidf_vectors  # noqa: E402
+from newsevents.session import cut_lineage, delete_scratch, get_spark  # noqa: E402
 from newsevents.sinks.writers import (write_articles, write_event_json, write_points,  # noqa: E402
                                       write_ranked, write_series, write_tsv)
-from newsevents.sources.feeds import read_articles, read_events, read_series  # noqa: E402
+from newsevents.sources.feeds import json_records, read_articles, read_events, read_series  # noqa: E402
 from newsevents.sources.feeds import read_graph  # noqa: E402
 
 
@@ -68,8 +71,13 @@ def job_extract_content(spark, a):
 
 
 def job_cluster(spark, a):
-    docs = read_articles(spark, os.path.join(a.dir, "content")).select(
-        F.col("cameo"), F.coalesce("content", F.lit("")).alias("text"))
+    docs = read_articles(spark, os.path.join(a.dir, "content"))
+    if a.day:
+        # The day's articles: those of its events, which extract-content wrote beside them.
+        events = json_records(spark.read.parquet(os.path.join(a.dir, "json")), "json", "day date")
+        own = events.where(F.col("json.day") == F.lit(a.day).cast("date")).select("cameo").distinct()
+        docs = docs.join(own, "cameo", "left_semi")
+    docs = docs.select(F.col("cameo"), F.coalesce("content", F.lit("")).alias("text"))
     terms = cut_lineage(analyze(docs).select("cameo", "terms"))
     vec = tfidf_vectors(terms, num_features=a.features)
     model = fit_clusters(vec, k=a.k)
@@ -99,12 +107,22 @@ def main(argv=None):
     s = sub.add_parser("extract-content"); s.add_argument("events"); s.add_argument("pages")
     s.add_argument("out"); s.add_argument("--parallel", type=int, default=None)
     s = sub.add_parser("cluster"); s.add_argument("dir"); s.add_argument("--k", type=int, default=None)
-    s.add_argument("--features", type=int, default=1 << 16)
+    s.add_argument("--features", type=int, default=DEFAULT_FEATURES)
+    s.add_argument("--day", default=None, help="train on and cluster this day's articles only (yyyy-mm-dd)")
     s = sub.add_parser("stream-pair-average"); s.add_argument("feed"); s.add_argument("out")
     s.add_argument("--c1", default="FR"); s.add_argument("--c2", default="UK")
     s.add_argument("--once", action="store_true", help="process the files present, then stop")
+    for s in sub.choices.values():
+        s.add_argument("--checkpoint-dir", default=None, help="folder that driver and executors share")
     a = p.parse_args(argv)
-    spark = get_spark(f"newsevents-{a.job}")
+    spark = get_spark(f"newsevents-{a.job}", conf={"spark.checkpoint.dir": a.checkpoint_dir} if a.checkpoint_dir else None)
+    try:
+        _run(spark, a)
+    finally:
+        delete_scratch(spark)
+
+
+def _run(spark, a):
     {"pair-average": job_pair_average, "moving-average": job_moving_average,
      "pair-trend": job_pair_trend, "top-entities": job_top_entities,
      "extract-content": job_extract_content, "cluster": job_cluster,

@@ -38,6 +38,16 @@ def q_assign_nearest(spark, sf_dir):
     return _assigned(spark, sf_dir).select("vec_id", "label", "cluster")
 
 
+@register("assign_odd_vectors", ASSIGN_SQL + """
+SELECT vec_id, CASE WHEN vec_id % 5 > 1 THEN cluster END AS cluster, vec_id % 5 > 1 AS has_distance FROM best WHERE r = 1""")
+def q_assign_odd_vectors(spark, sf_dir):
+    """M7 with null vectors (every fifth) and vectors cut short (every fifth): no cluster, no distance."""
+    emb = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    odd = emb.withColumn("embedding", F.when(F.col("vec_id") % 5 == 1, F.slice("embedding", 1, 3)).when(F.col("vec_id") % 5 > 1, F.col("embedding")))
+    a = assign_clusters(odd, mean_centers(emb, "label", "embedding"), "embedding")
+    return a.select("vec_id", "cluster", F.col("distance2").isNotNull().alias("has_distance"))
+
+
 @register("cluster_cost", ASSIGN_SQL + """
 SELECT ROUND(sum(d2), 6) AS cost, count(*) AS n_points FROM best WHERE r = 1""")
 def q_cluster_cost(spark, sf_dir):

@@ -189,6 +189,24 @@ def q_moving_avg_by_type(spark, sf_dir):
     return ma.select("event_type", "day", r6("avg_value").alias("avg_value"), r6("moving_avg").alias("moving_avg"))
 
 
+@register("moving_avg_no_day", """
+WITH d AS (SELECT event_type, CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS day, AVG(value) AS avg_value
+           FROM events GROUP BY 1, 2),
+m AS (SELECT event_type, day, AVG(avg_value) OVER (PARTITION BY event_type ORDER BY day
+             RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS a FROM d WHERE day IS NOT NULL
+      UNION ALL SELECT event_type, NULL, NULL FROM d WHERE day IS NULL)
+SELECT form, event_type, day, ROUND(a, 6) AS moving_avg FROM m, (VALUES ('window'), ('explode')) f(form)""")
+def q_moving_avg_no_day(spark, sf_dir):
+    """W1, J1 on series with rows that have no day: kept with a null average, in both forms alike."""
+    ev = table(spark, sf_dir, "events", "event_id", "event_type", "ts", "value")
+    day = F.when(F.col("event_id") % 97 != 0, F.to_date("ts"))
+    daily = ev.groupBy("event_type", day.alias("day")).agg(F.avg("value").alias("avg_value"))
+    forms = [f(daily, 7, keys=["event_type"], value="avg_value").select(
+        F.lit(name).alias("form"), "event_type", "day", r6("moving_avg").alias("moving_avg"))
+        for name, f in (("window", moving_average), ("explode", moving_average_explode))]
+    return forms[0].unionByName(forms[1])
+
+
 @register("series_check", EVENT_ROWS + """
 SELECT day, count(*) AS n_rows, count(*) FILTER (WHERE num_articles IS NULL) AS n_null
 FROM ev GROUP BY day

@@ -52,21 +52,25 @@ g AS (
 
 
 @register("graph_parse", GRAPH_BASE + """
-SELECT date, num, 1 AS n_counts, 'ORDER#' || num || '#' || cn_name AS first_count,
-       CAST(n_themes AS INTEGER) AS n_themes, CAST(1 + n_snat AS INTEGER) AS n_locations,
-       1 AS n_persons, c_name AS first_person, CAST(n_orgs AS INTEGER) AS n_organizations, num AS n_cameos, 1 AS n_sources,
-       o_orderpriority AS first_source, 2 AS n_urls
-FROM g""")
+SELECT date, num, 'ORDER#' || num || '#' || cn_name AS counts, coalesce(t.themes, '') AS themes,
+       CAST(1 + n_snat AS INTEGER) AS n_locations, c_name AS persons, coalesce(s.orgs, '') AS organizations,
+       coalesce(i.ids, '') AS cameos, o_orderpriority AS sources, p1.url || ' ' || p2.url AS urls
+FROM g
+LEFT JOIN (SELECT l_orderkey, string_agg(p_type, '|' ORDER BY p_type) AS themes
+           FROM (SELECT DISTINCT l_orderkey, p_type FROM lines) GROUP BY 1) t ON t.l_orderkey = o_orderkey
+LEFT JOIN (SELECT l_orderkey, string_agg(s_name, '|' ORDER BY s_name) AS orgs
+           FROM (SELECT DISTINCT l_orderkey, s_name FROM lines) GROUP BY 1) s ON s.l_orderkey = o_orderkey
+LEFT JOIN (SELECT l_orderkey, string_agg(CAST(l_orderkey * 8 + l_linenumber AS VARCHAR), '|' ORDER BY l_linenumber) AS ids
+           FROM lines GROUP BY 1) i ON i.l_orderkey = o_orderkey
+JOIN pages p1 ON p1.page_id = o_orderkey % (SELECT n FROM np)
+JOIN pages p2 ON p2.page_id = (o_orderkey + 1) % (SELECT n FROM np)""")
 def q_graph_parse(spark, sf_dir):
     """Graph lines parsed; header dropped; blank items and bad ids dropped."""
     g = parsed_graph(spark, sf_dir)
-    return g.select("date", "num", F.size("counts").alias("n_counts"),
-                    F.get("counts", 0).alias("first_count"), F.size("themes").alias("n_themes"),
-                    F.size("locations").alias("n_locations"), F.size("persons").alias("n_persons"),
-                    F.get("persons", 0).alias("first_person"),
-                    F.size("organizations").alias("n_organizations"),
-                    F.size("cameos").alias("n_cameos"), F.size("sources").alias("n_sources"),
-                    F.get("sources", 0).alias("first_source"), F.size("urls").alias("n_urls"))
+    whole = [F.array_join(F.col(c).cast("array<string>"), "|").alias(c)
+             for c in ("counts", "themes", "persons", "organizations", "cameos", "sources")]
+    return g.select("date", "num", *whole, F.size("locations").alias("n_locations"),
+                    F.array_join("urls", " ").alias("urls"))
 
 
 @register("graph_locations", GRAPH_BASE + """
@@ -138,6 +142,12 @@ def q_entity_top_10(spark, sf_dir):
     return entity_top_n(entity_counts(feed_graph(spark, sf_dir)), 10)
 
 
+@register("entity_top_2000", ENTITY_SQL + "\nSELECT kind, rank, entity, n FROM ranked WHERE rank <= 2000")
+def q_entity_top_2000(spark, sf_dir):
+    """T2 with a large N: past the partial group limit, by the distributed rank."""
+    return entity_top_n(entity_counts(feed_graph(spark, sf_dir)), 2000)
+
+
 @register("entity_ranked", ENTITY_SQL + "\nSELECT kind, rank, entity, n FROM ranked")
 def q_entity_ranked(spark, sf_dir):
     """T1, T2 as the reference runs it (no N): every entity with its rank."""
@@ -147,5 +157,5 @@ def q_entity_ranked(spark, sf_dir):
 @register("top_themes", ENTITY_SQL + "\nSELECT rank, entity, n FROM ranked WHERE kind = 'theme'")
 def q_top_themes(spark, sf_dir):
     """F3 + T2: the ranked theme list."""
-    ranked = entity_top_n(entity_counts(feed_graph(spark, sf_dir)), None)
-    return ranked.where(F.col("kind") == "theme").select("rank", "entity", "n")
+    ranked = entity_top_n(entity_counts(feed_graph(spark, sf_dir), ["theme"]), None)
+    return ranked.select("rank", "entity", "n")

@@ -7,6 +7,7 @@ row key and the writers are checked against the same SQL as the in-memory path.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,22 +116,40 @@ def q_articles_roundtrip(spark, sf_dir):
     return back.select("cameo", "title", F.md5("content").alias("content_md5"))
 
 
-@register("pair_average_tsv", PAIR_DAILY_SQL + "\nSELECT day, ROUND(avg_goldstein, 6) AS avg_goldstein FROM daily")
+def _follows(spark, path, schema, folder, *order):
+    """The lines of a TSV folder with ``in_order``: does the line before it in its file sort before it?
+
+    Windows are per file (and folder), so no more than a file meets in one task.
+    """
+    back = spark.read.schema(schema).option("sep", "\t").option("quote", "").csv(path)
+    placed = back.withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
+    here = F.struct(*order)
+    w = Window.partitionBy(*folder, "_file").orderBy("_at")
+    return placed.withColumn("_before", F.lag(here).over(w)).withColumn(
+        "in_order", F.coalesce(F.col("_before") < here, F.lit(True)))
+
+
+@register("pair_average_tsv", PAIR_DAILY_SQL + "\nSELECT day, ROUND(avg_goldstein, 6) AS avg_goldstein, TRUE AS in_order FROM daily")
 def q_pair_average_tsv(spark, sf_dir):
     """``day \\t avg`` text written and read back."""
     path = shared_dir(spark, "pair-average")
     write_tsv(pair_daily_avg(parsed_events(spark, sf_dir), *PAIR).orderBy("day"), path)
-    back = spark.read.schema("day date, avg_goldstein double").option("sep", "\t").csv(path)
-    return back.select("day", r6("avg_goldstein").alias("avg_goldstein"))
+    back = _follows(spark, path, "day date, avg_goldstein double", [], "day")
+    return back.select("day", r6("avg_goldstein").alias("avg_goldstein"), "in_order")
 
 
-@register("ranked_files", ENTITY_SQL + "\nSELECT kind, entity, n FROM counts")
+@register("ranked_files", ENTITY_SQL + """
+SELECT kind, entity, n, TRUE AS in_order FROM counts
+UNION ALL SELECT 'person', ' ' || entity || ' ', n, TRUE FROM counts WHERE kind = 'person'""")
 def q_ranked_files(spark, sf_dir):
     """K2, Q25: ranked ``entity \\t n`` files, one folder per kind, in one write."""
     path = shared_dir(spark, "ranked")
-    write_ranked(entity_counts(feed_graph(spark, sf_dir)), path)
-    return spark.read.schema("entity string, n bigint, kind string").option("sep", "\t").csv(path) \
-        .select("kind", "entity", "n")
+    counts = entity_counts(feed_graph(spark, sf_dir))
+    # Persons once more with blanks around the name, which must come back.
+    padded = counts.where("kind = 'person'").withColumn("entity", F.concat(F.lit(" "), "entity", F.lit(" ")))
+    write_ranked(counts.unionByName(padded), path)
+    return _follows(spark, path, "entity string, n bigint, kind string", ["kind"], -F.col("n"), "entity") \
+        .select("kind", "entity", "n", "in_order")
 
 
 @register("event_json_roundtrip", EVENT_ROWS + """

@@ -79,9 +79,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a private one in tests."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a private one on a local master only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share (jobs: --checkpoint-dir)")
         root = tempfile.mkdtemp(prefix="newsevents-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -90,24 +92,47 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """``(path, length, time)`` of a file, or of all files of a folder, on any file system; empty if it is not there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        if st.isDirectory():
+            out += list_files(spark, st.getPath().toString())
+        else:
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(out)
+
+
 def publish_once(spark: SparkSession, path: str, write) -> str:
-    """Write a derived table to ``path`` once; concurrent callers are safe.
+    """Write a derived table under ``path`` once and return where its copy is.
 
-    ``write(tmp_path)`` writes to a private folder that is then renamed into
-    place through the Hadoop FileSystem API (atomic on HDFS and local disks);
-    a caller that loses the race simply uses the winner's copy.
+    Each writer writes a version folder of its own, which counts only once
+    Spark has put ``_SUCCESS`` into it: a crash leaves a version that nobody
+    reads, and nothing is ever renamed over or into another writer's folder.
+    Of several complete versions the first by name is read.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-        return path
-    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-    write(tmp)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
-    return path
+    def complete() -> list[str]:
+        return sorted(f[:-len("/_SUCCESS")] for f, _, _ in list_files(spark, path) if f.endswith("/_SUCCESS"))
+
+    done = complete()
+    if not done:
+        write(f"{path}/v-{uuid.uuid4().hex[:12]}")
+        done = complete()
+    if not done:
+        raise RuntimeError(f"nothing complete was published under {path}")
+    return done[0]
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete the folders that ``shared_dir`` handed out in this application; for the end of a job."""
+    made = spark.sparkContext.__dict__.setdefault("_newsevents_scratch", [])
+    while made:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -119,7 +144,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     root = shared_root(spark)
     name = "-".join(parts + (uuid.uuid4().hex[:12],)) if parts else uuid.uuid4().hex
-    return os.path.join(root, name) if "://" not in root else root.rstrip("/") + "/" + name
+    path = os.path.join(root, name) if "://" not in root else root.rstrip("/") + "/" + name
+    spark.sparkContext.__dict__.setdefault("_newsevents_scratch", []).append(path)
+    return path
 
 
 def cut_lineage(df, name: str = "cut"):

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsevents.operators.records import null_empty_structs
 
 
+def _field(name: str) -> Column:
+    """A value as text: null is empty, a tab or line break in it becomes a blank (the format has no quoting)."""
+    return F.coalesce(F.regexp_replace(F.col(name).cast("string"), r"[\t\r\n]", " "), F.lit(""))
+
+
+def tsv_line(columns: list[str]) -> Column:
+    return F.concat_ws("\t", *[_field(c) for c in columns]).alias("value")
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Tab-separated text, no header (K1, K6)."""
-    (df.write.mode(mode).option("sep", "\t").option("header", "false")
-     .option("quote", "").option("nullValue", "").csv(path))
+    """Tab-separated text, no header (K1, K6); blanks around a value are kept."""
+    df.select(tsv_line(df.columns)).write.mode(mode).text(path)
 
 
 def write_series(df: DataFrame, path: str, day: str = "day", value: str = "value",
@@ -29,8 +37,7 @@ def write_ranked(counts: DataFrame, path: str, mode: str = "overwrite") -> None:
     """
     ordered = counts.repartitionByRange("kind", F.desc("n"), "entity").sortWithinPartitions(
         "kind", F.desc("n"), "entity")
-    (ordered.select("kind", "entity", "n").write.mode(mode).partitionBy("kind")
-     .option("sep", "\t").option("header", "false").option("quote", "").csv(path))
+    ordered.select("kind", tsv_line(["entity", "n"])).write.mode(mode).partitionBy("kind").text(path)
 
 
 def write_articles(articles: DataFrame, path: str, mode: str = "overwrite") -> None:

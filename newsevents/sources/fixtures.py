@@ -10,13 +10,12 @@ oracle can rebuild the very same text.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsevents.operators.dataflow import spread
-from newsevents.session import publish_once, shared_root
+from newsevents.session import list_files, publish_once, shared_root
 from newsevents.schema import EVENT_WIDTH
 from newsevents.sources.tables import table
 
@@ -43,8 +42,9 @@ def _page_urls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
 
 def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with the 58 feed fields as strings ``f0..f57``."""
+    tasks = spark.sparkContext.defaultParallelism   # the tables are single files of one row group
     li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                      "l_quantity", "l_discount", "l_returnflag", "l_linestatus"))
+                      "l_quantity", "l_discount", "l_returnflag", "l_linestatus"), tasks)
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
@@ -108,9 +108,10 @@ def _location(key: Column, name: Column) -> Column:
 
 def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFrame:
     """Knowledge-graph lines (column ``value``): one per order, plus a header line."""
-    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    tasks = spark.sparkContext.defaultParallelism
+    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), tasks)
     orders = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                          "o_totalprice", "o_orderpriority"))
+                          "o_totalprice", "o_orderpriority"), tasks)
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     part = table(spark, sf_dir, "part", "p_partkey", "p_type")
@@ -167,13 +168,11 @@ _FEED_TABLES = {"events": ["lineitem", "orders", "customer", "supplier", "part",
                 "graph": ["lineitem", "orders", "customer", "supplier", "part", "nation", "pages"]}
 
 
-def _stamp(sf_dir: str, tables: list[str]) -> str:
+def _stamp(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+    """Key of the tables as they are now: every file's path, length and time, on any file system."""
     parts = [FEED_VERSION, sf_dir.rstrip("/")]
     for t in tables:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if os.path.exists(p):           # local tables: a rewrite changes the key
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+        parts += map(str, list_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet"))
     return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -185,5 +184,5 @@ def feed_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
     readers, ``read_events`` / ``read_graph``.
     """
     build = {"events": event_lines, "graph": graph_lines}[kind]
-    path = f"{shared_root(spark).rstrip('/')}/feeds/{kind}-{_stamp(sf_dir, _FEED_TABLES[kind])}"
+    path = f"{shared_root(spark).rstrip('/')}/feeds/{kind}-{_stamp(spark, sf_dir, _FEED_TABLES[kind])}"
     return publish_once(spark, path, lambda tmp: build(spark, sf_dir).write.text(tmp))

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-# Parquet schema inference runs a small Spark job per read; the driver's
-# tables are read-only, so each path's schema is inferred once per process.
-_SCHEMAS: dict[str, T.StructType] = {}
+from newsevents.session import list_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; naming the columns keeps the scan's ReadSchema narrow."""
+    """Read one table; naming the columns keeps the scan's ReadSchema narrow.
+
+    Parquet schema inference runs a small Spark job per read; the schema is
+    kept on the context with the files (path, length, time) it was read from,
+    so a rewritten table is inferred again.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
+    known = spark.sparkContext.__dict__.setdefault("_newsevents_schemas", {})
+    files = list_files(spark, path)
+    if path not in known or known[path][0] != files:
+        known[path] = files, spark.read.parquet(path).schema
+    df = spark.read.schema(known[path][1]).parquet(path)
     return df.select(*columns) if columns else df

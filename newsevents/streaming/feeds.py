@@ -10,8 +10,11 @@ aggregates keep their running state in the state store:
 * entity counts: state = one count per (kind, entity); partial aggregation
   runs before the state shuffle as in batch.
 
-Checkpoints go under the session's shared folder (``spark.checkpoint.dir``),
-so a restarted query (or a lost executor) resumes from the last batch.
+A query that writes Parquet keeps its checkpoint beside its output
+(``<path>_checkpoint``), so starting it again resumes after the last batch. Each
+batch is written to a folder of its own, ``batch_id=<n>``, with overwrite: a batch
+that is run again replaces its rows. A query into memory has nothing to resume
+and gets a new checkpoint in the shared folder.
 """
 
 from __future__ import annotations
@@ -60,26 +63,25 @@ def entity_counts_stream(graph: DataFrame) -> DataFrame:
 def start(df: DataFrame, name: str, sink: str = "memory", path: str | None = None,
           mode: str | None = None, checkpoint: str | None = None,
           available_now: bool = False) -> StreamingQuery:
-    """Start a streaming aggregate with a checkpoint in the shared folder.
+    """Start a streaming aggregate, or go on with it after a stop.
 
     ``sink="memory"`` keeps the whole result as table ``name`` (mode
     ``complete``; tests, notebooks). ``sink="parquet"`` appends each batch's
-    changed rows (mode ``update``) to ``path`` through ``foreachBatch``, tagged
-    with the batch id, readable while the stream runs.
+    changed rows (mode ``update``) under ``path`` through ``foreachBatch``, with
+    the batch id as partition column, readable while the stream runs.
     """
     spark = df.sparkSession
-    checkpoint = checkpoint or shared_dir(spark, "stream", name)
+    if sink == "parquet" and not path:
+        raise ValueError("a parquet sink needs a path")
+    checkpoint = checkpoint or (path.rstrip("/") + "_checkpoint" if sink == "parquet" else shared_dir(spark, "stream", name))
     writer = df.writeStream.queryName(name).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     if sink == "memory":
         return writer.outputMode(mode or "complete").format("memory").start()
     if sink == "parquet":
-        if not path:
-            raise ValueError("a parquet sink needs a path")
-
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+            batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
         return writer.outputMode(mode or "update").foreachBatch(write_batch).start()
     raise ValueError(f"unknown sink {sink!r}")

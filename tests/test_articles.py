@@ -45,3 +45,32 @@ def test_hot_url_cited_by_most_events(spark):  # a third of rows on one key, and
     events = spark.createDataFrame(rows, "cameo long, source_url string").repartition(7)
     got = attach_content(events, arts).groupBy("content").count().collect()
     assert {r["content"]: r["count"] for r in got} == {"big story": 3000, "small": 10}
+
+
+def paragraphs(spark, html):
+    return extract_articles(pages(spark, [(1, "u", html)])).first().paragraphs
+
+
+def test_character_references(spark):
+    got = paragraphs(spark, "<article><p>&#8217; &rsquo; &mdash; &#x27; &#x1F600; &amp;lt; &nosuch; &#0; &#xD800; &AMP; a&nbsp;b & c &#99999999; &eacute;")
+    assert got == ["\u2019 \u2019 \u2014 ' \U0001F600 &lt; &nosuch; \ufffd \ufffd & a b & c &#99999999; \u00e9"]
+
+
+def test_several_nested_and_open_articles(spark):
+    assert paragraphs(spark, "<article><p>one</p></article><p>between</p><ARTICLE class=x><p>two</p></ARTICLE>") == ["one", "two"]
+    assert paragraphs(spark, "<article><p>a</p><article><p>b</p></article><p>c</p></article><p>d</p>") == ["a", "b", "c"]
+    assert paragraphs(spark, "<article><p>open<p>to the end") == ["open", "to the end"]
+    assert paragraphs(spark, "</article><article><p>x</p></article></article>") == ["x"]
+
+
+def test_open_noise_runs_to_the_end(spark):
+    assert paragraphs(spark, "<article><p>kept</p><script>var a = '<p>no</p>'") == ["kept"]
+    assert paragraphs(spark, "<article><p>kept</p><!-- <p>no</p>") == ["kept"]
+    assert paragraphs(spark, "<p>no article</p>") == []
+
+
+def test_refetched_url_counts_once(spark):
+    arts = extract_articles(pages(spark, [(1, "a", "<article><p>old</p></article>"), (7, "a", "<article><p>new</p></article>"),
+                                          (3, "a", "<article><p>mid</p></article>"), (9, "a", None)]))
+    events = spark.createDataFrame([(10, "a"), (10, "a")], "cameo long, source_url string")
+    assert [(r.cameo, r.content) for r in attach_content(events, arts).collect()] == [(10, "new")] * 2

@@ -28,3 +28,39 @@ def test_daily_cluster_sizes(spark):  # C2
                                    "cameo long, day date")
     got = sorted(tuple(r) for r in daily_cluster_sizes(points, events).collect())
     assert got == [(date(2014, 9, 9), 0, 2), (date(2014, 9, 10), 1, 1)]
+
+
+def test_null_and_short_vectors_get_no_cluster(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0], 0), (2, [9.0, 9.0], 1), (3, None, 0), (4, [1.0], 0)], "id long, v array<double>, label int")
+    centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [9.0, 9.0])], "cluster int, center array<double>")
+    got = assign_clusters(df, centers, "v")
+    assert sorted((r.id, r.cluster, r.distance2) for r in got.collect()) == [(1, 0, 0.0), (2, 1, 0.0), (3, None, None), (4, None, None)]
+    assert tuple(cluster_cost(got).first()) == (0.0, 2)
+
+
+def test_ties_and_many_blocks(spark, monkeypatch):
+    from newsevents.operators import clusters
+    monkeypatch.setattr(clusters, "BLOCK_CELLS", 4)      # two centers a block
+    centers = spark.createDataFrame([(c, [float(c % 5), 0.0]) for c in range(9)], "cluster int, center array<double>")
+    df = spark.createDataFrame([(i, [float(i % 5), 0.0]) for i in range(20)], "id long, v array<double>")
+    assert all(r.cluster == r.id % 5 for r in assign_clusters(df, centers, "v").collect())
+
+
+def test_more_than_a_million_center_cells(spark):
+    centers = spark.range(2).selectExpr("cast(id as int) cluster", "transform(sequence(1, 600000), x -> double(id)) center")
+    df = spark.range(2).selectExpr("id", "transform(sequence(1, 600000), x -> double(id)) v")
+    assert all(r.cluster == r.id for r in assign_clusters(df, centers, "v").select("id", "cluster").collect())
+
+
+def test_few_distinct_points_and_one_day(spark):
+    from datetime import date
+
+    from pyspark.ml.linalg import Vectors
+    from newsevents.operators.clusters import cluster_day, fit_clusters, n_centers
+    rows = [(i, date(2014, 9, 9), Vectors.dense([float(i % 2), 0.0])) for i in range(20)] + [(99, date(2014, 9, 10), Vectors.dense([50.0, 50.0]))]
+    df = spark.createDataFrame(rows, ["id", "day", "features"])
+    assert n_centers(fit_clusters(df.where("id < 20"), k=4)) == 2
+    model, assigned = cluster_day(df, date(2014, 9, 9), k=2)
+    got = {r.id: r.cluster for r in assigned.collect()}
+    assert set(got) == set(range(20)) and len({got[i] for i in range(0, 20, 2)}) == 1 and got[0] != got[1]
+    assert all(max(c) <= 1.0 for c in model.clusterCenters())

@@ -31,8 +31,11 @@ def test_jobs_end_to_end(spark, tmpdir_path):
                                                     "out": out + "/x", "parallel": 4}))
     assert spark.read.parquet(out + "/x/content").count() == 40
     assert spark.read.parquet(out + "/x/json").count() == 40
-    jobs.job_cluster(spark, type("A", (), {"dir": out + "/x", "k": 2, "features": 64}))
+    jobs.job_cluster(spark, type("A", (), {"dir": out + "/x", "k": 2, "features": 64, "day": None}))
     assert spark.read.option("sep", "\t").csv(out + "/x/points").count() == 40
+    day = spark.read.json(spark.read.parquet(out + "/x/json").select("json").rdd.map(lambda r: r.json)).groupBy("day").count().orderBy("day").first()
+    jobs.job_cluster(spark, type("A", (), {"dir": out + "/x", "k": 2, "features": 64, "day": day["day"]}))
+    assert spark.read.option("sep", "\t").csv(out + "/x/points").count() == day["count"]     # C3: that day only
 
 
 def test_write_ranked_one_pass_rank_order(spark, tmpdir_path):  # K2, Q25

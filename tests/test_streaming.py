@@ -55,3 +55,22 @@ def test_stream_to_parquet_in_update_mode(spark, tmpdir_path):
     q.stop()
     rows = spark.read.parquet(out).orderBy("batch_id").collect()
     assert [(r.avg_goldstein, r.n) for r in rows] == [(4.0, 1), (5.0, 2)]
+
+
+def test_restarted_stream_goes_on(spark, tmpdir_path):
+    """Two runs over one folder with a file added in between: no batch twice, latest averages right."""
+    feed, out = os.path.join(tmpdir_path, "feed"), os.path.join(tmpdir_path, "out")
+
+    def once():
+        q = start(pair_daily_avg_stream(stream_events(spark, feed), "FR", "UK"), "restart_test",
+                  sink="parquet", path=out, available_now=True)
+        q.awaitTermination(120)
+
+    write_file(feed, "a.CSV", [event_line(c0="1", c1="20140909", c30="4", c37="FR", c44="UK")])
+    once()
+    once()
+    write_file(feed, "b.CSV", [event_line(c0="2", c1="20140909", c30="6", c37="FR", c44="UK"),
+                               event_line(c0="3", c1="20140910", c30="1", c37="FR", c44="UK")])
+    once()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.batch_id, r.day.day, r.avg_goldstein) for r in rows) == [(0, 9, 4.0), (1, 9, 5.0), (1, 10, 1.0)]
