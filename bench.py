@@ -26,7 +26,7 @@ HEADLINE = [
     "moving_avg_by_type", "series_check",
     "graph_parse", "graph_file_scan", "entity_counts", "entity_ranked", "entity_top_10",
     "article_paragraphs", "article_text", "event_content",
-    "term_freq", "tfidf", "stemmed_terms", "kmeans_documents",
+    "term_freq", "tfidf", "stemmed_terms", "day_clusters",
     "assign_nearest", "daily_cluster_sizes",
 ]
 
