@@ -36,11 +36,24 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+#: Spark's setting that deletes a finished query's shuffle files.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (lineage ends there)."""
+    """Write ``df`` to the shared folder and read it back (lineage ends there).
+
+    The shuffle files behind the table are deleted once it is written, not when
+    the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out
