@@ -12,9 +12,10 @@ nodes share are found with one shuffle; a task sends one row of each shingle it
 holds to the shared key and spreads the others, so that a shingle held by a
 third of all nodes lands in no single task.
 
-Candidates pass length and positional filters, distinct pairs a count filter on
-their common prefix shingles and a suffix filter (counts of the sets' hashes by
-range bound the overlap), and are then verified once on the whole sets.
+Shingles that nobody shares are taken out of the positions first. Candidates
+pass length, index-prefix and positional filters, distinct pairs a suffix filter
+(counts of the sets' hashes by range bound the overlap), and are then verified
+once on the whole sets.
 
 Groups are not expanded into all their pairs. First each node is compared with
 the smallest node of each of its shingles, then in the same way the components
@@ -29,7 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsevents.llm.bpe import token_keys
@@ -164,8 +165,6 @@ def shared_grams(nodes: DataFrame) -> DataFrame:
         if rows:
             yield from send(held)
 
-    from pyspark.sql import Window
-
     sent = arrow_map(nodes.select("doc", "n", "prefix"), run, f"gram long, salt short, doc {kind}, n int, pos int, twin boolean")
     seen = F.count("*").over(Window.partitionBy("gram", "salt"))
     return sent.withColumn("seen", seen).where("twin or seen > 1").select("gram", "doc", "n", "pos")
@@ -176,84 +175,106 @@ def need(a: Column, b: Column) -> Column:
     return F.ceil(PERCENT * (a + b) / F.lit(100 + PERCENT))
 
 
+def refined(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``gram, doc, n, pos, own``: the members without what cannot link.
+
+    A prefix shingle that no other node holds is in no overlap. Without those a
+    node keeps ``own`` shingles, and ``pos`` counts among them. A partner needs
+    PERCENT of the set at least, so a row further back than that allows goes,
+    and with it a node that has too few shingles of its own kept. A shingle left
+    with one node goes too. (A document with several texts keeps its rows.)
+    """
+    many = nodes.groupBy("doc").count().where("count > 1").select("doc", F.lit(True).alias("many"))
+    by_doc = Window.partitionBy("doc").orderBy("pos")
+    seen = (members.withColumn("rank", F.row_number().over(by_doc) - 1)
+            .withColumn("shared", F.count("*").over(Window.partitionBy("doc"))).join(many, "doc", "left"))
+    own = F.when(F.col("many"), F.col("n")).otherwise(F.col("n") - (F.floor(F.col("n") / 4) + 1 - F.col("shared")))
+    pos = F.when(F.col("many"), F.col("pos")).otherwise(F.col("rank"))
+    left = (seen.select("gram", "doc", F.col("n").cast("long").alias("n"), pos.cast("long").alias("pos"), own.cast("long").alias("own"))
+            .where(F.col("pos") <= F.col("own") - F.ceil(PERCENT * F.col("n") / F.lit(100))))
+    alive = left.groupBy("gram").count().where("count > 1").select("gram")
+    return left.join(alive, "gram", "left_semi")
+
+
 def may_link(a: str, b: str) -> Column:
-    """Length, index-prefix and positional filter on two members of one shingle (struct columns with ``doc, n, pos``)."""
-    na, nb, pa_, pb = (F.col(f"{x}.{y}").cast("long") for y in ("n", "pos") for x in (a, b))
-    small, pos = F.least(na, nb), F.when(na <= nb, pa_).otherwise(pb)
-    small_first = F.when(na == nb, F.least(pa_, pb)).otherwise(pos)
+    """Length, index-prefix and positional filter on two members of one shingle (struct columns with ``doc, n, pos, own``)."""
+    na, nb, pa_, pb, oa, ob = (F.col(f"{x}.{y}") for y in ("n", "pos", "own") for x in (a, b))
+    small = F.least(na, nb)
     length = 100 * small >= PERCENT * F.greatest(na, nb)
-    # The smaller set need only be indexed by what can be missing from an equally large partner.
-    index = small_first <= small - F.ceil(2 * PERCENT * small / F.lit(100 + PERCENT))
-    place = F.least(pa_, pb) + 1 + F.least(na - pa_ - 1, nb - pb - 1) >= need(na, nb)
+    # The smaller set is found by what may be missing from an equally large partner.
+    def first(n, pos, own):
+        return pos <= own - F.ceil(2 * PERCENT * n / F.lit(100 + PERCENT))
+    index = F.when(na < nb, first(na, pa_, oa)).when(nb < na, first(nb, pb, ob)).otherwise(first(na, pa_, oa) & first(nb, pb, ob))
+    place = F.least(pa_, pb) + 1 + F.least(oa - pa_ - 1, ob - pb - 1) >= need(na, nb)
     return length & index & place
 
 
-class Verifier:
-    """Verifies pairs of nodes on their whole sets, made from the texts of the documents named."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, members: DataFrame):
-        self.ranges = nodes.select("doc", F.col("n").alias("size"), "ranges")
-        self.sets = written(self._sets(docs, members.select("doc").distinct()), "shingle-sets")
-
-    def _sets(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-        """``doc, set`` of the documents wanted.
-
-        A filter of ``ID_BITS`` bits on their ids goes to the tasks; it only
-        saves work, the join behind it decides.
-        """
-        kind = dict(docs.dtypes)["doc_id"]
-        bit = F.pmod(F.xxhash64("doc"), F.lit(ID_BITS))
-        words = (wanted.select(F.shiftright(bit, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, int(pmod(xxhash64(doc), {ID_BITS}) % 64))").alias("bits"))
-                 .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())  # at most ID_BITS / 64 rows
-        table = np.zeros(ID_BITS // 64, np.int64)
-        table[words["word"].to_numpy()] = words["bits"].to_numpy()
-        shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
-
-        def run(it):
-            bits = shared.value
-            for b in batches(it):
-                slot = b.column(2).to_numpy()
-                keep = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
-                if not keep.any():
-                    continue
-                b = b.filter(pa.array(keep.astype(bool)))
-                sets = [s for _, part in sets_of(b.column(1)) for s in part]
-                off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets)))], ["doc", "set"])
-
-        rows = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("slot"))
-        made = arrow_map(rows, run, f"doc {kind}, set array<long>")
-        # Rows with one id: the smallest set stands for the id's node only if it is that node's; see nodes_of.
-        return made.join(wanted, "doc", "left_semi")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` that link."""
-        r = self.ranges
-        a = r.select(F.col("doc").alias("a"), F.col("size").alias("na"), F.col("ranges").alias("ra"))
-        b = r.select(F.col("doc").alias("b"), F.col("size").alias("nb"), F.col("ranges").alias("rb"))
-        bound = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
-        close = pairs.join(a, "a").join(b, "b").where(bound >= need(F.col("na"), F.col("nb"))).select("a", "b")
-        sa = self.sets.select(F.col("doc").alias("a"), F.col("set").alias("sa"))
-        sb = self.sets.select(F.col("doc").alias("b"), F.col("set").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        return (close.join(sb, "b").join(sa, "a")
-                .where(100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc, set`` of the documents wanted, and of few others.
+
+    A filter of ``ID_BITS`` bits on their ids goes to the tasks; it only saves
+    work, as the joins that follow name the documents they need.
+    """
+    kind = dict(docs.dtypes)["doc_id"]
+    bit = F.pmod(F.xxhash64("doc"), F.lit(ID_BITS))
+    words = (wanted.select(F.shiftright(bit, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, int(pmod(xxhash64(doc), {ID_BITS}) % 64))").alias("bits"))
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())  # at most ID_BITS / 64 rows
+    table = np.zeros(ID_BITS // 64, np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def run(it):
+        bits = shared.value
+        for b in batches(it):
+            slot = b.column(2).to_numpy()
+            keep = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            if not keep.any():
+                continue
+            b = b.filter(pa.array(keep.astype(bool)))
+            sets = [s for _, part in sets_of(b.column(1)) for s in part]
+            off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets)))], ["doc", "set"])
+
+    rows = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("slot"))
+    return arrow_map(rows, run, f"doc {kind}, set array<long>")
+
+
+def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The distinct pairs ``a, b`` of ``pairs`` that link: suffix filter, then the whole sets.
+
+    Only the sets of documents in pairs that the filter leaves are made.
+    """
+    a = nodes.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra"))
+    b = nodes.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb"))
+    bound = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+    close = written(pairs.distinct().join(a, "a").join(b, "b").where(bound >= need(F.col("na"), F.col("nb"))).select("a", "b"), "close-pairs")
+    sets = written(_sets(docs, close.select(F.explode(F.array("a", "b")).alias("doc")).distinct()), "shingle-sets")
+    sa = sets.select(F.col("doc").alias("a"), F.col("set").alias("sa"))
+    sb = sets.select(F.col("doc").alias("b"), F.col("set").alias("sb"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    found = written(close.join(sb, "b").join(sa, "a")
+                    .where(100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "links")
+    discard(close, sets)
+    return found
+
+
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Every node ``u`` hangs on one ``v``, and no such ``v`` hangs on another."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("low"), F.lit(0).alias("top")),
+                                          F.struct(F.col("v").alias("x"), F.lit(0).alias("low"), F.lit(1).alias("top")))).alias("e")).select("e.*")
+    nodes = ends.groupBy("x").agg(F.sum("low").alias("low"), F.max("top").alias("top"))
+    most, both = nodes.agg(F.max("low"), F.max(F.least(F.col("low"), F.col("top").cast("long")))).first()
+    return (most or 0) <= 1 and not both
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``doc, comp``: the smallest id that each node of ``a, b`` reaches (large-star and small-star rounds).
 
     Each round hooks neighbours to the smallest one known; the tables between
-    rounds are written, nothing comes to the driver but a checksum.
+    rounds are written, nothing comes to the driver but two counts.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    check = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    old = None
-    while True:
-        mark = now.agg(F.count("*"), check).collect()[0]
-        if mark == old or mark[0] == 0:
-            break
-        old = mark
+    while not _is_star_forest(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).withColumnRenamed("u", "x")
         large = both.join(low, F.col("u") == F.col("x")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -280,37 +301,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = (rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2")
              .agg(F.min(F.struct("doc_id", "n", "prefix", "ranges")).alias("s"))
              .select("d1", "d2", F.col("s.doc_id").alias("doc"), "s.n", "s.prefix", "s.ranges"))
-    members = written(shared_grams(nodes), "shared-grams")
+    shared = written(shared_grams(nodes), "shared-grams")
     slim = written(nodes.select("d1", "d2", "doc", "n", "ranges"), "nodes")
+    members = written(refined(shared, slim), "members")
     flat = written(rows.select("doc_id", "n", "d1", "d2"), "documents")
-    discard(rows)
-    verifier = Verifier(docs, slim, members)
-    member = F.struct("doc", "n", "pos")
+    discard(rows, shared)
+    member = F.struct("doc", "n", "pos", "own")
+
+    def ids(candidates: DataFrame) -> DataFrame:
+        return candidates.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+
+    def grouped(edges: DataFrame) -> DataFrame:
+        """The members with their component."""
+        comp = written(components(edges), "components")
+        return members.join(comp, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
 
     # Each node with the smallest node of each of its shingles.
     lead = members.groupBy("gram").agg(F.min(member).alias("x"))
     star = members.select("gram", member.alias("y")).join(lead, "gram").where("x.doc <> y.doc").where(may_link("x", "y"))
-    edges = written(verifier.links(star.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()), "links")
+    edges = links(docs, slim, ids(star))
 
     # The components found, as single members of their shingles, in the same way.
-    comp = written(components(edges), "components")
-    placed = members.join(comp, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    groups = placed.groupBy("gram", "comp").agg(F.min(member).alias("y"))
+    groups = grouped(edges).groupBy("gram", "comp").agg(F.min(member).alias("y"))
     lead = groups.groupBy("gram").agg(F.min(F.struct("comp", "y")).alias("first"), F.max("comp").alias("top")).where("first.comp < top")
     star = groups.join(lead.select("gram", F.col("first.comp").alias("c"), F.col("first.y").alias("x")), "gram").where("comp <> c").where(may_link("x", "y"))
-    more = written(verifier.links(star.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()), "links")
-    edges = edges.unionByName(more)
-    comp = written(components(edges), "components")
+    edges = edges.unionByName(links(docs, slim, ids(star)))
 
     # All candidates that are left between two components.
-    placed = members.join(comp, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    placed = grouped(edges)
     is_open = placed.groupBy("gram").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("gram")
     left = written(placed.join(is_open, "gram", "left_semi"), "open-grams")
     one = left.select("gram", member.alias("x"), F.col("comp").alias("cx"))
     two = left.select("gram", member.alias("y"), F.col("comp").alias("cy"))
     pairs = one.join(two, "gram").where("cx <> cy and x.doc < y.doc").where(may_link("x", "y"))
-    rest = written(verifier.links(pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()), "links")
-    final = written(components(edges.unionByName(rest)), "components")
+    final = written(components(edges.unionByName(links(docs, slim, ids(pairs)))), "components")
+    discard(members, left)
 
     named = slim.select("d1", "d2", "doc").join(final, "doc", "left").select("d1", "d2", F.coalesce("comp", "doc").alias("component"))
     return (flat.join(named, ["d1", "d2"], "left")

@@ -98,3 +98,15 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(sf + "/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in QUERIES["op6_ngram_join"](spark, sf).collect()), key=str)
     assert got == plain(rows)
+
+
+def test_components_of_random_graphs(spark):
+    rng = np.random.default_rng(9)
+    for n, m in ((40, 30), (60, 60)):
+        pairs = [(int(a), int(b)) for a, b in rng.integers(0, n, (m, 2))]
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        got = {r.doc: r.comp for r in J.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        assert [got.get(i, i) for i in range(n)] == root
