@@ -32,7 +32,7 @@ from newsevents.llm.bpe import spread
 from newsevents.llm.common import arrow_map, batches, slices, text_buffer, written
 
 #: Error budget as a share of an item's length, and the bytes of items in a block.
-RATE, BLOCK_BYTES = 0.05, 1 << 20
+RATE, BLOCK_BYTES = 0.08, 1 << 20
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
