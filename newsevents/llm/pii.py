@@ -157,18 +157,18 @@ def _replace(m: str, key: str) -> str:
     return _bind(kind, "k", _bind(new, "p", "named_struct('kind', if(p is null, null, k), 'value', coalesce(p, " + m + "))"))
 
 
-def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``text_col`` rewritten, and ``pii`` (an array of the kinds replaced, in order).
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", kinds_col: str = "pii") -> DataFrame:
+    """``docs`` with ``text_col`` rewritten, and ``kinds_col`` (an array of the kinds replaced, in order).
 
-    ``pii`` replaces a column of that name; other columns stay as they are. A
-    null text stays null and has no ``pii``; an empty or very long text is
+    ``kinds_col`` replaces a column of that name; other columns stay as they are.
+    A null text stays null and has null kinds; an empty or very long text is
     handled as any other; repeated rows come out alike. Candidates that are not
     valid stay as they are. ``key`` is the secret: the same key gives the same
     pseudonyms in every table.
     """
     secret = "'" + key.replace("\\", "\\\\").replace("'", "\\'") + "'"
     text = "`" + text_col + "`"
-    names = [c for c in docs.columns if c not in (text_col, "pii")]
+    names = [c for c in docs.columns if c not in (text_col, kinds_col)]
     kept = [F.col(f"`{c}`") for c in names]
     # Only texts with a digit or a mail sign are searched.
     hot = f"({text} rlike '[0-9@]')"
@@ -179,5 +179,5 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     rest = new.select(*kept, F.col(text).alias(text_col), "__new",
                       F.expr(f"if(size(__new) > 0, split({text}, {_q(ANY)}, -1), cast(array() as array<string>))").alias("__rest"))
     order = [F.expr(f"if(size(__new) > 0, concat(array_join(zip_with(slice(__rest, 1, size(__new)), __new, (a, b) -> concat(a, b.value)), ''), "
-                    f"element_at(__rest, -1)), {text})").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != "pii"]
-    return rest.select(*order, F.expr("filter(transform(__new, x -> x.kind), k -> k is not null)").alias("pii"))
+                    f"element_at(__rest, -1)), {text})").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != kinds_col]
+    return rest.select(*order, F.expr("filter(transform(__new, x -> x.kind), k -> k is not null)").alias(kinds_col))

@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import types as T
 
 import corpus_pipeline as C
 from newsevents.llm import bpe
@@ -53,7 +54,8 @@ def test_stages_in_order_against_plain_versions(spark):
 def test_extra_columns_nulls_and_empty_table(spark):
     docs = spark.read.parquet(SF + "/documents.parquet").limit(40).selectExpr("*", "'x' as kept", "1 as component_id", "2 as pii", "3 as row")
     odd = spark.createDataFrame([(None, "a few words that stand alone in a text of their own here", None, None, None, None, None, None, None),
-                                 (7001, None, None, None, None, None, None, None, None)], docs.schema)
+                                 (7001, None, None, None, None, None, None, None, None)],
+                                T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]))
     for start in (docs.unionByName(odd), docs.limit(0)):
         now = start
         for _, stage in C.STAGES[:-1]:
