@@ -41,7 +41,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal numbers, dates and addresses replaced (op 1); ``n_chars`` follows the text."""
-    out = pseudonymise(docs, PII_KEY).drop("pii")
+    out = pseudonymise(docs, PII_KEY, kinds_col="__kinds").drop("__kinds")
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
