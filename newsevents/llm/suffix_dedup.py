@@ -252,7 +252,8 @@ def _borders(docs: DataFrame, parts: int) -> list[bytes]:
 
     No two suffixes with one gram fall in different ranges.
     """
-    some = docs.where(F.length("text") <= 20_000).orderBy(F.xxhash64("row")).limit(SAMPLE_TEXTS).select("text").collect()
+    ids = docs.where(F.length("text") <= 20_000).select(F.col("row").alias("_row")).orderBy(F.xxhash64("_row")).limit(SAMPLE_TEXTS)
+    some = docs.join(F.broadcast(ids), F.col("row") == F.col("_row")).select("text").limit(SAMPLE_TEXTS).collect()
     grams: list[bytes] = []
     for r in some:
         raw = np.frombuffer(r.text.encode(), np.uint8)
