@@ -31,8 +31,8 @@ from newsevents.llm.common import arrow_map, batches, slices, text_buffer
 from newsevents.llm.words import Adam, Bags, WordCache, char_table, grams, word_spans
 
 #: Bounds of the training sample: clean and toxic rows, and the longest text taken (in characters; such texts are taken whole).
-SAMPLE_ROWS, SAMPLE_CHARS = (3_000, 800), 6_000
-BUCKETS, DIM, LOW, HIGH, WINDOW = 1 << 17, 8, 3, 6, 4
+SAMPLE_ROWS, SAMPLE_CHARS = (2_200, 700), 5_000
+BUCKETS, DIM, LOW, HIGH, WINDOW = 1 << 17, 8, 3, 5, 2
 STEPS, ROUNDS, ROUND_STEPS, RATE = 15, 6, 20, 0.05
 WORST = 4
 CHARS = char_table(b"0123456789@$")
@@ -79,6 +79,7 @@ def train(texts: list[bytes], toxic: np.ndarray, steps: int = STEPS, seed: int =
     size = (ends - starts)[first]
     owner, gram = grams(buf[spread(starts[first], size)], size, LOW, HIGH, BUCKETS)
     used, gram = np.unique(gram, return_inverse=True)  # only n-grams seen have parameters to fit
+    owner, gram = owner.astype(np.int32), gram.astype(np.int32)
     # Windows side by side: words of one text, WINDOW at a time.
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
     _, window = np.unique(rows * (1 << 32) + place // WINDOW, return_inverse=True)

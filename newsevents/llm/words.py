@@ -42,7 +42,7 @@ def grams(data: np.ndarray, size: np.ndarray, low: int, high: int, buckets: int)
     marked[ends - 1] = ord(">")
     marked[spread(starts + 1, size)] = data
     left = np.repeat(ends, size + 2) - np.arange(len(marked))  # bytes up to the word's end
-    owner = np.repeat(np.arange(n), size + 2)
+    owner = np.repeat(np.arange(n, dtype=np.int32), size + 2)
     h = np.zeros(len(marked), np.uint64)
     out_w, out_g = [], []
     for k in range(1, high + 1):
@@ -53,7 +53,7 @@ def grams(data: np.ndarray, size: np.ndarray, low: int, high: int, buckets: int)
             g ^= g >> np.uint64(31)
             g *= np.uint64(0x9E3779B97F4A7C15)
             out_w.append(owner[ok])
-            out_g.append((g >> np.uint64(33)).astype(np.int64) % buckets)
+            out_g.append((g >> np.uint64(33)).astype(np.int32) % np.int32(buckets))
     return np.concatenate(out_w), np.concatenate(out_g)
 
 
@@ -61,8 +61,8 @@ class Bags:
     """Rows of a parameter table averaged per group, and the gradient back to the rows."""
 
     def __init__(self, group: np.ndarray, item: np.ndarray, n_groups: int, n_items: int):
-        order = np.argsort(group, kind="stable")
-        self.item = item[order]
+        group, item = group.astype(np.int32), item.astype(np.int32)  # a bounded sample: half the memory
+        self.item = item[np.argsort(group, kind="stable")]
         count = np.bincount(group, minlength=n_groups)
         self.some = np.flatnonzero(count)
         self.count, self.at = count[self.some], (np.cumsum(count) - count)[self.some]
