@@ -76,6 +76,14 @@ def q_json_fields(spark, sf_dir):
     return json_records(ev, "props", schema).select("event_id", "event_type", F.col("props.k").alias("k"))
 
 
+@register("json_inferred", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_json_inferred(spark, sf_dir):
+    """The schema inferred from every JSON text, then the field by name."""
+    ev = table(spark, sf_dir, "events", "event_id", "props")
+    return json_records(ev, "props").select("event_id", F.col("props.k").alias("k"))
+
+
 @register("event_file_scan", PAIR_DAILY_SQL + "\nSELECT day, ROUND(avg_goldstein, 6) AS avg_goldstein FROM daily")
 def q_event_file_scan(spark, sf_dir):
     """Event feed written as TSV text, scanned by the CSV source (filter pushed down)."""

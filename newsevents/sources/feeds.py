@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,15 +58,25 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.ARTICLE_SCHEMA).parquet(path)
 
 
+def infer_json_schema(df: DataFrame, column: str) -> T.StructType:
+    """Schema of a JSON-string column from all its rows: Spark's own inference, one distributed pass.
+
+    Only the merged schema comes to the driver.
+    """
+    spark = df.sparkSession
+    text = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("value"))
+    lines = getattr(text._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return T.StructType.fromJson(json.loads(spark._jsparkSession.read().json(lines).schema().json()))
+
+
 def json_records(df: DataFrame, column: str, schema: T.StructType | str | None = None,
                  sample: str | None = None) -> DataFrame:
     """Parse a JSON-string column into a struct column named ``column``.
 
     With no schema, one is inferred from ``sample`` (a representative JSON
-    text) - never by collecting the data; pass a schema for production.
+    text) or, without that either, from the data (``infer_json_schema``, a pass of
+    its own); pass a schema for production.
     """
     if schema is None:
-        if sample is None:
-            raise ValueError("give a schema, or a sample JSON text to infer it from")
-        schema = F.schema_of_json(F.lit(sample))
+        schema = F.schema_of_json(F.lit(sample)) if sample is not None else infer_json_schema(df, column)
     return df.withColumn(column, F.from_json(F.col(column), schema))
