@@ -466,24 +466,42 @@ def decode_ids(ids: np.ndarray, vocabulary: tuple[np.ndarray, np.ndarray]) -> np
     return data[spread(off[ids], off[ids + 1] - off[ids])]
 
 
-def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def decode_batch(buf: np.ndarray, offsets: np.ndarray, words: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+    """The bytes of each text from its ids (little-endian unsigned 32-bit, at ``offsets`` of ``buf``)."""
+    out: list[bytes] = []
+    for i, j in slices(offsets):
+        ids = np.frombuffer(buf[offsets[i]:offsets[j]].tobytes(), "<u4").astype(np.int64)
+        raw = decode_ids(ids, words).tobytes()
+        # Where the texts lie in the decoded bytes, from the sizes of their tokens.
+        size = np.concatenate([[0], np.cumsum(words[1][ids + 1] - words[1][ids])])
+        cut = size[(offsets[i:j + 1] - offsets[i]) // 4].tolist()
+        out += [raw[x:y] for x, y in zip(cut, cut[1:])]
+    return out
+
+
+def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """Encode each text: ``doc_id, n_tokens long, ids binary`` (little-endian unsigned 32-bit).
 
-    One row per input row, in no order. A null text counts as empty; an empty
-    text has no ids. A null id stays null and repeated rows are repeated. Texts
-    of any length are encoded whole. Special-token strings are ordinary text.
-    ``ranks_path`` must name the file on every executor.
+    ``decoded`` adds ``decoded binary``, what the ids stand for, as ``decode``
+    does, in the same pass. One row per input row, in no order. A null text
+    counts as empty; an empty text has no ids. A null id stays null and repeated
+    rows are repeated. Texts of any length are encoded whole. Special-token
+    strings are ordinary text. ``ranks_path`` must name the file on every
+    executor.
     """
     kind = dict(docs.dtypes)[id_col]
+    names = ["doc_id", "n_tokens", "ids"] + ["decoded"] * decoded
 
     def run(it):
         coder = encoder(ranks_path)
         for b in batches(it):
             ids = encode_batch(*text_buffer(b.column(1)), coder)
-            n = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            cols = [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                cols.append(pa.array(decode_batch(*text_buffer(cols[2]), coder.vocabulary), pa.binary()))
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    return arrow_map(docs.select(id_col, text_col), run, f"doc_id {kind}, n_tokens long, ids binary")
+    return arrow_map(docs.select(id_col, text_col), run, f"doc_id {kind}, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -493,17 +511,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     def run(it):
         words = encoder(ranks_path).vocabulary
         for b in batches(it):
-            buf, off = text_buffer(b.column(2))
-            decoded = []
-            for i, j in slices(off):
-                ids = np.frombuffer(buf[off[i]:off[j]].tobytes(), "<u4").astype(np.int64)
-                raw = decode_ids(ids, words).tobytes()
-                # Offsets of the texts in the decoded bytes, from the ids' sizes.
-                size = np.concatenate([[0], np.cumsum(words[1][ids + 1] - words[1][ids])])
-                cut = size[(off[i:j + 1] - off[i]) // 4].tolist()
-                decoded += [raw[x:y] for x, y in zip(cut, cut[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(decoded, pa.binary())],
-                                             ["doc_id", "n_tokens", "ids", "decoded"])
+            out = pa.array(decode_batch(*text_buffer(b.column(2)), words), pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], out], ["doc_id", "n_tokens", "ids", "decoded"])
 
     return arrow_map(encoded.select("doc_id", "n_tokens", "ids"), run,
                      f"doc_id {kind}, n_tokens long, ids binary, decoded binary")

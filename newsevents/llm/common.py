@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from newsevents.session import ship_package, shared_dir
 
 #: Upper bound on the bytes of text that one numpy pass works on (one document may be longer).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str, name: str = "documents") -> DataFrame:

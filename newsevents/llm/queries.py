@@ -30,10 +30,10 @@ def op3(spark, sf_dir):
     """Whole texts encoded by the multilingual rank file, then decoded from the ids."""
     import public_tokenizers
 
-    from newsevents.llm.bpe import decode, encode
+    from newsevents.llm.bpe import encode
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    out = decode(encode(documents(spark, sf_dir, "doc_id", "text"), path), path)
+    out = encode(documents(spark, sf_dir, "doc_id", "text"), path, decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

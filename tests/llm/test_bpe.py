@@ -69,6 +69,7 @@ def frame(spark):
 
 def test_round_trip(frame):
     out = bpe.decode(bpe.encode(frame, PATH), PATH).collect()
+    assert sorted(map(repr, out)) == sorted(map(repr, bpe.encode(frame, PATH, decoded=True).collect()))
     assert len(out) == len(HAND) + 4
     texts = {(i, t or "") for i, t, _ in frame.collect()}
     for r in out:
