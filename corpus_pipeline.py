@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsevents.llm.bpe import decode, encode
+from newsevents.llm.bpe import encode
 from newsevents.llm.common import documents, written
 from newsevents.llm.decontamination import clean
 from newsevents.llm.ngram_join import near_duplicates
@@ -48,7 +48,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text (op 3): ``doc_id, n_tokens, ids`` and a digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return decode(encode(docs, path), path).select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(docs, path, decoded=True).select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
