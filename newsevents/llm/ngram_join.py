@@ -12,10 +12,13 @@ nodes share are found with one shuffle; a task sends one row of each shingle it
 holds to the shared key and spreads the others, so that a shingle held by a
 third of all nodes lands in no single task.
 
-Shingles that nobody shares are taken out of the positions first. Candidates
-pass length, index-prefix and positional filters, distinct pairs a suffix filter
-(counts of the sets' hashes by range bound the overlap), and are then verified
-once on the whole sets.
+A prefix shingle that is in no other prefix can still lie behind a partner's
+prefix, but only behind one that ends earlier in the global order. So of two
+nodes the one whose prefix ends first has its unshared prefix shingles taken out
+of what may be common, the other one has not. Candidates pass length,
+index-prefix and positional filters on these counts, distinct pairs a suffix
+filter (counts of the sets' hashes by range bound the overlap), and are then
+verified once on the whole sets.
 
 Groups are not expanded into all their pairs. First each node is compared with
 the smallest node of each of its shingles, then in the same way the components
@@ -105,29 +108,32 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, d1, d2, prefix, ranges`` of each row: set size, digest, rarest shingles in order, counts by range."""
+    """``doc_id, n, d1, d2, prefix, en, eg, ranges`` of each row: set size, digest, rarest shingles in order, place of the last of them in the global order, counts by range."""
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # SKETCH counters
 
     def run(it):
         freq = shared.value
         for b in batches(it):
-            n, digest, prefix, ranges = [], [], [], []
+            n, digest, prefix, ends, ranges = [], [], [], [], []
             for _, sets in sets_of(b.column(1)):
                 for s in sets:
                     n.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    order = np.lexsort((s, freq[s & (SKETCH - 1)]))
-                    prefix.append(s[order[:len(s) // 4 + 1]].tobytes() if len(s) else b"")
+                    count = freq[s & (SKETCH - 1)]
+                    order = np.lexsort((s, count))[:len(s) // 4 + 1]
+                    prefix.append(s[order].tobytes())
+                    ends.append((int(count[order[-1]]), int(s[order[-1]])) if len(s) else (0, 0))
                     ranges.append(np.bincount(s & (RANGES - 1), minlength=RANGES).astype(np.int32))
             halves = np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
             flat = pa.array(np.concatenate(ranges))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, RANGES, dtype=np.int32)), flat)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), *[pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)],
-                 pa.array(prefix, pa.binary()), lists], ["doc_id", "n", "d1", "d2", "prefix", "ranges"])
+                 pa.array(prefix, pa.binary()), *[pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], lists],
+                ["doc_id", "n", "d1", "d2", "prefix", "en", "eg", "ranges"])
 
-    return arrow_map(docs, run, f"doc_id {kind}, n long, d1 long, d2 long, prefix binary, ranges array<int>")
+    return arrow_map(docs, run, f"doc_id {kind}, n long, d1 long, d2 long, prefix binary, en long, eg long, ranges array<int>")
 
 
 def shared_grams(nodes: DataFrame) -> DataFrame:
@@ -176,36 +182,50 @@ def need(a: Column, b: Column) -> Column:
 
 
 def refined(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``gram, doc, n, pos, own``: the members without what cannot link.
-
-    A prefix shingle that no other node holds is in no overlap. Without those a
-    node keeps ``own`` shingles, and ``pos`` counts among them. A partner needs
-    PERCENT of the set at least, so a row further back than that allows goes,
-    and with it a node that has too few shingles of its own kept. A shingle left
-    with one node goes too. (A document with several texts keeps its rows.)
+    """``gram, doc, n, rank, far, near, last``: the members without what cannot link.
+
+    ``last`` is the end of the node's prefix in the global order. ``far`` counts
+    the node's shingles after this one, ``near`` those of them that another
+    prefix holds or that are behind the prefix: no others can be common with a
+    partner whose prefix ends no earlier. ``rank`` counts the shared ones before
+    this one; both prefixes reach that far, so no others can be common there. The
+    node of a pair whose prefix ends first must find PERCENT of its set in
+    ``near``, so a row goes that cannot if no row that can ends earlier. (A
+    document with several texts keeps its places.)
     """
-    many = nodes.groupBy("doc").count().where("count > 1").select("doc", F.lit(True).alias("many"))
+    ends = nodes.groupBy("doc").agg((F.count("*") > 1).alias("many"), F.max(F.struct("en", "eg")).alias("last"))
     by_doc = Window.partitionBy("doc").orderBy("pos")
     seen = (members.withColumn("rank", F.row_number().over(by_doc) - 1)
-            .withColumn("shared", F.count("*").over(Window.partitionBy("doc"))).join(many, "doc", "left"))
-    own = F.when(F.col("many"), F.col("n")).otherwise(F.col("n") - (F.floor(F.col("n") / 4) + 1 - F.col("shared")))
-    pos = F.when(F.col("many"), F.col("pos")).otherwise(F.col("rank"))
-    left = (seen.select("gram", "doc", F.col("n").cast("long").alias("n"), pos.cast("long").alias("pos"), own.cast("long").alias("own"))
-            .where(F.col("pos") <= F.col("own") - F.ceil(PERCENT * F.col("n") / F.lit(100))))
-    alive = left.groupBy("gram").count().where("count > 1").select("gram")
-    return left.join(alive, "gram", "left_semi")
-
-
-def may_link(a: str, b: str) -> Column:
-    """Length, index-prefix and positional filter on two members of one shingle (struct columns with ``doc, n, pos, own``)."""
-    na, nb, pa_, pb, oa, ob = (F.col(f"{x}.{y}") for y in ("n", "pos", "own") for x in (a, b))
+            .withColumn("shared", F.count("*").over(Window.partitionBy("doc"))).join(ends, "doc"))
+    far = F.col("n") - F.col("pos") - 1
+    near = F.when(F.col("many"), far).otherwise(F.col("n") - F.floor(F.col("n") / 4) - 1 + F.col("shared") - F.col("rank") - 1)
+    rank = F.when(F.col("many"), F.col("pos")).otherwise(F.col("rank"))
+    left = (seen.select("gram", "doc", F.col("n").cast("long").alias("n"), rank.cast("long").alias("rank"),
+                        far.cast("long").alias("far"), near.cast("long").alias("near"), "last")
+            .withColumn("opens", F.col("near") + 1 >= F.ceil(PERCENT * F.col("n") / F.lit(100))))
+    low = (left.groupBy("gram").agg(F.min(F.when(F.col("opens"), F.col("last"))).alias("low"))
+           .where("low is not null"))
+    return left.join(low, "gram").where("opens or last >= low").drop("opens", "low")
+
+
+def may_link(a: str, b: str, only_first: bool = False) -> Column:
+    """Length, index-prefix and positional filter on two members of one shingle (struct columns of ``refined``).
+
+    ``only_first``: the shingle must be able to be the first one that the two
+    have in common. That finds every pair that links, but at one shingle only.
+    """
+    na, nb, pa_, pb = (F.col(f"{x}.{y}") for y in ("n", "rank") for x in (a, b))
     small = F.least(na, nb)
     length = 100 * small >= PERCENT * F.greatest(na, nb)
+    rest_a = F.when(F.col(f"{a}.last") <= F.col(f"{b}.last"), F.col(f"{a}.near")).otherwise(F.col(f"{a}.far"))
+    rest_b = F.when(F.col(f"{b}.last") <= F.col(f"{a}.last"), F.col(f"{b}.near")).otherwise(F.col(f"{b}.far"))
+    if only_first:
+        return length & (1 + F.least(rest_a, rest_b) >= need(na, nb))
     # The smaller set is found by what may be missing from an equally large partner.
-    def first(n, pos, own):
-        return pos <= own - F.ceil(2 * PERCENT * n / F.lit(100 + PERCENT))
-    index = F.when(na < nb, first(na, pa_, oa)).when(nb < na, first(nb, pb, ob)).otherwise(first(na, pa_, oa) & first(nb, pb, ob))
-    place = F.least(pa_, pb) + 1 + F.least(oa - pa_ - 1, ob - pb - 1) >= need(na, nb)
+    def first(n, rest):
+        return rest + 1 >= F.ceil(2 * PERCENT * n / F.lit(100 + PERCENT))
+    index = F.when(na < nb, first(na, rest_a)).when(nb < na, first(nb, rest_b)).otherwise(first(na, rest_a) & first(nb, rest_b))
+    place = F.least(pa_, pb) + 1 + F.least(rest_a, rest_b) >= need(na, nb)
     return length & index & place
 
 
@@ -299,14 +319,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(prefixes(docs, sketch(docs)), "prefixes")
     nodes = (rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2")
-             .agg(F.min(F.struct("doc_id", "n", "prefix", "ranges")).alias("s"))
-             .select("d1", "d2", F.col("s.doc_id").alias("doc"), "s.n", "s.prefix", "s.ranges"))
+             .agg(F.min(F.struct("doc_id", "n", "prefix", "en", "eg", "ranges")).alias("s"))
+             .select("d1", "d2", F.col("s.doc_id").alias("doc"), "s.n", "s.prefix", "s.en", "s.eg", "s.ranges"))
     shared = written(shared_grams(nodes), "shared-grams")
-    slim = written(nodes.select("d1", "d2", "doc", "n", "ranges"), "nodes")
+    slim = written(nodes.select("d1", "d2", "doc", "n", "en", "eg", "ranges"), "nodes")
     members = written(refined(shared, slim), "members")
     flat = written(rows.select("doc_id", "n", "d1", "d2"), "documents")
     discard(rows, shared)
-    member = F.struct("doc", "n", "pos", "own")
+    member = F.struct("doc", "n", "rank", "far", "near", "last")
 
     def ids(candidates: DataFrame) -> DataFrame:
         return candidates.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
@@ -333,7 +353,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = written(placed.join(is_open, "gram", "left_semi"), "open-grams")
     one = left.select("gram", member.alias("x"), F.col("comp").alias("cx"))
     two = left.select("gram", member.alias("y"), F.col("comp").alias("cy"))
-    pairs = one.join(two, "gram").where("cx <> cy and x.doc < y.doc").where(may_link("x", "y"))
+    pairs = one.join(two, "gram").where("cx <> cy and x.doc < y.doc").where(may_link("x", "y", only_first=True))
     final = written(components(edges.unionByName(links(docs, slim, ids(pairs)))), "components")
     discard(members, left)
 

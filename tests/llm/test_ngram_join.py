@@ -80,6 +80,23 @@ def test_against_brute_force(spark):
     assert join(spark, rows) == plain(rows)
 
 
+def test_pairs_of_unequal_length(spark):
+    rng = np.random.default_rng(11)
+    def fresh(n):
+        return ["".join(rng.choice(list("klmnop"), 7)) for _ in range(n)]
+    texts = []
+    for base, one, two in [(30, 2, 6), (6, 2, 0)] + [tuple(int(x) for x in rng.integers((8, 0, 0), (120, 12, 25))) for _ in range(300)]:
+        both = fresh(base)
+        texts += [" ".join(both + fresh(one)), " ".join(both + fresh(two))]  # appended tails
+    for n in range(20, 60):
+        whole = fresh(n)
+        texts += [" ".join(whole), " ".join(whole[:n - n // 5]), " ".join(fresh(3) + whole[n // 6:])]  # cut tail, new head
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)]
+    want = plain(rows)
+    assert join(spark, rows) == want
+    assert len({c for _, _, c in want}) < len(rows) - 100
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert J.near_duplicates(empty).count() == 0
