@@ -80,16 +80,26 @@ def _bind(value: str, name: str, body: str) -> str:
 
 
 def _card(m: str, key: str) -> str:
-    """First digit kept, payload permuted, Luhn digit made anew; null if the number is not valid."""
-    n = "length(d)"
-    payload = f"transform({_chars(f'substr(d, 2, {n} - 2)')}, c -> cast(c as bigint))"
-    permuted = f"concat(substr(d, 1, 1), array_join({feistel(payload, f'array_repeat(cast(10 as bigint), {n} - 2)', 'card', key)}, ''))"
+    """First digit kept, payload permuted, Luhn digit made anew; null if no number is valid.
+
+    The number is the longest valid run of whole groups (the first of equal
+    ones), so a date or code before or after a card does not hide it.
+    """
+    n = "length(w.d)"
+    payload = f"transform({_chars(f'substr(w.d, 2, {n} - 2)')}, c -> cast(c as bigint))"
+    permuted = f"concat(substr(w.d, 1, 1), array_join({feistel(payload, f'array_repeat(cast(10 as bigint), {n} - 2)', 'card', key)}, ''))"
     # Every second digit from the right, starting with the last of the payload, counts double.
     weigh = "if((length(p) - i) % 2 = 1, if(int(c) > 4, 2 * int(c) - 9, 2 * int(c)), int(c))"
     check = f"(10 - aggregate(transform({_chars('p')}, (c, i) -> {weigh}), 0, (a, x) -> a + x) % 10) % 10"
     whole = _bind(permuted, "p", f"concat(p, string({check}))")
-    valid = f"{n} between 13 and 19 and luhn_check(d) and d rlike '[1-9]'"
-    return _bind(_digits(m), "d", f"if({valid}, {_refill(m, whole)}, null)")
+    at = f"sequence(1, length({m}))"
+    begins = f"filter({at}, k -> k = 1 or substr({m}, k - 1, 1) in (' ', '-'))"
+    ends = f"filter({at}, k -> k = length({m}) or substr({m}, k + 1, 1) in (' ', '-'))"
+    run = _digits(f"substr({m}, b, e - b + 1)")
+    runs = f"flatten(transform({begins}, b -> transform(filter({ends}, e -> e >= b + 12), e -> named_struct('n', -length({run}), 'b', b, 'e', e, 'd', {run}))))"
+    valid = "-r.n between 13 and 19 and luhn_check(r.d) and r.d rlike '[1-9]'"
+    new = f"concat(substr({m}, 1, w.b - 1), {_refill(f'substr({m}, w.b, w.e - w.b + 1)', whole)}, substr({m}, w.e + 1))"
+    return _bind(f"array_min(filter({runs}, r -> {valid}))", "w", f"if(w is null, null, {new})")
 
 
 def _phone(m: str, key: str) -> str:

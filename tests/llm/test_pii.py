@@ -158,6 +158,16 @@ def test_formats_hold_and_values_stay_linked(spark):
     assert other != one
 
 
+def test_cards_beside_other_numbers(spark):
+    beside = [("", " 12/27"), ("", " 123"), ("12 ", ""), ("7 ", " 12"), ("", "-12")]
+    cards = ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "5500-0000-0000-0004"]
+    rows = [(k, a + c + b, a + plain_card(c) + b) for k, (c, (a, b)) in enumerate((c, x) for c in cards for x in beside)
+            if not luhn(re.sub("[^0-9]", "", (a + c + b).split("/")[0]))]
+    assert len(rows) > 12
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame([("pay " + t + ".", k) for k, t, _ in rows], "text string, doc_id long"), KEY).collect()}
+    assert all((got[k].text, got[k].pii) == ("pay " + want + ".", ["card"]) for k, _, want in rows)
+
+
 def test_query(spark):
     from newsevents.llm.queries import PII_KEY, QUERIES
     global KEY
