@@ -31,9 +31,13 @@ ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DAY_DATE = r"(?<![0-9./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9+(])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
-FOREIGN = r"(?<![0-9+])\+[2-9](?:[ .()-]{0,2}[0-9]){8,13}(?![0-9])"
+# With +1 or brackets any area and exchange will do. FOREIGN also has those with +1 and an area below 200, LOOSE the others.
+FOREIGN = (r"(?<![0-9+])(?:\+[2-9](?:[ .()-]{0,2}[0-9]){8,13}"
+           r"|\+1[ .-]?(?:\([01][0-9]{2}\) ?|[01][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9])")
+LOOSE = (r"(?<![0-9+(])(?:\+1[ .-]?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[01][0-9]{2}"
+         r"|\([0-9]{3}\) ?[0-9]{3})[ .-][0-9]{4}(?![0-9])")
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
-ANY = "|".join((EMAIL, IP, ISO_DATE, DAY_DATE, SSN, PHONE, FOREIGN, CARD))
+ANY = "|".join((EMAIL, IP, ISO_DATE, DAY_DATE, SSN, PHONE, FOREIGN, LOOSE, CARD))
 
 
 def _q(s: str) -> str:
@@ -117,6 +121,18 @@ def _foreign(m: str, key: str) -> str:
     return _bind(_digits(m), "d", _refill(m, f"concat(left(d, 2), array_join({f}, ''))"))
 
 
+def _loose(m: str, key: str) -> str:
+    """Below area 200 all digits after the area's first, as with +1; else area (200 to 999), exchange (0 to 199) and line.
+
+    Either way the pseudonym is again one that ``_phone`` never makes.
+    """
+    low = feistel(f"transform({_chars('substr(t, 2)')}, c -> cast(c as bigint))", "array_repeat(cast(10 as bigint), 9)", "phone", key)
+    high = feistel(f"array({_number('t', 1, 3)} - 200, {_number('t', 4, 3)}, {_number('t', 7, 4)})", "array(800L, 200L, 10000L)", "phone", key)
+    high = _bind(high, "v", f"concat({_pad('v[0] + 200', 3)}, {_pad('v[1]', 3)}, {_pad('v[2]', 4)})")
+    new = f"if(t < '2', concat(left(t, 1), array_join({low}, '')), {high})"
+    return _bind(_digits(m), "d", _bind("right(d, 10)", "t", _refill(m, f"concat(left(d, length(d) - 10), {new})")))
+
+
 def _ip(m: str, key: str) -> str:
     octets = f"transform(split({m}, '[.]'), x -> cast(x as bigint))"
     f = feistel("v", "array_repeat(cast(256 as bigint), 4)", "ip", key)
@@ -158,12 +174,12 @@ def _replace(m: str, key: str) -> str:
     def whole(p):
         return f"{m} rlike {_q('^(?:' + p + ')$')}"
     kind = (f"case when contains({m}, '@') then 'email' when {whole(IP)} then 'ip' when {whole(ISO_DATE)} or {whole(DAY_DATE)} then 'date' "
-            f"when {whole(SSN)} then 'ssn' when {whole(PHONE)} or {whole(FOREIGN)} then 'phone' else 'card' end")
+            f"when {whole(SSN)} then 'ssn' when {whole(PHONE)} or {whole(FOREIGN)} or {whole(LOOSE)} then 'phone' else 'card' end")
     # A date with dots or slashes is read day first, else month first.
     dated = ", ".join(f"if({whole(shape)}, {_date(m, pattern, key)}, null)" for shape, pattern in (
         ("[0-9]{4}-.*", "yyyy-MM-dd"), (r"..\...\.....", "dd.MM.yyyy"), ("../../....", "dd/MM/yyyy"), ("../../....", "MM/dd/yyyy")))
     new = (f"case k when 'email' then {_email(m, key)} when 'ip' then {_ip(m, key)} when 'date' then coalesce({dated}) "
-           f"when 'ssn' then {_ssn(m, key)} when 'phone' then if({whole(PHONE)}, {_phone(m, key)}, {_foreign(m, key)}) else {_card(m, key)} end")
+           f"when 'ssn' then {_ssn(m, key)} when 'phone' then if({whole(PHONE)}, {_phone(m, key)}, if({whole(FOREIGN)}, {_foreign(m, key)}, {_loose(m, key)})) else {_card(m, key)} end")
     return _bind(kind, "k", _bind(new, "p", "named_struct('kind', if(p is null, null, k), 'value', coalesce(p, " + m + "))"))
 
 
