@@ -1,19 +1,28 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule scores a text from 0 to 100 (higher is worse) and rejects it at a
-cutoff or above. Cutoffs come from labelled rows. For each stratum and rule the
-holdout half certifies cutoffs from the most lenient to the strictest: one is
-certified if the exact binomial upper bound on the share of good rows rejected
-is at most ``ALPHA`` split over the rules, at confidence 1 - ``DELTA`` split
-over all strata and rules (Bonferroni); the walk stops at the first that is not
-(fixed-sequence testing, so the error stays that of one test). So with
-probability 1 - ``DELTA``, no stratum loses more than ``ALPHA`` of its good rows
-to the rules. Of the certified cutoffs the strictest is taken at which, in the
-other half of the labelled rows, most of what is rejected is labelled bad. With
-too few labels nothing can be certified and the rule stays off.
+Each rule scores a text from 0 to 100 (higher is worse). In each stratum one
+half of the labelled rows says what each score is worth: the odds of bad to good
+among the rows with that score or more. A text's combined score is the best odds
+that one of its rules gives (a level from 0 to 100), so a cutoff on it is a
+cutoff on every rule at once. The holdout half certifies combined cutoffs from
+the most lenient to the strictest: one is certified if the exact binomial upper
+bound on the share of good rows rejected is at most ``ALPHA``, at confidence
+1 - ``DELTA`` split over the strata (Bonferroni); the walk stops at the first
+that is not (fixed-sequence testing, so the error stays that of one test). So
+with probability 1 - ``DELTA``, no stratum that certifies loses more than
+``ALPHA`` of its good rows to all rules together. Of the certified cutoffs the
+one is taken that in the other half rejects most bad rows beyond the good ones
+(of equal ones the strictest).
+
+All strata together are one more, pooled, stratum. A labelled stratum that
+certifies no cutoff of its own takes the pooled cutoffs; there the bound holds
+for the good rows of all strata, not for its own. The rules stay off in a stratum
+without labelled rows, which the pool knows nothing of, and everywhere if the
+pooled rows are too few as well.
 
 The statistics cover every labelled row: Spark counts (stratum, rule, score,
-half, label), and each stratum and rule is then a few hundred counts.
+half, label), then (stratum, combined score, half, label), and a stratum is a
+few thousand counts at most.
 """
 
 from __future__ import annotations
@@ -134,45 +143,78 @@ def binomial_tail(n: int, p: float, k: int) -> float:
 
 
 def cutoff(score: np.ndarray, holdout: np.ndarray, is_good: np.ndarray, count: np.ndarray, alpha: float, delta: float) -> int | None:
-    """The cutoff of one stratum and rule, from counts by (score, holdout, good); None: off."""
+    """The cutoff on one stratum's (combined) score, from counts by (score, holdout, good); None: off."""
     def tail(half, good_rows):
         own = (holdout == half) & (is_good == good_rows)
         return np.bincount(score[own], count[own], minlength=101)[::-1].cumsum()[::-1]
     good = tail(True, True)
     tune_good, tune_bad = tail(False, True), tail(False, False)
-    n, best = int(good[0]), None
+    n, best, most = int(good[0]), None, 0
     for c in range(100, 0, -1):
         if n == 0 or binomial_tail(n, alpha, int(good[c])) > delta:
             break
-        if tune_bad[c] > 0 and tune_bad[c] >= tune_good[c]:
-            best = c
+        gain = int(tune_bad[c]) - int(tune_good[c])
+        if tune_bad[c] > 0 and gain >= most:
+            best, most = c, gain
     return best
 
 
+def levels(score: np.ndarray, is_good: np.ndarray, count: np.ndarray) -> list[int]:
+    """Level of each score of a rule, from the counts of the rows that are not held out: 0, or 50 to 100 by the odds of bad to good.
+
+    A score has the best level of the cutoffs up to it, so levels never fall.
+    """
+    good, bad = (np.bincount(score[own], count[own], minlength=101)[::-1].cumsum()[::-1] for own in (is_good, ~is_good))
+    odds = np.minimum(50 + np.floor(6 * np.log2((bad + 1) / (good + 1))), 100)
+    level = np.where((bad > 0) & (bad >= good), odds, 0)
+    level[0] = 0  # a score of 0 is no offence
+    return np.maximum.accumulate(level).astype(int).tolist()
+
+
 def thresholds(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """``stratum, cutoffs map<string,int>`` from counted rows (``doc_id, stratum``, ``COUNTS``) and labels (``doc_id, quality``).
 
-    Rows that the base rules reject, and labels that are null, take no part. A
+    Inside, the null stratum is the pooled one. Rows that the base rules reject, and labels that are null, take no part. A
     row with several labels counts once for each.
     """
     own = scores()
-    seen = (counted.where(~base_failed())
-            .join(labels.where("quality is not null").select(F.col("doc_id").alias("_id"), "quality"), F.col("doc_id") == F.col("_id"))
-            .select("stratum", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0).alias("holdout"),
-                    (F.col("quality") == 1).alias("good"),
-                    F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), own[r].alias("score")) for r in RULES])).alias("s")))
-    hist = written(seen.groupBy("stratum", "holdout", "good", "s.rule", "s.score").count(), "quality-histogram")
-    strata = hist.select("stratum").distinct().count()
-    each_alpha, each_delta = alpha / len(RULES), delta / max(1, strata * len(RULES))
-
-    def certify(key, counted):
-        own = {n: counted[n].to_numpy(zero_copy_only=False) for n in ("score", "holdout", "good", "count")}
-        c = cutoff(own["score"], own["holdout"], own["good"], own["count"], each_alpha, each_delta)
-        rows = [] if c is None else [{"stratum": key[0].as_py(), "rule": key[1].as_py(), "cutoff": c}]
-        return pa.Table.from_pylist(rows, pa.schema([("stratum", pa.string()), ("rule", pa.string()), ("cutoff", pa.int32())]))
-
-    found = hist.groupBy("stratum", "rule").applyInArrow(certify, "stratum string, rule string, cutoff int")
-    return found.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    seen = written(counted.where(~base_failed())
+                   .join(labels.where("quality is not null").select(F.col("doc_id").alias("_id"), "quality"), F.col("doc_id") == F.col("_id"))
+                   .select(F.explode(F.array(F.col("stratum"), F.lit(None).cast("string"))).alias("stratum"),
+                           (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0).alias("holdout"),
+                           (F.col("quality") == 1).alias("good"), *[own[r].alias(r) for r in RULES])
+                   .groupBy("stratum", "holdout", "good", *RULES).count(), "quality-scores")
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("score")) for r in RULES])).alias("s")
+    tune = (seen.where("not holdout").select("stratum", "good", "count", each)
+            .groupBy("stratum", "s.rule", "s.score", "good").agg(F.sum("count").alias("count")))
+
+    def rank(key, t):
+        score, good, count = (t[n].to_numpy(zero_copy_only=False) for n in ("score", "good", "count"))
+        return pa.Table.from_pylist([{"stratum": key[0].as_py(), "rule": key[1].as_py(), "level": levels(score, good, count)}],
+                                    pa.schema([("stratum", pa.string()), ("rule", pa.string()), ("level", pa.list_(pa.int32()))]))
+
+    ranked = tune.groupBy("stratum", "rule").applyInArrow(rank, "stratum string, rule string, level array<int>")
+    maps = written(ranked.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "level"))).alias("level")), "quality-levels")
+    maps = maps.withColumnRenamed("stratum", "_stratum")
+    worst = F.greatest(*[F.coalesce(F.get(F.col("level")[r], F.col(r)), F.lit(0)) for r in RULES])
+    hist = written(seen.join(maps, F.col("stratum").eqNullSafe(F.col("_stratum")))
+                   .groupBy("stratum", "holdout", "good", worst.alias("score")).agg(F.sum("count").alias("count")), "quality-histogram")
+    each_delta = delta / max(1, hist.select("stratum").distinct().count())  # the pooled stratum counts as one
+
+    def certify(key, t):
+        own = {n: t[n].to_numpy(zero_copy_only=False) for n in ("score", "holdout", "good", "count")}
+        c = cutoff(own["score"], own["holdout"], own["good"], own["count"], alpha, each_delta)
+        rows = [] if c is None else [{"stratum": key[0].as_py(), "cutoff": c}]
+        return pa.Table.from_pylist(rows, pa.schema([("stratum", pa.string()), ("cutoff", pa.int32())]))
+
+    found = hist.groupBy("stratum").applyInArrow(certify, "stratum string, cutoff int")
+    # Levels never fall: the scores below the cutoff are as many as the smallest score that reaches it.
+    lowest = F.map_filter(F.transform_values("level", lambda _, v: F.size(F.filter(v, lambda x: x < F.col("cutoff")))), lambda _, v: v <= 100)
+    certified = written(found.join(maps, F.col("stratum").eqNullSafe(F.col("_stratum"))).select("stratum", lowest.alias("cutoffs")), "quality-certified")
+    pooled = certified.where("stratum is null").agg(F.first("cutoffs").alias("_pooled"))  # always one row
+    strata = hist.where("stratum is not null").select("stratum").distinct()
+    return (strata.join(certified, "stratum", "left").crossJoin(F.broadcast(pooled))
+            .select("stratum", F.coalesce("cutoffs", "_pooled").alias("cutoffs")).where("cutoffs is not null"))
 
 
 def verdict(counted: DataFrame, cutoffs: DataFrame) -> DataFrame:

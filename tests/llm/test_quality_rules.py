@@ -97,6 +97,19 @@ def test_operator_cases(spark):
     assert Q.quality(docs, labels.limit(0)).where("kept").count() > 0
 
 
+def test_labelled_junk_goes_with_the_production_parameters(spark):
+    from newsevents.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.1"
+    judged = QUERIES["op7_quality"](spark, sf).select("doc_id", "base_failed", "kept", "n_symbols", "word_chars")
+    labels = spark.read.parquet(sf + "/labels.parquet").where("quality is not null").select("doc_id", "quality")
+    past = [r for r in judged.join(labels, "doc_id").collect() if not r.base_failed]
+    junk = [r for r in past if r.quality == 0 and 100 * r.n_symbols >= 10 * r.word_chars]
+    good = [r for r in past if r.quality == 1]
+    print("bad", sum(r.quality == 0 for r in past), "rejected", sum(r.quality == 0 and not r.kept for r in past), "good", len(good), "lost", sum(not r.kept for r in good))
+    assert len(junk) > 200 and not any(r.kept for r in junk)
+    assert sum(not r.kept for r in good) <= Q.ALPHA * len(good)
+
+
 def test_query_base_columns(spark):
     from newsevents.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"
