@@ -4,7 +4,8 @@ A gear rolling hash over the last 32 bytes sets the borders of chunks where its
 top bits are zero, so borders move with the content: an insertion changes the
 chunks around it and no others. Chunks are compared by digest; of equal chunks
 the first by (document, place) stays. Neighbouring repeated chunks are joined
-into spans, and spans of ``MIN_SPAN`` bytes and more are reported.
+into spans, and spans of ``MIN_SPAN`` bytes (an average chunk) and more are
+reported.
 
 Equal digests are counted with a partial aggregate before the shuffle, so a
 passage that every document holds costs one row per task there; the join back to
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from newsevents.llm.common import arrow_map, batches, slices, text_buffer
 
 #: Bits of the hash that must be zero (a border every 2 ** BITS bytes), shortest and longest chunk, shortest span reported.
-BITS, MIN_CHUNK, MAX_CHUNK, MIN_SPAN = 5, 32, 512, 64
+BITS, MIN_CHUNK, MAX_CHUNK, MIN_SPAN = 4, 16, 512, 32
 WINDOW = 32
 
 _GEAR = np.random.default_rng(8).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)

@@ -80,6 +80,25 @@ def test_against_plain_version(spark):
     assert C.repeated_spans(frame.limit(0)).count() == 0
 
 
+def test_short_passages_are_found(spark):
+    rng = np.random.default_rng(4)
+    def word():
+        return "".join(rng.choice(list("etaoinshrdlu"), rng.integers(1, 10)))
+    pairs, docs, place = 600, [], {}
+    for k in range(pairs):
+        passage = " ".join(word() for _ in range(51))
+        for i in (2 * k, 2 * k + 1):
+            head = " ".join(word() for _ in range(int(rng.integers(10, 40)))) + " "
+            docs.append((i, head + passage + " " + " ".join(word() for _ in range(20))))
+            place[i] = len(passage)
+    found = {}
+    for r in C.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + r.end - r.start
+    shares = [found[i] / place[i] for i in found]
+    print("missed", pairs - len(found), "of", pairs, "cover", np.mean(shares))
+    assert all(i % 2 for i in found) and len(found) >= 0.99 * pairs and np.mean(shares) > 0.72
+
+
 def test_query(spark):
     from newsevents.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"
