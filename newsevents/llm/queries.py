@@ -131,3 +131,16 @@ def op10(spark, sf_dir):
 
     out = deduplicate(documents(spark, sf_dir, "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_token_files")
+def op11(spark, sf_dir):
+    """Every whole text as ids in token files, read back from them."""
+    import public_tokenizers
+
+    from newsevents.llm.token_files import checksums, read_tokens, write_tokens
+    from newsevents.session import shared_dir
+
+    path = shared_dir(spark, "tokens")
+    write_tokens(documents(spark, sf_dir, "doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return checksums(read_tokens(spark, path))
