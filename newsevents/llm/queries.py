@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsevents.llm.common import documents
+from newsevents.llm.common import documents, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,44 @@ def op11(spark, sf_dir):
     path = shared_dir(spark, "tokens")
     write_tokens(documents(spark, sf_dir, "doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return checksums(read_tokens(spark, path))
+
+
+_TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op12_lexical_search", f"""
+WITH d AS (SELECT doc_id, {_TERMS_SQL} AS terms FROM documents),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+m AS (SELECT doc_id, 25 + (75 * len(terms) * n_docs) // n_terms AS m FROM d, c WHERE len(terms) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, c GROUP BY term, n_docs),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM i JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""")
+def op12(spark, sf_dir):
+    """The ten best documents of every benchmark item, over all documents."""
+    from newsevents.llm.lexical_search import search
+
+    return search(documents(spark, sf_dir, "doc_id", "text"), documents(spark, sf_dir, "item_id", "text", name="benchmark"))
+
+
+@query("op13_merkle_manifest")
+def op13(spark, sf_dir):
+    """Manifest of all documents; the proof of every row, checked against a copy that is tampered with in every fifth."""
+    from newsevents.llm.merkle import build, folded, leaf_digest, proof_digest, prove
+
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text")
+    rows = docs.select("source", "doc_id", leaf_digest(*fields, F.col("text")).alias("leaf"))
+    manifest = build(rows)
+    # What a reader of the tampered copy holds in place of the leaf.
+    held = docs.where(changed).select("doc_id", leaf_digest(*fields, F.col("text")).alias("leaf"), leaf_digest(*fields, lower).alias("held")).distinct()
+    requests = manifest.table("leaves").join(held, ["doc_id", "leaf"], "left").withColumn("held", F.coalesce("held", "leaf"))
+    root = F.lit(manifest.root())
+    return (prove(manifest, written(requests, "requests"))
+            .select("doc_id", "leaf", "subroot", root.alias("root"), proof_digest().alias("proof_sha256"), folded("held").alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
