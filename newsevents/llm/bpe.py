@@ -377,30 +377,40 @@ def token_keys(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 class Encoder:
-    """Encodes texts; keeps the ids of at most ``CACHE_TOKENS`` distinct tokens by their hash.
+    """Encodes texts; keeps the ids of at most ``cached`` distinct tokens by their hash.
 
     Two tokens with one hash would encode as the same: each slice is decoded
     again, and one that does not come out as it went in is encoded token by token.
     """
 
+    cached = CACHE_TOKENS
+
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.pairs = ranks, Pairs(ranks)
         self.vocabulary = vocabulary(ranks)
         self._clear()
 
     def _clear(self) -> None:
-        self.known = Table(int(CACHE_TOKENS * 2).bit_length())
+        self.known = Table(int(self.cached * 2).bit_length())
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def _learn(self, buf: np.ndarray, keys: np.ndarray, starts: np.ndarray, size: np.ndarray) -> None:
+    def _alone(self, token: bytes) -> list[int]:
+        """Ids of one token."""
+        return merge(token, self.ranks)
+
+    def _merged(self, buf: np.ndarray, keys: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of new tokens in the order of their ids, all ids, and how many each token has."""
         long = size >= 48
         data = buf[spread(starts[~long], size[~long])]
         ids, count = merge_many(data, size[~long], self.pairs)
         for k in np.flatnonzero(long).tolist():
-            own = merge(buf[starts[k]:starts[k] + size[k]].tobytes(), self.ranks)
+            own = self._alone(buf[starts[k]:starts[k] + size[k]].tobytes())
             ids, count = np.concatenate([ids, np.array(own, np.int32)]), np.append(count, len(own))
-        keys = np.concatenate([keys[~long], keys[long]])
+        return np.concatenate([keys[~long], keys[long]]), ids, count
+
+    def _learn(self, buf: np.ndarray, keys: np.ndarray, starts: np.ndarray, size: np.ndarray) -> None:
+        keys, ids, count = self._merged(buf, keys, starts, size)
         self.known.insert(keys, np.arange(len(self.start), len(self.start) + len(keys), dtype=np.int32))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
@@ -413,7 +423,7 @@ class Encoder:
         keys, first, inverse = np.unique(token_keys(buf, starts, ends), return_index=True, return_inverse=True)
         at = self.known.find(keys, -1)
         if (new := np.flatnonzero(at < 0)).size:
-            if self.known.size + len(new) > CACHE_TOKENS:
+            if self.known.size + len(new) > self.cached:
                 self._clear()
                 new = np.arange(len(keys))
             self._learn(buf, keys[new], starts[first[new]], (ends - starts)[first[new]])
@@ -422,7 +432,7 @@ class Encoder:
         count = self.count[which]
         ids = self.ids[spread(self.start[which], count)]
         if not np.array_equal(decode_ids(ids, self.vocabulary), buf):
-            own = [merge(buf[s:e].tobytes(), self.ranks) for s, e in zip(starts.tolist(), ends.tolist())]
+            own = [self._alone(buf[s:e].tobytes()) for s, e in zip(starts.tolist(), ends.tolist())]
             count = np.array([len(x) for x in own])
             ids = np.array([i for x in own for i in x], np.int32)
         rows = np.searchsorted(starts, offsets)

@@ -20,14 +20,18 @@ task that is lost is simply run again.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsevents.llm.bpe import Encoder, spread, vocabulary
 from newsevents.llm.common import arrow_map, batches, slices, text_buffer
 
 #: Bytes of text for a file, bytes of a row group, rows and bytes of a page.
@@ -44,27 +48,76 @@ LAYOUT = {
     "parquet.enable.dictionary#ids.list.element": "true",
 }
 
-_TOKENIZERS: dict[bytes, object] = {}
+class LibraryEncoder(Encoder):
+    """Ids by the tokenizers library, asked once for each distinct token of its byte-level split.
 
+    Such a tokenizer encodes each token of the split by itself, so the ids of a
+    token are kept (``Encoder``: a bounded cache, verified by decoding). A definition of
+    another kind encodes each whole text.
+    """
+
+    cached = 500_000
 
-def _tokenizer(definition: bytes):
-    """The tokenizer of a definition, kept by the worker."""
-    if definition not in _TOKENIZERS:
+    def __init__(self, definition: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_buffer(definition)
-        t.encode_special_tokens = True
-        _TOKENIZERS.clear()
-        _TOKENIZERS[definition] = t
-    return _TOKENIZERS[definition]
-
-
-def _texts(col: pa.Array) -> Iterator[list[str]]:
-    """The texts of a column in lists of bounded bytes; null is empty."""
-    _, off = text_buffer(col)
-    for i, j in slices(off):
-        yield [t or "" for t in col.slice(i, j - i).to_pylist()]
+        self.tokenizer = Tokenizer.from_buffer(definition)
+        self.tokenizer.encode_special_tokens = True
+        rule = json.loads(definition)
+        split = rule.get("pre_tokenizer") or {}
+        self.by_token = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+                         and rule.get("normalizer") is None and rule["model"]["type"] == "BPE")
+        if self.by_token:
+            byte = {c: b for b, c in zip([b for b in range(256) if b in _SHOWN] + [b for b in range(256) if b not in _SHOWN],
+                                         [chr(b) for b in range(256) if b in _SHOWN] + [chr(256 + i) for i in range(256 - len(_SHOWN))])}
+            self.vocabulary = vocabulary({bytes(byte[c] for c in t): i for t, i in rule["model"]["vocab"].items() if all(c in byte for c in t)})
+            self._clear()
+
+    def _alone(self, token: bytes) -> list[int]:
+        return self.tokenizer.encode(token.decode(), add_special_tokens=False).ids
+
+    def _merged(self, buf, keys, starts, size):
+        # A token that is a space and a sign or letter ends the one before it, so such tokens are encoded side by side as one
+        # text; the bytes that each id stands for say where one token ends.
+        second = buf[np.minimum(starts + 1, len(buf) - 1)]
+        side = (size > 1) & (buf[starts] == 0x20) & _SIGN.take(second)
+        data = buf[spread(starts[side], size[side])].tobytes().decode()
+        ids = np.array(self._batch([data])[0], np.int32)
+        ends = np.cumsum(self.vocabulary[1][ids + 1] - self.vocabulary[1][ids])
+        last = np.searchsorted(ends, np.cumsum(size[side])) + 1
+        count = np.diff(last, prepend=0)
+        own = self._batch([buf[s:s + n].tobytes().decode() for s, n in zip(starts[~side].tolist(), size[~side].tolist())])
+        return (np.concatenate([keys[side], keys[~side]]), np.concatenate([ids, np.fromiter(chain.from_iterable(own), np.int32)]),
+                np.concatenate([count, np.array([len(x) for x in own], np.int64)]))
+
+    def _batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def rows(self, col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts of a column and how many each has, in slices of bounded bytes; null is empty."""
+        buf, off = text_buffer(col)
+        for i, j in slices(off):
+            if self.by_token:
+                ids, count, _ = self.encode(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+            else:
+                own = self._batch([t or "" for t in col.slice(i, j - i).to_pylist()])
+                ids, count = np.fromiter(chain.from_iterable(own), np.int32), np.array([len(x) for x in own], np.int64)
+            yield ids, count
+
+
+#: Bytes that begin a character which is surely no white space: ASCII signs, letters and digits, and most of what is beyond.
+_SIGN = np.zeros(256, bool)
+_SIGN[0x21:0x7F] = _SIGN[0xC3:0xE0] = _SIGN[0xE4:] = True
+
+# The bytes that the byte-level alphabet shows as themselves; the others follow from code point 256 on.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+
+
+@lru_cache(1)
+def _encoder(definition: bytes) -> LibraryEncoder:
+    """The encoder of a definition, kept by the worker."""
+    return LibraryEncoder(definition)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
@@ -88,20 +141,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                .repartitionByRange(files, *keys).sortWithinPartitions(*keys).select("doc_id", "text"))
 
     def run(it):
-        tokenizer, start = _tokenizer(shared.value), 0
-        encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        coder, start = _encoder(shared.value), 0
         for b in batches(it):
             at = 0
-            for texts in _texts(b.column(1)):
-                found = [np.asarray(e.ids + [end_id], np.int32) for e in encode(texts, add_special_tokens=False)]
-                n = np.array([len(x) for x in found], np.int64)
-                off = np.concatenate([[0], np.cumsum(n)])
+            for ids, count in coder.rows(b.column(1)):
+                off = np.concatenate([[0], np.cumsum(count + 1)])
+                whole = np.full(off[-1], end_id, np.int32)
+                whole[spread(off[:-1], count)] = ids
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(texts)), pa.array(start + off[:-1]), pa.array(n),
-                     pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(np.concatenate(found)))],
+                    [b.column(0).slice(at, len(count)), pa.array(start + off[:-1]), pa.array(np.diff(off)),
+                     pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(whole))],
                     ["doc_id", "start", "n_tokens", "ids"])
                 start += int(off[-1])
-                at += len(texts)
+                at += len(count)
 
     kind = dict(docs.dtypes)[id_col]
     (arrow_map(ordered, run, f"doc_id {kind}, start long, n_tokens long, ids array<int>")

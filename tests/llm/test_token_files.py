@@ -84,3 +84,28 @@ def test_query(spark, plain):
         ids = plain(text)
         assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_split_is_the_library_s(plain):
+    """The token bounds are those of the library for every code point beside a letter, a number, a sign and spaces."""
+    import pyarrow as pa
+
+    coder = T._encoder(open(PATH, "rb").read())
+    texts = [f"a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    at = 0
+    for ids, count in coder.rows(pa.array(texts)):
+        assert ids.tolist() == [i for e in coder._batch(texts[at:at + len(count)]) for i in e]
+        at += len(count)
+    assert at == len(texts)
+
+
+def test_other_kinds_encode_whole_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    coder = T.LibraryEncoder(open(path, "rb").read())
+    texts = ["Some WORDS, and more", None, ""]
+    (ids, count), = coder.rows(pa.array(texts))
+    assert not coder.by_token and ids.tolist() == [i for x in texts for i in t.encode(x or "", add_special_tokens=False).ids] and count[1:].tolist() == [0, 0]
