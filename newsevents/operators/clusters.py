@@ -1,23 +1,20 @@
-"""K-means over article vectors, nearest-center assignment, cost.
+"""Nearest-center assignment over dense vectors, cost, daily sizes.
 
 Centers are a model: ``k`` rows of ``dim`` numbers. Assignment broadcasts them in
 blocks of at most ``BLOCK_CELLS`` numbers and finds each row's nearest center by
 a matrix product over Arrow batches (|v|^2 - 2 v.c + |c|^2, then the exact distance
 to the center chosen) - one map-only pass, no join, no shuffle, any ``k x dim``.
 
-K-means itself keeps ``k x features`` numbers on the driver and in every task.
-With ``k = sqrt(n / 2)`` they grow with the input, so the model is trained per
-day (``cluster_day``), as the original job was.
+Models of articles, whose vectors are sparse, are fitted in ``sparse_kmeans``; clusters are
+followed from day to day in ``lineage``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,60 +23,6 @@ from newsevents.session import cut_lineage
 BLOCK_CELLS = 4_000_000   # numbers of one broadcast block of centers (32 MB)
 
 
-def default_k(n: int) -> int:
-    """``sqrt(n / 2)``, at least 2 (k-means needs two centers)."""
-    return max(2, int(math.floor(math.sqrt(n // 2))))
-
-
-def fit_clusters(vectors: DataFrame, k: int | None = None, features: str = "features",
-                 max_iter: int = 40, seed: int = 7, n: int | None = None) -> KMeansModel:
-    """Fit ``pyspark.ml`` k-means; the input is persisted for the iterations.
-
-    ``k`` defaults to ``default_k`` of the number of rows. With fewer distinct
-    points than ``k`` there is at most one center per distinct point: ask
-    ``n_centers`` how many came out.
-    """
-    data = vectors.select(features).persist()
-    try:
-        n = n if n is not None else data.count()
-        k = default_k(n) if k is None else k
-        if n < k:
-            raise ValueError(f"k-means needs at least k={k} documents, got {n}")
-        distinct = data.distinct().limit(k + 1).count()
-        # The block solver needs as many initial centers as asked for, which
-        # few distinct points may not give; the row solver does not.
-        return KMeans(k=max(2, min(k, distinct)), maxIter=max_iter, seed=seed, featuresCol=features,
-                      solver="auto" if distinct > k else "row").fit(data)
-    finally:
-        data.unpersist()
-
-
-def n_centers(model: KMeansModel) -> int:
-    """How many centers the model has (fewer than asked for if few points are distinct)."""
-    return len(model.clusterCenters())
-
-
-def cluster_day(vectors: DataFrame, day, day_col: str = "day", k: int | None = None, **fit) -> tuple[KMeansModel, DataFrame]:
-    """Train on one day's rows and assign the same rows (C3): the model and the rows with ``cluster``.
-
-    ``n``, ``k`` and the centers come from that day only.
-    """
-    own = vectors.where(F.col(day_col) == F.lit(day))
-    model = fit_clusters(own, k=k, **fit)
-    return model, predict(model, own)
-
-
-def predict(model: KMeansModel, vectors: DataFrame, out: str = "cluster") -> DataFrame:
-    """Cluster id per row, from the same (TF-IDF) space the model was fit on."""
-    return model.setPredictionCol(out).transform(vectors).withColumn(out, F.col(out).cast("int"))
-
-
-def model_cost(model: KMeansModel, spark) -> DataFrame:
-    """Training cost as a one-row DataFrame (the reference only printed it)."""
-    return spark.createDataFrame([(float(model.summary.trainingCost), int(model.getK()))],
-                                 "cost double, k int")
-
-
 def mean_centers(df: DataFrame, label: str, vector: str) -> DataFrame:
     """``(cluster, center)``: element-wise mean of array vectors per label.
 

@@ -50,17 +50,3 @@ def test_more_than_a_million_center_cells(spark):
     centers = spark.range(2).selectExpr("cast(id as int) cluster", "transform(sequence(1, 600000), x -> double(id)) center")
     df = spark.range(2).selectExpr("id", "transform(sequence(1, 600000), x -> double(id)) v")
     assert all(r.cluster == r.id for r in assign_clusters(df, centers, "v").select("id", "cluster").collect())
-
-
-def test_few_distinct_points_and_one_day(spark):
-    from datetime import date
-
-    from pyspark.ml.linalg import Vectors
-    from newsevents.operators.clusters import cluster_day, fit_clusters, n_centers
-    rows = [(i, date(2014, 9, 9), Vectors.dense([float(i % 2), 0.0])) for i in range(20)] + [(99, date(2014, 9, 10), Vectors.dense([50.0, 50.0]))]
-    df = spark.createDataFrame(rows, ["id", "day", "features"])
-    assert n_centers(fit_clusters(df.where("id < 20"), k=4)) == 2
-    model, assigned = cluster_day(df, date(2014, 9, 9), k=2)
-    got = {r.id: r.cluster for r in assigned.collect()}
-    assert set(got) == set(range(20)) and len({got[i] for i in range(0, 20, 2)}) == 1 and got[0] != got[1]
-    assert all(max(c) <= 1.0 for c in model.clusterCenters())

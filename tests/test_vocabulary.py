@@ -1,0 +1,40 @@
+import random
+from collections import Counter
+
+from newsevents.functions.stem import porter_stem
+from newsevents.operators.vocabulary import build_vocabulary, decode, encode
+
+
+def some_docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, terms array<string>, _r string, id string, term int").repartition(3)
+
+
+def test_round_trip_hot_and_rare(spark):
+    rnd = random.Random(1)
+    words = ["the"] * 300 + [f"running{i}" for i in range(60)] + ["ponies", "étés"]
+    rows = [(i, [rnd.choice(words) for _ in range(rnd.randrange(0, 30))], "a", "b", i) for i in range(80)]
+    rows += [(100, None, "a", "b", 1), (101, [], "a", "b", 1), (102, ["the", None, "the"], "a", "b", 1), (103, ["the"], "a", "b", 1), (103, ["the"], "a", "b", 1)]
+    docs = some_docs(spark, rows)
+    vocabulary = build_vocabulary(docs)
+    count = Counter(t for _, ts, *_ in rows for t in ts or [] if t is not None)
+    order = sorted(count, key=lambda t: (-count[t], t))
+    assert sorted((r.id, r.term, r.n, r.stem) for r in vocabulary.collect()) == [(i, t, count[t], porter_stem(t)) for i, t in enumerate(order)]
+    place = {t: i for i, t in enumerate(order)}
+    for hot in (0, 1, 5, 1000):
+        ids = encode(docs, vocabulary, hot=hot)
+        assert ids.columns == ["doc_id", "_r", "id", "term", "ids"]
+        want = sorted((k, None if ts is None else [place.get(t) for t in ts]) for k, ts, *_ in rows if k != 102)
+        assert sorted(((r.doc_id, r.ids) for r in ids.where("doc_id <> 102").collect())) == want
+        assert ids.where("doc_id = 102").first().ids == [0, None, 0]
+        back = decode(ids, vocabulary, hot=hot)
+        assert sorted(((r.doc_id, r.terms) for r in back.where("doc_id <> 102").collect())) == sorted((k, ts) for k, ts, *_ in rows if k != 102)
+        stems = decode(ids, vocabulary, value="stem", hot=hot)
+        assert {r.doc_id: r.terms for r in stems.collect()}[0] == [porter_stem(t) for t in rows[0][1]]
+
+
+def test_unknown_words_and_empty_tables(spark):
+    docs = some_docs(spark, [(1, ["new", "old"], "a", "b", 1)])
+    vocabulary = build_vocabulary(some_docs(spark, [(1, ["old"], "a", "b", 1)]))
+    assert encode(docs, vocabulary).first().ids == [None, 0] and decode(encode(docs, vocabulary), vocabulary).first().terms == [None, "old"]
+    none = docs.limit(0)
+    assert build_vocabulary(none).count() == 0 and encode(none, vocabulary).count() == 0 and encode(docs, build_vocabulary(none)).first().ids == [None, None]
