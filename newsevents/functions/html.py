@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 NOISE = r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 ARTICLE_TAG = r"(?i)</?article(?:\s[^>]*)?>"
+ARTICLE_OPEN = r"(?i)<article(?:\s[^>]*)?>"
 BODY = r"(?is)<body[^>]*>(.*?)(?:</body>|\z)"
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 PARAGRAPH_OPEN = r"(?i)<p(?:\s[^>]*)?>"

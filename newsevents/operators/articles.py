@@ -1,64 +1,64 @@
 """Article text from fetched pages, and its join to events.
 
 The reference fetched every event URL and ran an extractor per row. Here the
-pages are a table (``page_id, url, html``): each page is extracted once with
-JVM regex and array functions - no shuffle, no Python - then joined to the
+pages are a table (``page_id, url, html``): each page is extracted once - a page
+that marks its ``<article>`` with JVM regex and array functions, one that does not
+by a scorer over its block tags (an Arrow UDF) - with no shuffle, then joined to the
 events that cite it (a URL shared by many events is still extracted once).
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from newsevents.functions.html import (BODY, LINK_TEXT, TITLE, articles, paragraph_chunks,
-                                        strip_noise, tidy_text)
-from newsevents.functions.text import STOP_WORDS
+from newsevents.functions.body import scored_paragraphs
+from newsevents.functions.html import ARTICLE_OPEN, BODY, TITLE, articles, paragraph_chunks, strip_noise, tidy_text
 from newsevents.operators.dataflow import spread
+from newsevents.session import ship_package
 
 PARAGRAPH_SEP = "\n\n"
-MIN_STOP_WORDS = 3      # a body paragraph needs this many stop words ...
-MAX_LINK_SHARE = 0.5    # ... and less than this share of its text in links
 
 
-def _is_prose(chunk: Column) -> Column:
-    text = F.lower(tidy_text(chunk))
-    words = F.split(text, r"[^\p{L}']+", -1)
-    stops = F.size(F.filter(words, lambda w: F.array_contains(F.array(*[F.lit(s) for s in STOP_WORDS]), w)))
-    link_chars = F.length(tidy_text(F.array_join(F.regexp_extract_all(chunk, F.lit(LINK_TEXT), 1), " ")))
-    return (stops >= MIN_STOP_WORDS) & (link_chars < F.length(text) * MAX_LINK_SHARE)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _scored(html: pd.Series) -> pd.Series:
+    return html.map(lambda h: None if h is None else scored_paragraphs(h))
 
 
 def article_paragraphs(html: Column) -> Column:
-    """Array of paragraph texts.
+    """Array of paragraph texts of a page without noise (``strip_noise``).
 
-    The ``<article>`` elements' non-blank paragraphs when there is one; else
-    the ``<body>`` paragraphs that read as prose (stop words, few links).
+    The ``<article>`` elements' non-blank paragraphs. A page without such an element gives null:
+    its paragraphs are found by scores.
     """
-    clean = strip_noise(html)
-    article = articles(clean)
-    body = F.regexp_extract(clean, BODY, 1)
-    in_article = F.transform(paragraph_chunks(article), tidy_text)
-    in_body = F.transform(F.filter(paragraph_chunks(body), _is_prose), tidy_text)
-    paras = F.when(article != F.lit(""), in_article).otherwise(in_body)
-    return F.filter(paras, lambda p: p != F.lit(""))
+    paras = F.filter(F.transform(paragraph_chunks(articles(html)), tidy_text), lambda p: p != F.lit(""))
+    return F.when(html.rlike(ARTICLE_OPEN), paras)
+
+
+def body_paragraphs(html: Column) -> Column:
+    """Array of paragraph texts of the best-scored block of the ``<body>`` (see ``functions/body.py``)."""
+    raw = _scored(F.coalesce(F.nullif(F.regexp_extract(html, BODY, 1), F.lit("")), html))
+    return F.filter(F.transform(raw, tidy_text), lambda p: p != F.lit(""))
 
 
 def extract_articles(pages: DataFrame, html: str = "html", parallel: int | None = None) -> DataFrame:
     """``pages`` + ``fetched``, ``title``, ``paragraphs`` and ``content``.
 
-    A null page (failed fetch) gives ``fetched = false`` and null title and
-    content. Filter on ``fetched``, not on ``content``: a filter on the
+    A null page (failed fetch) gives ``fetched = false``, null title and
+    content, and no paragraphs. Filter on ``fetched``, not on ``content``: a filter on the
     computed text would be pushed below the repartition and evaluated a
     second time. ``parallel`` spreads a small, unsplittable input (D1).
     """
-    clean = strip_noise(F.col(html))
-    title = tidy_text(F.regexp_extract(clean, TITLE, 1))
-    src = spread(pages, parallel).withColumn("fetched", F.col(html).isNotNull())
-    out = src.withColumn("paragraphs", article_paragraphs(F.col(html)))
-    return (out.withColumn("title", F.when(F.col(html).isNotNull(), title))
-            .withColumn("content", F.when(F.col(html).isNotNull(),
-                                          F.array_join("paragraphs", PARAGRAPH_SEP))))
+    ship_package(pages.sparkSession)
+    src = spread(pages, parallel).withColumn("fetched", F.col(html).isNotNull()).withColumn("_clean", strip_noise(F.col(html)))
+    # Pages with an <article> stay in the JVM; only the others go to the scorer.
+    marked = src.withColumn("_marked", article_paragraphs(F.col("_clean")))
+    body = body_paragraphs(F.when(F.col("_marked").isNull(), F.col("_clean")))
+    title = tidy_text(F.regexp_extract("_clean", TITLE, 1))
+    out = marked.withColumn("paragraphs", F.coalesce("_marked", body, F.array().cast("array<string>"))).withColumn("title", F.when(F.col("fetched"), title))
+    return out.drop("_clean", "_marked").withColumn("content", F.when(F.col("fetched"), F.array_join("paragraphs", PARAGRAPH_SEP)))
 
 
 def attach_content(events: DataFrame, extracted: DataFrame, url: str = "source_url",
