@@ -5,6 +5,7 @@ One job per capability of the original batch jobs, plus the chained trend:
   pair-average   <events> <out> [--c1 FR --c2 UK]         daily average, TSV
   moving-average <series> <window> <out>                  trailing window, CSV
   pair-trend     <events> <out> [--c1 --c2 --window 30]   both, one plan
+  trend-update   <events> <store> [--c1 --c2 --window 30] the same kept up to date: whole days, new or corrected
   top-entities   <graph> <out> [--top N]                  themes/persons/orgs
   extract-content <events> <pages.parquet> <out> [--parallel N]
   cluster        <dir> [--day D] [--k K] [--features N]   TF-IDF + k-means on one day's articles
@@ -27,12 +28,14 @@ if __package__ in (None, ""):
 from pyspark.sql import functions as F  # noqa: E402
 
 from newsevents.operators.articles import attach_content, extract_articles  # noqa: E402
-from newsevents.operators.clusters import fit_clusters, model_cost, predict  # noqa: E402
+from newsevents.operators.checks import SameCount  # noqa: E402
 from newsevents.operators.entities import entity_counts, entity_top_n  # noqa: E402
 from newsevents.operators.pairs import pair_daily_avg  # noqa: E402
+from newsevents.operators.sparse_kmeans import fit  # noqa: E402
+from newsevents.operators.tfidf import DEFAULT_FEATURES, analyze, tfidf_arrays  # noqa: E402
 from newsevents.operators.trend import assert_series, moving_average, pair_trend  # noqa: E402
-from newsevents.operators.tfidf import DEFAULT_FEATURES, analyze, tfidf_vectors  # noqa: E402
-from newsevents.session import cut_lineage, delete_scratch, get_spark  # noqa: E402
+from newsevents.operators.trend_store import TrendStore  # noqa: E402
+from newsevents.session import delete_scratch, get_spark  # noqa: E402
 from newsevents.sinks.writers import (write_articles, write_event_json, write_points,  # noqa: E402
                                       write_ranked, write_series, write_tsv)
 from newsevents.sources.feeds import json_records, read_articles, read_events, read_series  # noqa: E402
@@ -47,7 +50,10 @@ def job_pair_average(spark, a):
 def job_moving_average(spark, a):
     series = read_series(spark, a.series)
     assert_series(series)                      # duplicate days / bad values: stop, as the original did
-    write_series(moving_average(series, a.window).select("day", F.col("moving_avg").alias("value")), a.out)
+    check = SameCount()                        # as many days out as in, counted on the way
+    averages = moving_average(check.before(series), a.window)
+    write_series(averages.select("day", F.col("moving_avg").alias("value")), a.out, check=check)
+    check.verify(lambda: read_series(spark, a.out).count())
 
 
 def job_pair_trend(spark, a):
@@ -55,8 +61,15 @@ def job_pair_trend(spark, a):
     write_tsv(t.orderBy("day"), a.out)
 
 
+def job_trend_update(spark, a):
+    daily = pair_daily_avg(read_events(spark, a.events), a.c1, a.c2)
+    store = TrendStore(spark, a.store, a.window, value="avg_goldstein")
+    for day in store.update(daily):
+        print(day)
+
+
 def job_top_entities(spark, a):
-    counts = entity_counts(read_graph(spark, a.graph))
+    counts = entity_counts(read_graph(spark, a.graph, with_row_id=False))
     if a.top:
         counts = entity_top_n(counts, a.top).drop("rank")
     write_ranked(counts, a.out)
@@ -78,11 +91,10 @@ def job_cluster(spark, a):
         own = events.where(F.col("json.day") == F.lit(a.day).cast("date")).select("cameo").distinct()
         docs = docs.join(own, "cameo", "left_semi")
     docs = docs.select(F.col("cameo"), F.coalesce("content", F.lit("")).alias("text"))
-    terms = cut_lineage(analyze(docs).select("cameo", "terms"))
-    vec = tfidf_vectors(terms, num_features=a.features)
-    model = fit_clusters(vec, k=a.k)
-    write_points(predict(model, vec), os.path.join(a.dir, "points"))
-    model_cost(model, spark).write.mode("overwrite").json(os.path.join(a.dir, "cost"))
+    model = fit(tfidf_arrays(analyze(docs).select("cameo", "terms"), num_features=a.features), k=a.k)
+    write_points(model.assigned, os.path.join(a.dir, "points"))
+    cost = model.cost().join(model.groups.select("k"))      # a row each
+    cost.select("cost", "n", "k").write.mode("overwrite").json(os.path.join(a.dir, "cost"))
 
 
 def job_stream_pair_average(spark, a):
@@ -102,6 +114,9 @@ def main(argv=None):
     s = sub.add_parser("pair-trend"); s.add_argument("events"); s.add_argument("out")
     s.add_argument("--c1", default="FR"); s.add_argument("--c2", default="UK")
     s.add_argument("--window", type=int, default=30)
+    s = sub.add_parser("trend-update"); s.add_argument("events"); s.add_argument("store")
+    s.add_argument("--c1", default="FR"); s.add_argument("--c2", default="UK")
+    s.add_argument("--window", type=int, default=30)
     s = sub.add_parser("top-entities"); s.add_argument("graph"); s.add_argument("out")
     s.add_argument("--top", type=int, default=None)
     s = sub.add_parser("extract-content"); s.add_argument("events"); s.add_argument("pages")
@@ -124,7 +139,7 @@ def main(argv=None):
 
 def _run(spark, a):
     {"pair-average": job_pair_average, "moving-average": job_moving_average,
-     "pair-trend": job_pair_trend, "top-entities": job_top_entities,
+     "pair-trend": job_pair_trend, "trend-update": job_trend_update, "top-entities": job_top_entities,
      "extract-content": job_extract_content, "cluster": job_cluster,
      "stream-pair-average": job_stream_pair_average}[a.job](spark, a)
 

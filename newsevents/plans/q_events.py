@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from newsevents.operators.pairs import pair_daily_avg, pair_daily_avg_sql
 from newsevents.operators.records import null_empty_structs, parse_events
 from newsevents.operators.trend import (check_series, moving_average, moving_average_explode,
                                          pair_trend)
+from newsevents.operators.trend_store import TrendStore
 from newsevents.plans.catalog import flatten, r6, register
+from newsevents.session import shared_dir
 from newsevents.sources.feeds import read_events
 from newsevents.sources.fixtures import feed_files
 from newsevents.sources.tables import table
@@ -222,3 +226,16 @@ def q_pair_trend(spark, sf_dir):
     """C1 (flagship): pair daily average smoothed over 30 calendar days."""
     t = pair_trend(parsed_events(spark, sf_dir), *PAIR, n=30)
     return t.select("day", r6("avg_goldstein").alias("avg_goldstein"), r6("trend").alias("trend"))
+
+
+@register("pair_trend_increments", _window_sql(30, "trend"))
+def q_pair_trend_increments(spark, sf_dir):
+    """C1 kept up to date: three increments, the last of which corrects days of the second and takes one back."""
+    daily = pair_daily_avg(parsed_events(spark, sf_dir), *PAIR)
+    later, odd = F.col("day") >= "1995-01-01", F.dayofmonth("day") == 15
+    stray = daily.agg(F.lit(date(1991, 12, 31)).alias("day"), F.lit(99.0).alias("avg_goldstein"))
+    store = TrendStore(spark, shared_dir(spark, "trend-store"), 30, value="avg_goldstein")
+    store.update(daily.where(~later))
+    store.update(daily.where(later).withColumn("avg_goldstein", F.when(odd, -1.0).otherwise(F.col("avg_goldstein"))).unionByName(stray))
+    store.update(daily.where(later & odd), days=[date(1991, 12, 31)])
+    return store.trend().select("day", r6("avg_goldstein").alias("avg_goldstein"), r6("trend").alias("trend"))

@@ -20,7 +20,7 @@ def parsed_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Graph records read from the published feed files by the production reader."""
-    return read_graph(spark, feed_files(spark, sf_dir, "graph"))
+    return read_graph(spark, feed_files(spark, sf_dir, "graph"), with_row_id=False)
 
 
 # SQL stating, per order, what its graph line says.

@@ -15,7 +15,7 @@ from newsevents.operators.articles import attach_content, extract_articles
 from newsevents.operators.entities import entity_counts
 from newsevents.operators.pairs import pair_daily_avg
 from newsevents.operators.clusters import assign_clusters, mean_centers
-from newsevents.operators.records import parse_events, with_row_key
+from newsevents.operators.records import parse_events, with_row_key, with_unique_row_key
 from newsevents.operators.trend import moving_average
 from newsevents.plans.catalog import r6, register
 from newsevents.plans.q_articles import ARTICLES_SQL
@@ -67,6 +67,19 @@ def q_row_key(spark, sf_dir):
     return parse_events(lines, keep=["row_id"]).select("cameo", "row_id")
 
 
+@register("row_key_repeated", EVENT_BASE + f""",
+lines AS (SELECT l_orderkey * 8 + l_linenumber AS cameo, {_event_line_sql()} AS line FROM base),
+every AS (SELECT cameo, line FROM lines, range(0, 3) t(i) WHERE i <= cameo % 3),
+placed AS (SELECT cameo, md5('lineitem-' || line) AS first, row_number() OVER (PARTITION BY line) - 1 AS place FROM every)
+SELECT cameo, CASE WHEN place = 0 THEN first ELSE md5(first || '-' || place) END AS row_id FROM placed""")
+def q_row_key_repeated(spark, sf_dir):
+    """A feed that says each line once, twice or three times has a key for each line."""
+    lines = feed_lines(spark, sf_dir)
+    again = F.expr("array_repeat(value, int(1 + try_cast(split_part(value, '\t', 1) as bigint) % 3))")
+    keyed = with_unique_row_key(lines.select(F.explode(again).alias("value")), "lineitem")
+    return parse_events(keyed, keep=["row_id"]).select("cameo", "row_id")
+
+
 @register("json_fields", """
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
 def q_json_fields(spark, sf_dir):
@@ -98,7 +111,7 @@ def q_graph_file_scan(spark, sf_dir):
     """Graph feed (with header line) written as text, scanned, counted."""
     path = shared_dir(spark, "graph-feed")
     graph_lines(spark, sf_dir).write.mode("overwrite").text(path)
-    return entity_counts(read_graph(spark, path))
+    return entity_counts(read_graph(spark, path, with_row_id=False))
 
 
 @register("series_roundtrip", _window_sql(7))

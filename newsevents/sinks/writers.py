@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsevents.operators.checks import SameCount
 from newsevents.operators.records import null_empty_structs
 
 
@@ -23,10 +24,12 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_series(df: DataFrame, path: str, day: str = "day", value: str = "value",
-                 mode: str = "overwrite") -> None:
-    """``yyyyMMdd,value`` lines in day order (K3); readable by ``read_series``."""
-    (df.select(F.date_format(day, "yyyyMMdd").alias("day"), F.col(value).cast("string").alias("value"))
-     .orderBy("day").write.mode(mode).option("header", "false").csv(path))
+                 mode: str = "overwrite", check: SameCount | None = None) -> None:
+    """``yyyyMMdd,value`` lines in day order (K3); readable by ``read_series``. ``check`` counts the rows as they are written."""
+    ordered = df.select(F.date_format(day, "yyyyMMdd").alias("day"), F.col(value).cast("string").alias("value")).orderBy("day")
+    if check is not None:
+        ordered = check.after(ordered)
+    ordered.write.mode(mode).option("header", "false").csv(path)
 
 
 def write_ranked(counts: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,8 +44,9 @@ def write_ranked(counts: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_articles(articles: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``(cameo, title, content)`` Parquet (K4); no 64 KB limit on text."""
-    articles.select("cameo", "title", "content").write.mode(mode).parquet(path)
+    """``(cameo, title, content)`` Parquet (K4), a null title or content as ``""``; no 64 KB limit on text."""
+    text = [F.coalesce(c, F.lit("")).alias(c) for c in ("title", "content")]
+    articles.select("cameo", *text).write.mode(mode).parquet(path)
 
 
 def write_event_json(events: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from newsevents import schema as S
 from newsevents.functions.parsing import to_date, to_double
-from newsevents.operators.records import parse_event_csv_columns, parse_graph, with_row_key
+from newsevents.operators.records import parse_event_csv_columns, parse_graph, with_unique_row_key
 
 
 def read_event_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -37,11 +37,14 @@ def read_events(spark: SparkSession, path: str | list[str], with_path: bool = Fa
 
 
 def read_graph(spark: SparkSession, path: str | list[str], with_row_id: bool = True) -> DataFrame:
-    """Knowledge-graph files -> typed rows, each with a stable ``row_id``."""
+    """Knowledge-graph files -> typed rows, each with a stable ``row_id`` of its own.
+
+    Numbering the lines that repeat reads the files more than once; without the id they are read once.
+    """
     lines = spark.read.text(path)
     keep = []
     if with_row_id:
-        lines = with_row_key(lines, F.col("_metadata.file_path"))
+        lines = with_unique_row_key(lines, F.col("_metadata.file_path"))
         keep = ["row_id"]
     return parse_graph(lines, keep=keep)
 

@@ -141,3 +141,38 @@ def test_gzipped_feed_is_decoded(spark, tmpdir_path):  # Q26
         f.write("\n".join(lines) + "\n")
     rows = read_events(spark, path).collect()
     assert len(rows) == 5 and {r.actor1_geo.country_code for r in rows} == {"FR"}
+
+
+def test_unique_row_keys(spark, tmp_path):  # S8
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from newsevents.operators.records import with_row_key, with_unique_row_key
+    lines = [f"line {i % 50}" for i in range(400)] + ["hot line"] * 300 + ["only once"]
+    for name, part in (("a", lines), ("b", lines[:100])):
+        (tmp_path / name).write_text("\n".join(part) + "\n")
+    path = [str(tmp_path / "a"), str(tmp_path / "b")]
+
+    def keys(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            read = spark.read.text(path)
+            return sorted((r.value, r.row_id) for r in with_unique_row_key(read, F.col("_metadata.file_path")).collect())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+    whole = keys("1m")
+    assert whole == keys("500b") and len(whole) == len(lines) + 100 == len({k for _, k in whole})
+    plain = {(r.value, r.row_id) for r in with_row_key(spark.read.text(path), F.col("_metadata.file_path")).collect()}
+    assert plain <= set(whole)
+    first = next(k for v, k in plain if v == "only once")
+    where = spark.read.text(str(tmp_path / "a")).select("_metadata.file_path").first()[0]
+    assert first == hashlib.md5(f"{where}-only once".encode()).hexdigest()
+    assert with_unique_row_key(spark.createDataFrame([], "value string"), "x").count() == 0
+
+
+def test_null_text_of_articles_is_written_empty(spark, tmp_path):  # X10
+    from newsevents.sinks.writers import write_articles
+    write_articles(spark.createDataFrame([(1, None, None), (2, "t", "c")], "cameo long, title string, content string"), str(tmp_path / "x"))
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "x")).collect()) == [(1, "", ""), (2, "t", "c")]
