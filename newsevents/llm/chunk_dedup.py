@@ -7,9 +7,11 @@ the first by (document, place) stays. Neighbouring repeated chunks are joined
 into spans, and spans of ``MIN_SPAN`` bytes (an average chunk) and more are
 reported.
 
-Equal digests are counted with a partial aggregate before the shuffle, so a
-passage that every document holds costs one row per task there; the join back to
-the places of repeated chunks is one that Spark splits when a key is hot.
+One exchange of all chunks, by half a digest, finds those that some other chunk
+may equal: a task sends one row of each half digest it holds to the shared key and spreads
+the rest, as they are known to be repeated. What is left (a fifth, say) is written,
+and only that meets again: the first of equal chunks by a partial aggregate, its copies by a
+join that Spark splits when a key is hot.
 """
 
 from __future__ import annotations
@@ -21,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsevents.llm.common import arrow_map, batches, slices, text_buffer
+from newsevents.llm.common import arrow_map, batches, slices, text_buffer, written
 
 #: Bits of the hash that must be zero (a border every 2 ** BITS bytes), shortest and longest chunk, shortest span reported.
 BITS, MIN_CHUNK, MAX_CHUNK, MIN_SPAN = 4, 16, 512, 32
-WINDOW = 32
+WINDOW, LENGTH_BITS = 32, 10
+#: Chunks that a task holds before it sends them.
+LOCAL_CHUNKS = 1 << 19
 
 _GEAR = np.random.default_rng(8).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -60,13 +64,28 @@ def borders(buf: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, version, start, end`` of every chunk and the halves ``d1, d2`` of its digest.
+    """``doc_id, version, place`` of every chunk, the halves ``d1, d2`` of its digest, and where it is sent.
 
-    ``version`` tells rows with one id and different texts apart.
+    ``version`` tells rows with one id and different texts apart; ``place`` packs start and length. ``salt``
+    is 0 for the first chunk of a digest that a task holds, ``twin`` marks digests that it holds twice.
     """
     kind = dict(docs.dtypes)[id_col]
 
+    def send(held):
+        ids, version = (pa.concat_arrays([h[k] for h in held]) for k in (0, 1))
+        place, d1, d2 = (np.concatenate([h[k] for h in held]) for k in (2, 3, 4))
+        order = np.argsort(d1, kind="stable")
+        d1 = d1[order]
+        same = d1[1:] == d1[:-1]
+        follows = np.concatenate([[False], same])
+        at = pa.array(order)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(d1), pa.array(np.where(follows, 1 + order % 251, 0).astype(np.int16)), ids.take(at), version.take(at),
+             pa.array(place[order]), pa.array(d2[order]), pa.array(follows | np.concatenate([same, [False]]))],
+            ["d1", "salt", "doc_id", "version", "place", "d2", "twin"])
+
     def run(it):
+        held, n = [], 0
         for b in batches(it):
             buf, off = text_buffer(b.column(2))
             for i, j in slices(off):
@@ -76,19 +95,31 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 raw = part.tobytes()
                 cuts = borders(part, own)
                 row = np.repeat(np.arange(i, j), [len(c) - 1 for c in cuts])
-                start = [x for c in cuts for x in c[:-1]]
-                end = [x for c in cuts for x in c[1:]]
-                base = own[row - i].tolist()
-                digest = b"".join([hashlib.blake2b(raw[o + x:o + y], digest_size=16).digest() for o, x, y in zip(base, start, end)])
+                start = np.array([x for c in cuts for x in c[:-1]], np.int64)
+                end = np.array([x for c in cuts for x in c[1:]], np.int64)
+                base = own[row - i]
+                digest = b"".join([hashlib.blake2b(raw[x:y], digest_size=16).digest() for x, y in zip((base + start).tolist(), (base + end).tolist())])
                 halves = np.frombuffer(digest, "<i8").reshape(-1, 2)
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(start, pa.int32()),
-                                                  pa.array(end, pa.int32()), *[pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)]],
-                                                 ["doc_id", "version", "start", "end", "d1", "d2"])
+                held.append((b.column(0).take(at), b.column(1).take(at), start << LENGTH_BITS | end - start, halves[:, 0], halves[:, 1]))
+                n += len(row)
+                if n >= LOCAL_CHUNKS:
+                    yield from send(held)
+                    held, n = [], 0
+        if n:
+            yield from send(held)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     return arrow_map(rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()), run,
-                     f"doc_id {kind}, version long, start int, end int, d1 long, d2 long")
+                     f"d1 long, salt short, doc_id {kind}, version long, place long, d2 long, twin boolean")
+
+
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``d1, d2, doc_id, version, start, end`` of the chunks that may occur twice: all that do, and what shares half a digest."""
+    sent = chunks(docs, id_col, text_col).withColumn("seen", F.count("*").over(Window.partitionBy("d1", "salt")))
+    start = F.shiftright("place", LENGTH_BITS).cast("int")
+    return sent.where("twin or seen > 1").select("d1", "d2", "doc_id", "version", start.alias("start"),
+                                                 (start + F.col("place").bitwiseAND((1 << LENGTH_BITS) - 1).cast("int")).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,10 +133,10 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN, id_col: str = "doc
     different texts are compared as documents of their own.
     """
     place = F.struct("doc_id", "version", "start")
-    # Chunks are made twice, which costs less than writing them all.
-    first = (chunks(docs, id_col, text_col).groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    found = written(repeated_chunks(docs, id_col, text_col), "chunks")
+    first = (found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where("first <> last").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "first"))
-    again = (chunks(docs, id_col, text_col).join(first, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")))
+    again = (found.join(first, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")))
              .where(place != F.col("first"))
              .select("doc_id", "version", "start", "end", F.col("first.doc_id").alias("first_doc_id")))
     by_doc = Window.partitionBy("doc_id", "version").orderBy("start")
