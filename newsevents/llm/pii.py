@@ -22,20 +22,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Longest mail box and domain of an address (RFC 5321).
+MAX_BOX, MAX_DOMAIN = 64, 255
 KINDS = ("email", "ip", "date", "ssn", "phone", "card")
 
-# The formats searched for, in the order in which they are tried.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# The formats searched for, in the order in which they are tried. Java recurses once for each turn of a group that
+# may give back, so a repeated group is possessive: a label and its dot are taken if a top level, or a label and a dot, follows.
+_BOX, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]++"
+EMAIL = (rf"(?<!{_BOX}){_BOX}++@(?:(?:{_LABEL}\.(?=[A-Za-z]{{2}}|{_LABEL}\.[A-Za-z0-9-]))++[A-Za-z]{{2,}}+"
+         rf"|{_LABEL}\.[A-Za-z]{{2,}}+)")
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DAY_DATE = r"(?<![0-9./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"(?<![0-9+(])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
-# With +1 or brackets any area and exchange will do. FOREIGN also has those with +1 and an area below 200, LOOSE the others.
+PHONE = (r"(?<![0-9+(])(?:(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
+         r"|\+1[ .-]?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-]?)[2-9][0-9]{2}[ .-]?[0-9]{4})(?![0-9])")
+# With +1 or brackets any area and exchange will do, and with +1 no separators are needed. FOREIGN also has those with +1 and an area
+# below 200, LOOSE the others.
 FOREIGN = (r"(?<![0-9+])(?:\+[2-9](?:[ .()-]{0,2}[0-9]){8,13}"
-           r"|\+1[ .-]?(?:\([01][0-9]{2}\) ?|[01][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9])")
-LOOSE = (r"(?<![0-9+(])(?:\+1[ .-]?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[01][0-9]{2}"
-         r"|\([0-9]{3}\) ?[0-9]{3})[ .-][0-9]{4}(?![0-9])")
+           r"|\+1[ .-]?(?:\([01][0-9]{2}\) ?|[01][0-9]{2}[ .-]?)[0-9]{3}[ .-]?[0-9]{4})(?![0-9])")
+LOOSE = (r"(?<![0-9+(])(?:\+1[ .-]?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-]?)[01][0-9]{2}[ .-]?"
+         r"|\([0-9]{3}\) ?[0-9]{3}[ .-])[0-9]{4}(?![0-9])")
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 ANY = "|".join((EMAIL, IP, ISO_DATE, DAY_DATE, SSN, PHONE, FOREIGN, LOOSE, CARD))
 
@@ -159,14 +166,18 @@ def _date(m: str, pattern: str, key: str) -> str:
 
 
 def _email(m: str, key: str) -> str:
-    """Letters and digits of the mail box change within their class; its signs and the domain stay."""
+    """Letters and digits of the mail box change within their class; its signs and the domain stay.
+
+    A box of more than ``MAX_BOX`` characters, or a domain of more than ``MAX_DOMAIN``, is no address.
+    """
     box, rest = f"substring_index({m}, '@', 1)", f"substr({m}, instr({m}, '@'))"
     base = "case when c rlike '[a-z]' then 97 when c rlike '[A-Z]' then 65 when c rlike '[0-9]' then 48 else ascii(c) end"
     radix = "case when c rlike '[A-Za-z]' then 26L when c rlike '[0-9]' then 10L else 1L end"
     cs = _chars(box)
     f = feistel(f"transform(cs, c -> cast(ascii(c) - ({base}) as bigint))", f"transform(cs, c -> {radix})", "email", key)
     new = _bind(f, "v", f"array_join(transform(cs, (c, i) -> char(({base}) + v[i])), '')")
-    return _bind(cs, "cs", f"concat({new}, {rest})")
+    valid = f"instr({m}, '@') <= {MAX_BOX} + 1 and length({m}) - instr({m}, '@') <= {MAX_DOMAIN}"
+    return f"if({valid}, {_bind(cs, 'cs', f'concat({new}, {rest})')}, null)"
 
 
 def _replace(m: str, key: str) -> str:
@@ -193,17 +204,16 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", kinds_col: s
     pseudonyms in every table.
     """
     secret = "'" + key.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    text = "`" + text_col + "`"
-    names = [c for c in docs.columns if c not in (text_col, kinds_col)]
-    kept = [F.col(f"`{c}`") for c in names]
+    # Numbered names: a caller's column may be called anything.
+    names = [c for c in docs.columns if c != kinds_col]
+    plain = docs.toDF(*[f"_k{i}" if c != kinds_col else "_old" for i, c in enumerate(docs.columns)]).drop("_old")
+    kept, text = plain.columns, plain.columns[names.index(text_col)]
     # Only texts with a digit or a mail sign are searched.
     hot = f"({text} rlike '[0-9@]')"
-    cut = docs.select(*kept, F.col(text).alias(text_col),
-                      F.expr(f"if({hot}, regexp_extract_all({text}, {_q(ANY)}, 0), cast(array() as array<string>))").alias("__found"))
-    new = cut.select(*kept, F.col(text).alias(text_col),
-                     F.expr(f"transform(__found, m -> {_replace('m', secret)})").alias("__new"))
-    rest = new.select(*kept, F.col(text).alias(text_col), "__new",
-                      F.expr(f"if(size(__new) > 0, split({text}, {_q(ANY)}, -1), cast(array() as array<string>))").alias("__rest"))
-    order = [F.expr(f"if(size(__new) > 0, concat(array_join(zip_with(slice(__rest, 1, size(__new)), __new, (a, b) -> concat(a, b.value)), ''), "
-                    f"element_at(__rest, -1)), {text})").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != kinds_col]
-    return rest.select(*order, F.expr("filter(transform(__new, x -> x.kind), k -> k is not null)").alias(kinds_col))
+    cut = plain.select(*kept, F.expr(f"if({hot}, regexp_extract_all({text}, {_q(ANY)}, 0), cast(array() as array<string>))").alias("_found"))
+    new = cut.select(*kept, F.expr(f"transform(_found, m -> {_replace('m', secret)})").alias("_new"))
+    rest = new.select(*kept, "_new", F.expr(f"if(size(_new) > 0, split({text}, {_q(ANY)}, -1), cast(array() as array<string>))").alias("_rest"))
+    filled = F.expr(f"if(size(_new) > 0, concat(array_join(zip_with(slice(_rest, 1, size(_new)), _new, (a, b) -> concat(a, b.value)), ''), "
+                    f"element_at(_rest, -1)), {text})")
+    return rest.select(*[(filled if k == text else F.col(k)).alias(c) for k, c in zip(kept, names)],
+                       F.expr("filter(transform(_new, x -> x.kind), k -> k is not null)").alias(kinds_col))

@@ -200,3 +200,42 @@ def test_query(spark):
             assert got[d.doc_id].n_pii == len(kinds) and got[d.doc_id].n_email == kinds.count("email")
     finally:
         KEY = old
+
+
+def test_mail_addresses_without_recursion(spark):
+    ends = ["bob@example.com. Next", "a@b.com4", "a@b.com.2020-01-01", "x@y.c.uk!", "x@y.co-m", "a@b.c", "two@a.bc,three@d.ef", "box@1.2.3.4", "a@b.com.1.2", "a.b+c@x-y.museum"]
+    long = ["x@" + "a." * n + "com" for n in (40, 100, 3000, 500_000)] + ["a" * n + "@b.com" for n in (64, 65, 3000, 1_000_000)]
+    rows = list(enumerate(ends + long))
+    got = {r.doc_id: (r.text, r.pii) for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    kinds = {t: got[i][1] for i, t in rows}
+    assert [kinds[t] for t in ends] == [["email"], ["email"], ["email", "date"], ["email"], ["email"], [], ["email", "email"], ["ip"], ["email"], ["email"]]
+    assert all(got[i][0].partition("@")[2] == t.partition("@")[2] for i, t in rows if kinds[t] == ["email"])
+    # A box of 64 and a domain of 255 characters are the longest.
+    assert [kinds[t] for t in long] == [["email"], ["email"], [], [], ["email"], [], [], []]
+    assert got[len(ends) + 3][0] == long[3] and got[len(ends) + 7][0] == long[7]
+
+
+@pytest.mark.parametrize("unit", ["a", "a.", "a@", "@", "x@a.", "1", "1 ", "1-", "1.", "12.", "+1 ", "+", "(212) ", "2024-01-01", "123-45-", "4111 ", "a-", "%", "+44 2"])
+def test_a_megabyte_of_a_pattern_s_own_characters(spark, unit):
+    text = unit * (1_000_000 // len(unit))
+    r = pii.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), KEY).first()
+    assert len(r.text) == len(text)
+
+
+def test_telephone_numbers_without_separators(spark):
+    same = ["+12125550187", "+1 212 555 0187", "(212) 555-0187", "+1 2125550187", "+1-212-5550187", "212-555-0187"]
+    other = ["+10125550187", "+1 (012) 555-0187", "+12121550187", "(212) 155-0187"]
+    rows = [(i, f"call {n}.") for i, n in enumerate(same + other)]
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    new = [re.sub("[^0-9]", "", got[i].text)[-10:] for i, _ in rows]
+    assert all(got[i].pii == ["phone"] and re.sub("[0-9]", "0", got[i].text) == re.sub("[0-9]", "0", t) for i, t in rows)
+    assert len(set(new[:6])) == 1 and new[0] != "2125550187" and new[6] == new[7] and new[8] == new[9] and len(set(new)) == 3
+
+
+def test_clashing_names(spark):
+    names = ["__found", "__new", "__rest", "_found", "_new", "_k0", "_k1", "_old", "m", "k", "a.b"]
+    docs = spark.createDataFrame([(1, "mail a@b.com", *range(len(names)))], ["doc_id", "text", *names])
+    r = pii.pseudonymise(docs, KEY)
+    assert r.columns == [*docs.columns, "pii"] and tuple(r.first())[2:-1] == tuple(range(len(names))) and r.first().pii == ["email"]
+    own = docs.withColumnRenamed("_old", "kinds")
+    assert pii.pseudonymise(own, KEY, kinds_col="kinds").first().kinds == ["email"]
