@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from newsevents.llm.bpe import Table, spread, token_keys
 from newsevents.llm.common import arrow_map, batches, slices, text_buffer
 from newsevents.llm.toxicity import held_out
-from newsevents.llm.words import Adam, Bags, WordCache, char_table, grams, word_spans
+from newsevents.llm.words import Adam, Bags, WordCache, char_table, grams, has_words, sample_text, word_spans
 
-#: Bounds of the training sample: rows per language, rows in all, longest text taken (characters).
+#: Bounds of the training sample: rows per language, rows in all, characters of one (a longer text gives stretches of that many in all).
 SAMPLE_ROWS, SAMPLE_TOTAL, SAMPLE_CHARS = 300, 6_000, 6_000
 #: Training sequences and their length, longest chain at prediction.
 SEQUENCES, LENGTH, CHAIN = 1_500, 48, 128
@@ -156,20 +156,23 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_total: int = SAM
         sample_chars: int = SAMPLE_CHARS) -> Model | None:
     """Train on at most ``sample_rows`` texts of each language (``sample_total`` in all) that are not held out.
 
-    Rows with a null id, text or language take no part; nor do texts over
-    ``sample_chars``, so the sample has a fixed bound.
+    Rows with a null id or language, and texts without a word, take no part. Texts of at most
+    ``sample_chars`` are taken first and whole; a longer one gives stretches from all over it
+    (``sample_text``), so the sample has a fixed bound and no language is left out for the length of its texts.
     """
-    usable = docs.where("doc_id is not null and lang is not null").where(~held_out("doc_id"))
+    usable = (docs.select("doc_id", "lang", "text").where("doc_id is not null and lang is not null").where(~held_out("doc_id"))
+              .where(has_words(F.col("text"))))
     n_langs = usable.select("lang").distinct().count()
     if not n_langs:
         return None
     each = max(1, min(sample_rows, sample_total // n_langs))
-    short = usable.where(F.length("text") <= sample_chars)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    some = short.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
-    some = some.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))  # at most sample_total rows (or one a language)
-    rows = (short.select("doc_id", "lang", "text").join(F.broadcast(some), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
-            .select("doc_id", "lang", "text").collect())
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id", "version")
+    sizes = usable.select("doc_id", "lang", (F.length("text") > sample_chars).alias("long"), F.xxhash64("text").alias("version"))
+    some = sizes.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    # At most sample_total rows (or one a language).
+    some = some.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "version").distinct()
+    rows = (usable.join(F.broadcast(some), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")) & (F.xxhash64("text") == F.col("version")))
+            .select("doc_id", "lang", sample_text(F.col("text"), sample_chars).alias("text")).limit(max(sample_total, n_langs)).collect())
     rows.sort(key=lambda r: (r.doc_id, r.text))
     langs = sorted({r.lang for r in rows})
     return train([r.text.encode() for r in rows], np.array([langs.index(r.lang) for r in rows]), langs) if rows else None

@@ -28,14 +28,15 @@ from pyspark.sql import functions as F
 
 from newsevents.llm.bpe import spread, token_keys
 from newsevents.llm.common import arrow_map, batches, slices, text_buffer
-from newsevents.llm.words import Adam, Bags, WordCache, char_table, grams, word_spans
+from newsevents.llm.words import Adam, Bags, WordCache, char_table, grams, has_words, sample_text, word_spans
 
-#: Bounds of the training sample: clean and toxic rows, and the longest text taken (in characters; such texts are taken whole).
+#: Bounds of the training sample: clean and toxic rows, and the characters of one (a longer text gives stretches of that many in all).
 SAMPLE_ROWS, SAMPLE_CHARS = (2_200, 700), 5_000
 BUCKETS, DIM, LOW, HIGH, WINDOW = 1 << 17, 8, 3, 5, 2
 STEPS, ROUNDS, ROUND_STEPS, RATE = 15, 6, 20, 0.05
 WORST = 4
-CHARS = char_table(b"0123456789@$")
+SIGNS = "0123456789@$"
+CHARS = char_table(SIGNS.encode())
 
 
 @dataclass
@@ -156,18 +157,22 @@ def _logistic(z: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, fl
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: tuple[int, int] = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model | None:
     """Train on at most ``sample_rows`` labelled rows (clean, toxic) that are not held out.
 
-    ``labels``: ``doc_id, toxic`` (0 or 1; null labels and ids are skipped).
-    Rows are taken in the order of a hash of their id; texts over
-    ``sample_chars`` are passed over, so the sample's size has a fixed bound.
+    ``labels``: ``doc_id, toxic`` (0 or 1; null labels and ids are skipped). Only texts with a word count.
+    Rows are taken in the order of a hash of their id, texts of at most ``sample_chars`` first: they are
+    learnt from whole, while a longer one gives stretches from all over it (``sample_text``). So
+    the sample's size has a fixed bound, and a class whose texts are all long is learnt none the less.
     """
     ids = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    ids = ids.select(F.col("doc_id").alias("_id"), "toxic")
+    texts = docs.select("doc_id", "text").where(has_words(F.col("text"), SIGNS)).withColumn("long", F.length("text") > sample_chars)
+    sizes = texts.select("doc_id", "long", F.xxhash64("text").alias("version")).join(ids, F.col("doc_id") == F.col("_id"))
     some = None
     for value in (0, 1):
-        part = ids.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows[value])
+        part = sizes.where(F.col("toxic") == value).orderBy("long", F.xxhash64("doc_id"), "doc_id", "version").limit(sample_rows[value])
         some = part if some is None else some.unionByName(part)
-    some = some.select(F.col("doc_id").alias("_id"), "toxic")  # at most sum(sample_rows) rows: safe to broadcast
-    rows = (docs.select("doc_id", "text").where(F.length("text") <= sample_chars)
-            .join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic").collect())
+    some = some.groupBy("_id", "version", "toxic").agg(F.count("*").alias("n"))  # at most sum(sample_rows) rows: safe to broadcast
+    picked = texts.join(F.broadcast(some), (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("version")))
+    rows = picked.select("doc_id", sample_text(F.col("text"), sample_chars, SIGNS).alias("text"), "toxic").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return train([r.text.encode() for r in rows], np.array([r.toxic for r in rows], np.int64))
 

@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from newsevents.llm.bpe import Table, spread, token_keys
 
+#: Stretches that a long text gives to a training sample.
+PIECES = 8
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -20,6 +25,24 @@ def char_table(extra: bytes = b"") -> np.ndarray:
     return t
 
 
+def has_words(text: Column, extra: str = "") -> Column:
+    """A text holds a word by ``char_table(extra)``."""
+    return F.coalesce(text.rlike(rf"[A-Za-z{extra}]|[^\x00-\x7F]"), F.lit(False))
+
+
+def sample_text(text: Column, chars: int, extra: str = "") -> Column:
+    """A text of at most ``chars`` characters as it is; of a longer one ``PIECES`` stretches, spread evenly over the whole of it.
+
+    What is in no word is one blank there, so that each stretch has words; the bound on a sample's
+    size then leaves no text out for its length.
+    """
+    words = F.trim(F.regexp_replace(text, rf"(?:(?![^\x00-\x7F])[^A-Za-z{extra}])++", " "))
+    width = chars // PIECES
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)),
+                         lambda i: F.substring(words, (F.lit(1) + F.floor(i * F.greatest(F.length(words) - width, F.lit(0)) / (PIECES - 1))).cast("int"), F.lit(width)))
+    return F.when(F.length(text) <= chars, text).when(F.length(words) <= chars, words).otherwise(F.array_join(pieces, " "))
+
+
 def word_spans(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """ASCII-lower-cased bytes, and starts and ends of the words; no word crosses a text's border."""
     mask = table.take(buf)

@@ -60,3 +60,61 @@ def test_held_out_accuracy(spark):
     held = [d for d in docs if zlib.crc32(str(d.doc_id).encode()) % 4 == 2]
     assert all(got[d.doc_id].held_out for d in held) and len(got) == len(docs)
     assert np.mean([got[d.doc_id].lang_pred == d.lang for d in held]) > 0.95
+
+
+def test_a_language_of_long_texts_is_learnt(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(EN, 4)), "en") for i in range(100)] + [(200 + i, " ".join(rng.choice(FR, 200)), "fr") for i in range(60)]
+    rows += [(300, "1 2 3", "de"), (301, None, "de")]
+    assert min(len(t) for i, t, _ in rows if 200 <= i < 300) > L.SAMPLE_CHARS
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = L.fit(docs)
+    got = {r.doc_id: r.lang_pred for r in L.predict(docs, m).collect()}
+    assert m.langs == ["en", "fr"] and all(got[i] == lang for i, _, lang in rows if i < 300)
+
+
+def test_label_against_plain_version(spark):
+    """The language of a text by a small fixed model: features by definition, all paths of labels."""
+    rng = np.random.default_rng(9)
+    langs = ["a", "b", "c"]
+    m = L.Model(langs, rng.normal(size=(2 * L.BUCKETS, 3)).astype(np.float32), np.zeros(0, np.int64), np.zeros((0, 3), np.float32),
+                rng.normal(size=(3, 3)).astype(np.float32), rng.normal(size=3).astype(np.float32))
+
+    def features(word):
+        w, out = b"<" + word + b">", []
+        for n in range(1, 5):
+            for i in range(len(w) - n + 1):
+                h = 0
+                for b in w[i:i + n]:
+                    h = (h * 0x100000001B3 + b) % 2**64
+                h = (h + n) % 2**64
+                h ^= h >> 31
+                h = h * 0x9E3779B97F4A7C15 % 2**64
+                out.append((h >> 33) % L.BUCKETS)
+        for k in (2, 3, 4):
+            for side, part in ((0, word[:k]), (1, word[-k:])):
+                if len(word) >= k:
+                    h = 17 * k + side
+                    for b in part:
+                        h = (h * 0x100000001B3 + b) % 2**64
+                    h = h * 0x9E3779B97F4A7C15 % 2**64
+                    out.append(L.BUCKETS + (h >> 33) % L.BUCKETS)
+        return out
+
+    def plain(words):
+        unary = [m.weights[features(w)].mean(0) for w in words]
+        mass = np.zeros(3)
+        total = 0.0
+        for p in product(range(3), repeat=len(words)):
+            x = np.exp(m.start[p[0]] + sum(unary[t][y] for t, y in enumerate(p)) + sum(m.transitions[a, b] for a, b in zip(p, p[1:])))
+            total += x
+            mass += x * np.bincount(p, minlength=3)
+        return mass / total / len(words)
+
+    texts = ["the house", "Größe", "un deux trois quatre", "x y", "ab, cd; ef!", "one two three four five"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in L.predict(docs, m).collect()}
+    import re
+    for i, t in enumerate(texts):
+        share = plain(re.findall(rb"[a-z\x80-\xff]+", t.encode().lower()))
+        assert got[i].lang_pred == langs[int(share.argmax())] and abs(got[i].score - share.max()) < 1e-4

@@ -60,3 +60,53 @@ def test_held_out_accuracy_and_no_leak(spark):
             n += 1
             right += got[r.doc_id].predicted == r.toxic
     assert right / n > 0.9  # some labels of these tables are wrong
+
+
+def test_a_class_of_long_texts_is_learnt(spark):
+    rng = np.random.default_rng(3)
+    calm = [" ".join(rng.choice(CALM, 4)) for _ in range(200)]
+    rude = [" ".join(rng.choice(RUDE + CALM[:1], 240)) for _ in range(60)]
+    assert min(map(len, rude)) > T.SAMPLE_CHARS
+    rows = [(i, t) for i, t in enumerate(calm + rude)] + [(1000, "..."), (1001, "  " * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(260)] + [(1000, 1), (1001, 1)], "doc_id long, toxic int")
+    m = T.fit(docs, labels)
+    got = {r.doc_id: r.score for r in T.score(docs, m).collect()}
+    assert m is not None and np.mean([got[i] > 0.5 for i in range(200, 260)]) > 0.95 and np.mean([got[i] < 0.3 for i in range(200)]) > 0.95
+    # Few long texts beside enough short ones do not crowd them out, and the sample's bound holds.
+    assert T.fit(docs, labels, sample_rows=(50, 20), sample_chars=200) is not None
+
+
+def test_score_against_plain_version(spark):
+    """The score of a small fixed model, n-gram by n-gram."""
+    rng = np.random.default_rng(6)
+    m = T.Model(rng.normal(size=T.BUCKETS).astype(np.float32), 0.3, 1.7, -0.4)
+
+    def bucket(gram):
+        h = 0
+        for b in gram:
+            h = (h * 0x100000001B3 + b) % 2**64
+        h = (h + len(gram)) % 2**64
+        h ^= h >> 31
+        h = h * 0x9E3779B97F4A7C15 % 2**64
+        return (h >> 33) % 2**31 % T.BUCKETS if (h >> 33) < 2**31 else (h >> 33) % T.BUCKETS
+
+    def margin(word):
+        w = b"<" + word + b">"
+        grams = [w[i:i + n] for n in range(T.LOW, T.HIGH + 1) for i in range(len(w) - n + 1)]
+        return float(np.mean([m.table[bucket(g)] for g in grams])) if grams else 0.0
+
+    def plain(text):
+        import re
+        words = re.findall(rb"[a-z0-9@$\x80-\xff]+", (text or "").encode().lower())
+        if not words:
+            return 0.0
+        z = [margin(w) for w in words]
+        worst = max(np.mean(z[i:i + T.WINDOW]) for i in range(max(1, len(z) - T.WINDOW + 1)))
+        return float(1 / (1 + np.exp(-np.clip(m.slope * (worst + m.bias) + m.shift, -40, 40))))
+
+    texts = [*CALM, *RUDE, "one", "", None, "Größe über ALLES", "a b", "x", "m@il $100", "!?", " ".join(CALM * 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in T.score(docs, m).collect()}
+    for i, t in enumerate(texts):
+        assert abs(got[i] - plain(t)) < 1e-4, t
