@@ -15,8 +15,11 @@ one is taken that in the other half rejects most bad rows beyond the good ones
 (of equal ones the strictest).
 
 All strata together are one more, pooled, stratum. A labelled stratum that
-certifies no cutoff of its own takes the pooled cutoffs; there the bound holds
-for the good rows of all strata, not for its own. The rules stay off in a stratum
+certifies no cutoff of its own takes the pooled cutoffs, unless its own holdout speaks
+against them: they are off where so many of its good rows would go that a share of at most ``ALPHA`` is
+refuted by an exact test at level ``DOUBT``. Under pooled cutoffs the bound holds
+for the good rows of all strata together; only a stratum's ``own`` cutoffs carry the guarantee
+for it. The rules stay off in a stratum
 without labelled rows, which the pool knows nothing of, and everywhere if the
 pooled rows are too few as well.
 
@@ -38,6 +41,8 @@ from newsevents.llm.common import arrow_map, batches, discard, text_buffer, writ
 
 #: Share of good rows of a stratum that all rules together may reject, and the probability that a stratum loses more.
 ALPHA, DELTA = 0.01, 0.05
+#: Level of the test that turns pooled cutoffs off in a stratum.
+DOUBT = 0.05
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
 RULES = ("symbols", "dup_lines", "repeats", "shouting", "marks", "long_words", "short_words")
@@ -172,9 +177,9 @@ def levels(score: np.ndarray, is_good: np.ndarray, count: np.ndarray) -> list[in
 
 
 def thresholds(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``stratum, cutoffs map<string,int>`` from counted rows (``doc_id, stratum``, ``COUNTS``) and labels (``doc_id, quality``).
+    """``stratum, cutoffs map<string,int>, source`` from counted rows (``doc_id, stratum``, ``COUNTS``) and labels (``doc_id, quality``).
 
-    Inside, the null stratum is the pooled one. Rows that the base rules reject, and labels that are null, take no part. A
+    A row for each labelled stratum; ``source`` is ``own``, ``pooled`` or ``off`` (null cutoffs). Inside, the null stratum is the pooled one. Rows that the base rules reject, and labels that are null, take no part. A
     row with several labels counts once for each.
     """
     own = scores()
@@ -194,8 +199,7 @@ def thresholds(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
                                     pa.schema([("stratum", pa.string()), ("rule", pa.string()), ("level", pa.list_(pa.int32()))]))
 
     ranked = tune.groupBy("stratum", "rule").applyInArrow(rank, "stratum string, rule string, level array<int>")
-    maps = written(ranked.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "level"))).alias("level")), "quality-levels")
-    maps = maps.withColumnRenamed("stratum", "_stratum")
+    maps = written(ranked.groupBy(F.col("stratum").alias("_stratum")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "level"))).alias("level")), "quality-levels")
     worst = F.greatest(*[F.coalesce(F.get(F.col("level")[r], F.col(r)), F.lit(0)) for r in RULES])
     hist = written(seen.join(maps, F.col("stratum").eqNullSafe(F.col("_stratum")))
                    .groupBy("stratum", "holdout", "good", worst.alias("score")).agg(F.sum("count").alias("count")), "quality-histogram")
@@ -212,14 +216,31 @@ def thresholds(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     lowest = F.map_filter(F.transform_values("level", lambda _, v: F.size(F.filter(v, lambda x: x < F.col("cutoff")))), lambda _, v: v <= 100)
     certified = written(found.join(maps, F.col("stratum").eqNullSafe(F.col("_stratum"))).select("stratum", lowest.alias("cutoffs")), "quality-certified")
     pooled = certified.where("stratum is null").agg(F.first("cutoffs").alias("_pooled"))  # always one row
+    # Good holdout rows of each stratum, and how many of them the pooled cutoffs reject.
+    caught = F.coalesce(F.array_max(F.array(*[(F.col(r) >= F.col("_pooled")[r]).cast("int") for r in RULES])), F.lit(0))
+    good = (seen.where("stratum is not null and holdout and good").crossJoin(F.broadcast(pooled))
+            .groupBy("stratum").agg(F.sum("count").alias("n"), F.sum(F.col("count") * caught).alias("lost")))
+
+    def doubt(it):
+        for b in batches(it):
+            n, lost = b.column(1).to_pylist(), b.column(2).to_pylist()
+            # P(X >= lost) for a share of alpha.
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x > 0 and 1 - binomial_tail(m, alpha, x - 1) < DOUBT for m, x in zip(n, lost)])], ["_stratum", "refuted"])
+
+    refuted = arrow_map(good, doubt, "_stratum string, refuted boolean")
     strata = hist.where("stratum is not null").select("stratum").distinct()
-    return (strata.join(certified, "stratum", "left").crossJoin(F.broadcast(pooled))
-            .select("stratum", F.coalesce("cutoffs", "_pooled").alias("cutoffs")).where("cutoffs is not null"))
+    chosen = (strata.join(certified, "stratum", "left").join(refuted, F.col("stratum") == F.col("_stratum"), "left").crossJoin(F.broadcast(pooled))
+              .withColumn("source", F.when(F.col("cutoffs").isNotNull(), "own")
+                          .when(F.col("_pooled").isNotNull() & ~F.coalesce("refuted", F.lit(False)), "pooled").otherwise("off")))
+    out = written(chosen.select("stratum", F.when(F.col("source") == "own", F.col("cutoffs")).when(F.col("source") == "pooled", F.col("_pooled")).alias("cutoffs"),
+                                "source"), "quality-cutoffs")
+    discard(seen, maps, hist, certified)
+    return out
 
 
 def verdict(counted: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """``counted`` (with ``stratum``) and ``base_failed``, ``kept``; a stratum without cutoffs keeps all that the base rules keep."""
-    marked = counted.join(cutoffs.withColumnRenamed("stratum", "_stratum"), F.col("stratum") == F.col("_stratum"), "left")
+    marked = counted.join(cutoffs.select(F.col("stratum").alias("_stratum"), "cutoffs"), F.col("stratum") == F.col("_stratum"), "left")
     own = scores()
     rejects = F.lit(False)
     for r in RULES:
@@ -233,15 +254,15 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """Verdict on each row of ``docs``: its id, ``COUNTS``, ``base_failed``, ``kept``.
 
     One row per input row. Null and empty texts have no words and fail the base
-    rules; a null stratum is a stratum of its own; a null id has no label.
+    rules; a null stratum is a stratum of its own, apart from any that has a name; a null id has no label.
     Repeated rows get the same verdict. ``keep_rows``: ``row`` (all columns of
     ``docs``) in place of the id; the counts are then made twice, so that no
     text is shuffled.
     """
-    ids = [F.col(f"row.{id_col}").alias("doc_id"), F.coalesce(F.col(f"row.{stratum_col}").cast("string"), F.lit("none")).alias("stratum")]
+    ids = [F.col(f"row.{id_col}").alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(f"row.{stratum_col}").cast("string")), F.lit("null")).alias("stratum")]
     slim = docs.select(*dict.fromkeys([id_col, text_col, stratum_col]))
     table = written(counts(slim, text_col).select(*ids, *COUNTS), "quality-counts")
-    found = written(thresholds(table, labels, alpha, delta), "quality-cutoffs")
+    found = thresholds(table, labels, alpha, delta)
     if not keep_rows:
         return verdict(table, found)
     discard(table)

@@ -119,3 +119,37 @@ def test_query_base_columns(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
         assert r.base_failed == (want[0] < 10 or 100 * want[4] > 20 * want[0])
         assert not (r.base_failed and r.kept)
+
+
+def test_a_stratum_that_refutes_the_pooled_cutoffs_keeps_its_own(spark):
+    """Good texts of a small stratum that look like another's junk stay; production parameters."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    good = [(i, " ".join(word() for _ in range(12)), "en") for i in range(6000)]
+    bad = [(10_000 + i, " ".join(word() + "##" for _ in range(12)), "en") for i in range(600)]
+    code = [(20_000 + i, " ".join(word() + "##" for _ in range(12)), "code") for i in range(30)]
+    named = [(30_000 + i, " ".join(word() + "##" for _ in range(12)), "none" if i % 2 else None) for i in range(10)]
+    docs = spark.createDataFrame(good + bad + code + named, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, *_ in good + code] + [(i, 0) for i, *_ in bad], "doc_id long, quality int")
+    out = {r.doc_id: r.kept for r in Q.quality(docs, labels).collect()}
+    assert sum(out[i] for i, *_ in code) >= 29 and not any(out[i] for i, *_ in bad) and all(out[i] for i, *_ in named)
+    assert sum(not out[i] for i, *_ in good) <= Q.ALPHA * len(good)
+    counted = Q.counts(docs).selectExpr("row.doc_id", "coalesce(row.lang, 'null') as stratum", *Q.COUNTS)
+    cutoffs = {r.stratum: r for r in Q.thresholds(counted, labels).collect()}
+    assert {k: r.source for k, r in cutoffs.items()} == {"en": "own", "code": "off"} and cutoffs["code"].cutoffs is None
+
+    # The verdicts by a plain version of the rules, from the cutoffs reported.
+    def plain_scores(text):
+        n_words, word_chars, n_symbols, n_dup, n_repeat = plain(text)
+        lines = [x for x in text.split("\n") if x.strip()]
+        share = lambda a, b, by=100: min(100, by * a // max(b, 1))
+        length = share(word_chars, n_words, 5)
+        return {"symbols": share(n_symbols, word_chars), "dup_lines": share(n_dup, len(lines)), "repeats": share(n_repeat, n_words),
+                "shouting": share(sum("A" <= c <= "Z" for c in text), word_chars), "marks": share(sum(c in "!?" for c in text), word_chars),
+                "long_words": length, "short_words": 100 - length}
+
+    for i, text, lang in good[:300] + bad[:50] + code + named:
+        limit = (cutoffs[lang].cutoffs if lang in cutoffs else None) or {}
+        n_words, _, _, _, n_repeat = plain(text)
+        base = n_words < 10 or 100 * n_repeat > 20 * n_words
+        assert out[i] == (not base and not any(s >= limit[r] for r, s in plain_scores(text).items() if r in limit))
