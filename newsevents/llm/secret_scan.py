@@ -4,8 +4,10 @@ Text that people write costs a BPE vocabulary about four characters a token;
 random strings cost about two. A run of key characters with letters and digits
 whose characters per token stay below ``MAX_RATIO`` is reported as ``random``,
 after known digests (by length) and identifiers (UUIDs, numbers, words joined
-by dashes) are excluded. The fixed patterns find their spans first and keep
-them; a random span never overlaps one of theirs.
+by dashes) are excluded. Plain words beside a random string raise the ratio of the run: where the whole
+run passes, what is left without the plain pieces (between signs) at its ends is judged,
+and each piece by itself. The fixed patterns find their spans first and keep
+them; a random span never overlaps one of theirs, but what a run has beside them is judged.
 
 Runs are found over whole Arrow buffers with numpy; regular expressions see
 only the texts that hold one of their key words.
@@ -14,6 +16,7 @@ only the texts that hold one of their key words.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +40,7 @@ KEY_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 HEX = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
+PIECE, PLAIN = re.compile(rb"[A-Za-z0-9+]+"), re.compile(rb"[A-Za-z]{3,}|[0-9]{1,8}")
 WORDS = re.compile(rb"(?:[A-Za-z]+|[0-9]{1,8})(?:[-_/=+](?:[A-Za-z]+|[0-9]{1,8}))*")
 
 
@@ -87,6 +91,32 @@ def is_random(s: bytes, tokenizer, max_ratio: float = MAX_RATIO) -> bool:
     return len(s) < max_ratio * len(tokenizer.encode_ordinary(s.decode()))
 
 
+def random_parts(s: bytes, tokenizer, max_ratio: float = MAX_RATIO) -> list[tuple[int, int]]:
+    """(start, end) of the random strings in a run of key characters."""
+    if is_random(s, tokenizer, max_ratio):
+        return [(0, len(s))]
+    pieces = [(m.start(), m.end()) for m in PIECE.finditer(s)]
+    # A piece is plain if it is a word or number, or a tokenizer can shorten it.
+    plain = [PLAIN.fullmatch(s, a, z) is not None or z - a >= max_ratio * len(tokenizer.encode_ordinary(s[a:z].decode())) for a, z in pieces]
+    odd = [i for i, p in enumerate(plain) if not p]
+    if not odd:
+        return []
+    a, z = pieces[odd[0]][0], pieces[odd[-1]][1]
+    if z - a >= MIN_RANDOM and is_random(s[a:z], tokenizer, max_ratio):
+        return [(a, z)]
+    return [(a, z) for a, z in pieces if z - a >= MIN_RANDOM and is_random(s[a:z], tokenizer, max_ratio)]
+
+
+def beside(start: int, end: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a run that no span (start, kind, end) covers."""
+    for a, _, z in sorted(x for x in spans if x[0] < end and x[2] > start):
+        if a > start:
+            yield start, a
+        start = max(start, z)
+    if start < end:
+        yield start, end
+
+
 def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the assign and access patterns, in bytes."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
@@ -111,10 +141,15 @@ def scan_slice(buf: np.ndarray, offsets: np.ndarray, tokenizer, max_ratio: float
     for kind, table, least in ((2, _HEX, MIN_HEX), (3, _KEY, MIN_RANDOM)):
         starts, ends = runs(table.take(buf), offsets, least)
         for s, e, row in zip(starts.tolist(), ends.tolist(), (np.searchsorted(offsets, starts, side="right") - 1).tolist()):
-            a, z = s - int(offsets[row]), e - int(offsets[row])
-            if kind == 3 and (any(x < z and a < y for x, _, y in found.get(row, ())) or not is_random(raw[s:e], tokenizer, max_ratio)):
+            base = int(offsets[row])
+            if kind == 2:
+                found.setdefault(row, []).append((s - base, kind, e - base))
                 continue
-            found.setdefault(row, []).append((a, kind, z))
+            fixed = [x for x in found.get(row, ()) if x[1] < 3]
+            for a, z in beside(s - base, e - base, fixed):
+                if z - a >= MIN_RANDOM:
+                    for x, y in random_parts(raw[base + a:base + z], tokenizer, max_ratio):
+                        found.setdefault(row, []).append((a + x, kind, a + y))
     return found
 
 

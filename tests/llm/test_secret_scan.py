@@ -74,3 +74,32 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for k, _, _ in base) for x in S.KINDS[:3]]
         assert [x for x in r.spans.split(",") if not x.startswith("random")] == joined.split(",")
+
+
+def test_random_strings_behind_plain_words():
+    tok = S._tokenizer(PATH)
+    rng = np.random.default_rng(7)
+    signs = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    keys = ["".join(rng.choice(signs, 20)) for _ in range(200)]
+    keys = [k for k in keys if any(c.isdigit() for c in k)]
+    found = {}
+    for name, before, after in (("bare", "", ""), ("assigned", "application_configuration_storage_credentials=", ""),
+                                ("path", "/projects/production/deployment/configuration/", ""), ("inside", "release-candidate/", "/download_archive_folder"),
+                                ("base", "deadbeefdeadbeefdeadbeef", "-")):
+        n = 0
+        for k in keys:
+            raw = (before + ("/" if name == "base" else "") + k + after).encode()
+            spans = S.scan_slice(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tok, S.MAX_RATIO).get(0, [])
+            at = raw.find(k.encode())
+            n += any(kind == 3 and s <= at and at + 20 <= e for s, kind, e in spans)
+            assert all(x[2] <= y[0] for x, y in zip(sorted(spans), sorted(spans)[1:]))
+        found[name] = n / len(keys)
+    assert found["bare"] >= 0.9 and all(x >= 0.9 for x in found.values()), found
+
+
+def test_plain_runs_stay_clean():
+    tok = S._tokenizer(PATH)
+    for text in (b"/usr/local/share/applications/configuration", b"2024-11-30/archive_2023/report-final-version", b"This_is-a_long-identifier_with_many-words",
+                 b"en/news/2024/index-of_pages/older", b"=" * 60, b"_" * 30 + b"name", b"a/b/c/d/e/f/g/h/i/j/k/l/m", b"0-1-2-3-4-5-6-7-8-9-10-11-12"):
+        assert not S.random_parts(text, tok)
+    assert S.random_parts(b"words/" * 200_000 + b"xK9vQ2mZpL8rT4wYbN7cJ1hG", tok) == [(1_200_000, 1_200_024)]
