@@ -31,7 +31,7 @@ def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """The document with the smallest id of each group of near duplicates (op 6); a null id is a group of its own."""
     first = (near_duplicates(docs).where("doc_id = component_id or doc_id is null")
              .select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(first, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal numbers, dates and addresses replaced (op 1); ``n_chars`` follows the text."""
-    out = pseudonymise(docs, PII_KEY, kinds_col="__kinds").drop("__kinds")
+    kinds = "kinds" + "_" * max(map(len, docs.columns))  # a name that no column has
+    out = pseudonymise(docs, PII_KEY, kinds_col=kinds).drop(kinds)
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
