@@ -24,10 +24,17 @@ strings of one anchor are neighbours: their starts form a range before it.
    the left bytes the second; all members of such a group but the earliest are
    repeated.
 5. The ranges of each document are united and cut out of its text.
+
+The suffixes of one gram are never split over ranges. A gram with more than ``HOT_ANCHORS`` anchors is left out of the
+sort: each string around its anchors is sent as its digest, the earliest of each is a partial
+aggregate, and the others are repeated. So a task never holds more than that many suffixes of one gram, and
+the borders, quantiles of a sample of the anchors left, keep the ranges alike.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -40,8 +47,10 @@ LENGTH, GRAM = 100, 24
 SPAN = LENGTH - GRAM + 1  # grams in a string
 #: Rows of anchors, and of suffixes, that a task holds before it sends them.
 LOCAL_ANCHORS, LOCAL_SUFFIXES = 1 << 20, 1 << 17
-#: Texts sampled for the borders of the ranges (they steer balance only), and ranges per shuffle partition.
-SAMPLE_TEXTS, RANGES_PER_PARTITION = 400, 3
+#: Anchors sampled for the borders of the ranges (they steer balance only), and ranges per shuffle partition.
+SAMPLE_ANCHORS, RANGES_PER_PARTITION = 20_000, 3
+#: Anchors of one gram that are merged in one task; the strings of a gram with more are compared by digest.
+HOT_ANCHORS = 200_000
 
 _BYTE = np.random.default_rng(10).integers(1, 1 << 63, 256).astype(np.uint64)
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -90,7 +99,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """``row, place`` of the anchors whose gram some other anchor has; ``place`` packs the place and both distances."""
+    """``key, row, place`` of the anchors whose gram (hashed to ``key``) some other anchor has; ``place`` packs the place and both distances."""
     def send(held):
         rows = pa.concat_arrays([r for r, _, _ in held])
         place, key = np.concatenate([p for _, p, _ in held]), np.concatenate([k for _, _, k in held])
@@ -120,7 +129,7 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
 
     sent = arrow_map(docs.select("row", "text"), run, "key long, salt short, row long, place long, twin boolean")
     return (sent.withColumn("seen", F.count("*").over(Window.partitionBy("key", "salt")))
-            .where("twin or seen > 1").select("row", "place"))
+            .where("twin or seen > 1").select("key", "row", "place"))
 
 
 class Run:
@@ -247,23 +256,44 @@ def earlier(lcp: np.ndarray, left: np.ndarray, lefts: np.ndarray, near: np.ndarr
             np.concatenate([np.full(len(s), e) for s, _, e in found]))
 
 
-def _borders(docs: DataFrame, parts: int) -> list[bytes]:
-    """Borders of the ranges: quantiles of the grams at the anchors of at most ``SAMPLE_TEXTS`` texts.
+def _borders(docs: DataFrame, found: DataFrame, parts: int) -> list[bytes]:
+    """Borders of the ranges: quantiles of the grams of at most ``SAMPLE_ANCHORS`` anchors (``row, place``) of texts of any length.
 
     No two suffixes with one gram fall in different ranges.
     """
-    ids = docs.where(F.length("text") <= 20_000).select(F.col("row").alias("_row")).orderBy(F.xxhash64("_row")).limit(SAMPLE_TEXTS)
-    some = docs.join(F.broadcast(ids), F.col("row") == F.col("_row")).select("text").limit(SAMPLE_TEXTS).collect()
-    grams: list[bytes] = []
-    for r in some:
-        raw = np.frombuffer(r.text.encode(), np.uint8)
-        x = anchors(raw, np.array([0, len(raw)]))[1]
-        data = raw.tobytes()
-        grams += [data[p:p + GRAM] for p in x.tolist()]
-    grams = sorted(set(grams))
+    some = found.select(F.col("row").alias("_row"), "place").orderBy(F.xxhash64("row", "place")).limit(SAMPLE_ANCHORS)
+    start = (F.shiftright("place", 16) + 1).cast("int")
+    grams = docs.join(F.broadcast(some), F.col("row") == F.col("_row")).select(F.substring(F.encode("text", "UTF-8"), start, F.lit(GRAM)).alias("gram"))
+    grams = sorted({bytes(r.gram) for r in grams.limit(2 * SAMPLE_ANCHORS).collect()})
     return sorted({grams[len(grams) * k // parts] for k in range(1, parts)}) if grams else []
 
 
+def hot_ranges(texts: DataFrame) -> DataFrame:
+    """``doc_id, row, start, end`` of the strings around the places of ``doc_id, row, text, places`` that occur earlier among them."""
+    def run(it):
+        for b in batches(it):
+            ids, rows, texts_, places = (b.column(i) for i in range(4))
+            out = [[], [], [], []]
+            for i, (row, text, ps) in enumerate(zip(rows.to_pylist(), texts_.to_pylist(), places.to_pylist())):
+                raw = text.encode()
+                starts = sorted({s for p in ps for s in range((p >> 16) - (p & 255), (p >> 16) - (p >> 8 & 255) + 1)})
+                for col, values in zip(out, ([i] * len(starts), [row] * len(starts), starts,
+                                             [hashlib.blake2b(raw[s:s + LENGTH], digest_size=16).digest() for s in starts])):
+                    col += values
+            halves = np.frombuffer(b"".join(out[3]), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
+                                              *[pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)]], ["doc_id", "row", "start", "h1", "h2"])
+
+    strings = written(arrow_map(texts, run, "doc_id long, row long, start long, h1 long, h2 long").distinct(), "hot-strings")
+    place = F.struct("doc_id", "row", "start")
+    first = strings.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    again = strings.join(first, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where(place != F.col("first")).select("doc_id", "row", "start")
+    # Starts side by side make one range.
+    by_row = Window.partitionBy("doc_id", "row").orderBy("start")
+    runs = again.withColumn("run", F.col("start") - F.row_number().over(by_row))
+    return runs.groupBy("doc_id", "row", "run").agg(F.min("start").alias("start"), (F.max("start") + LENGTH).alias("end")).drop("run")
+
+
 def suffix_runs(texts: DataFrame, borders: list[bytes]) -> DataFrame:
     """Sorted front-coded runs, ``part`` and one row a run and range, of ``doc_id, row, text, places``.
 
@@ -359,20 +389,28 @@ def _merge_part(key, table):
     return pa.table([pa.array(doc[s]), pa.array(row[s]), pa.array(x[s] - high), pa.array(x[s] - low + LENGTH)], schema=_OUT)
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def repeated_ranges(docs: DataFrame, hot_anchors: int = HOT_ANCHORS) -> DataFrame:
     """``doc_id, row, start, end`` (bytes) covered by strings that occur earlier; ranges may overlap. ``docs``: ``doc_id long, row, text``."""
     spark = docs.sparkSession
     found = written(repeated_anchors(docs), "anchors")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_PARTITION
-    texts = (docs.join(found.groupBy("row").agg(F.collect_list("place").alias("places")), "row")
-             .select("doc_id", "row", "text", "places"))
-    runs = suffix_runs(texts, _borders(docs, parts))
+
+    def texts(places: DataFrame) -> DataFrame:
+        return (docs.join(places.groupBy("row").agg(F.collect_list("place").alias("places")), "row")
+                .select("doc_id", "row", "text", "places"))
+
+    hot = found.groupBy("key").count().where(F.col("count") > hot_anchors).select("key")
+    hot = written(hot, "hot-grams")
+    some_hot = hot.limit(1).count() > 0
+    cold = written(found.join(hot, "key", "left_anti"), "anchors") if some_hot else found
+    runs = suffix_runs(texts(cold), _borders(docs, cold, parts))
     # Contexts that a run has seen are only unpacked: they go anywhere.
     key = F.when(F.col("part") < 0, -1 - F.pmod(F.xxhash64("x"), F.lit(parts))).otherwise(F.col("part")).cast("int")
-    return runs.withColumn("part", key).groupBy("part").applyInArrow(_merge_part, "doc_id long, row long, start long, end long")
+    out = runs.withColumn("part", key).groupBy("part").applyInArrow(_merge_part, "doc_id long, row long, start long, end long")
+    return out.unionByName(hot_ranges(texts(found.join(hot, "key", "left_semi")))) if some_hot else out
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_anchors: int = HOT_ANCHORS) -> DataFrame:
     """``doc_id, n_bytes long, n_removed long, n_spans long, kept binary`` of each row.
 
     Removed is each byte covered by a string of ``LENGTH`` bytes that also
@@ -384,7 +422,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     usable = rows.where("doc_id is not null and text is not null")
-    ranges = written(repeated_ranges(usable), "repeated-ranges")
+    ranges = written(repeated_ranges(usable, hot_anchors), "repeated-ranges")
     by_row = ranges.groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(
         F.collect_set(F.struct("start", "end")).alias("cut"))
     joined = rows.join(by_row, (F.col("row") == F.col("_row")) & (F.col("doc_id") == F.col("_doc")), "left").select(

@@ -101,3 +101,22 @@ def test_query(spark):
     got = sorted((tuple(r) for r in QUERIES["op10_suffix_dedup"](spark, sf).collect()), key=str)
     docs = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(sf + "/documents.parquet").collect()]
     assert got == plain(docs)
+
+
+def test_hot_grams_by_digest(spark):
+    docs = corpus(np.random.default_rng(4))
+    rows = list(enumerate(docs)) + [(3, docs[3]), (None, docs[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row", "2 as key", "3 as h1")
+    want = plain([(i, t.encode()) for i, t in rows])
+    for hot in (0, 3, 12):
+        assert result(X.deduplicate(frame, hot_anchors=hot)) == want
+
+
+def test_borders_from_long_texts(spark):
+    rng = np.random.default_rng(5)
+    passage = text(rng, 500)
+    docs = [(i, text(rng, 22_000) + passage + text(rng, 50)) for i in range(6)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("row", X.F.xxhash64("doc_id", "text"))
+    found = X.repeated_anchors(frame)
+    assert len(X._borders(frame, found, 5)) >= 3
+    assert result(X.deduplicate(frame.drop("row"))) == plain([(i, t.encode()) for i, t in docs])
