@@ -108,7 +108,21 @@ def op2(spark, sf_dir):
     return contaminated(documents(spark, sf_dir, "doc_id", "text"), documents(spark, sf_dir, "item_id", "text", name="benchmark"))
 
 
-@query("op6_ngram_join")
+@query("op6_ngram_join", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM d),
+-- Documents with one and the same set count once.
+k AS (SELECT list_sort(s) AS s, len(s) AS n, min(doc_id) AS k FROM s WHERE len(s) > 0 GROUP BY ALL),
+g AS (SELECT k, n, unnest(s) AS g FROM k),
+i AS (SELECT a.k AS a, b.k AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS n FROM g a JOIN g b ON a.g = b.g AND a.k < b.k
+      WHERE 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM i WHERE 100 * n >= 75 * (na + nb - n)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(k, c) AS (SELECT k, k FROM k UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.k WHERE r.c < e.b),
+c AS (SELECT k, min(c) AS c FROM r GROUP BY k)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id
+FROM s LEFT JOIN k ON k.s = list_sort(s.s) LEFT JOIN c ON c.k = k.k""")
 def op6(spark, sf_dir):
     """Components of documents whose five-word shingles are alike."""
     from newsevents.llm.ngram_join import near_duplicates
@@ -124,7 +138,20 @@ def op8(spark, sf_dir):
     return repeated_spans(documents(spark, sf_dir, "doc_id", "text"))
 
 
-@query("op10_suffix_dedup")
+@query("op10_suffix_dedup", r"""
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+t AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(0, strlen(h) // 2 - 99))) AS i FROM h)),
+f AS (SELECT s, min((doc_id, i)) AS f FROM t GROUP BY s HAVING count(*) > 1),
+p AS (SELECT t.doc_id, t.i FROM t JOIN f ON t.s = f.s WHERE (t.doc_id, t.i) > f.f),
+-- Starts less than 101 bytes apart make one removed run.
+q AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS new FROM p),
+n AS (SELECT doc_id, i, sum(new::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM q),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS z FROM n GROUP BY ALL),
+k AS (SELECT h.doc_id, any_value(h.h) AS h, coalesce(list({'a': r.a, 'z': r.z} ORDER BY r.a) FILTER (WHERE r.a IS NOT NULL), []) AS r FROM h LEFT JOIN r ON h.doc_id = r.doc_id GROUP BY h.doc_id)
+SELECT doc_id, strlen(h) // 2 AS n_bytes, CAST(coalesce(list_sum([x.z - x.a FOR x IN r]), 0) AS BIGINT) AS n_removed, len(r) AS n_spans,
+       sha256(unhex(array_to_string([substr(h, 2 * CAST(CASE WHEN j = 0 THEN 0 ELSE r[j].z END AS BIGINT) + 1,
+                                            2 * CAST(CASE WHEN j = len(r) THEN strlen(h) // 2 ELSE r[j + 1].a END - CASE WHEN j = 0 THEN 0 ELSE r[j].z END AS BIGINT)) FOR j IN range(0, len(r) + 1)], ''))) AS kept_sha256
+FROM k""")
 def op10(spark, sf_dir):
     """Every whole text without the 100-byte strings that occur earlier."""
     from newsevents.llm.suffix_dedup import deduplicate
@@ -167,7 +194,46 @@ def op12(spark, sf_dir):
     return search(documents(spark, sf_dir, "doc_id", "text"), documents(spark, sf_dir, "item_id", "text", name="benchmark"))
 
 
-@query("op13_merkle_manifest")
+def _merkle_sql(levels: int = 6, top: int = 5) -> str:
+    """The manifest and its proofs for sources of up to 16 ** ``levels`` rows and 16 ** ``top`` sources, level by level.
+
+    A level passes on what has one node already. crc32 is stated bit by bit.
+    """
+    def value(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    crc = (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+           f"lambda a, c: {bits}), 4294967295)")
+    parts = [f"d AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS held FROM documents)",
+             "r AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS p, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)",
+             "s0 AS (SELECT p, i, leaf AS h FROM r)"]
+    run = "OVER (PARTITION BY p, i // 16 ORDER BY i ROWS BETWEEN"
+
+    def tree(t: str, n: int) -> None:
+        for k in range(n):
+            parts.append(f"{t}n{k} AS (SELECT *, count(*) OVER (PARTITION BY p) AS n, "
+                         f"coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before, "
+                         f"coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {t}{k})")
+            parts.append(f"{t}{k + 1} AS (SELECT p, i // 16 AS i, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {t}n{k} GROUP BY p, i // 16)")
+
+    tree("s", levels)
+    parts.append(f"t0 AS (SELECT 0 AS p, p AS i, h FROM s{levels})")
+    tree("t", top)
+    parts.append("f0 AS (SELECT *, held AS f, '' AS proof FROM r)")
+    steps = [(f"sn{k}", f"n.p = f.p AND n.i = f.i // {16 ** k}") for k in range(levels)] + [(f"tn{k}", f"n.i = f.p // {16 ** k}") for k in range(top)]
+    for k, (nodes, on) in enumerate(steps):
+        parts.append(f"f{k + 1} AS (SELECT f.* REPLACE (CASE WHEN n = 1 THEN f ELSE sha256(before || f || after) END AS f, proof || before || after AS proof) FROM f{k} f JOIN {nodes} n ON {on})")
+    return ("WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t.h AS verified
+FROM f{len(steps)} f JOIN s{levels} s ON s.p = f.p, t{top} t""")
+
+
+@query("op13_merkle_manifest", _merkle_sql())
 def op13(spark, sf_dir):
     """Manifest of all documents; the proof of every row, checked against a copy that is tampered with in every fifth."""
     from newsevents.llm.merkle import build, folded, leaf_digest, proof_digest, prove
