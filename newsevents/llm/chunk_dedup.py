@@ -134,8 +134,9 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN, id_col: str = "doc
     """
     place = F.struct("doc_id", "version", "start")
     found = written(repeated_chunks(docs, id_col, text_col), "chunks")
-    first = (found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .where("first <> last").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "first"))
+    # Written, so that the join below has both sides by an exchange of its own, which Spark splits where a digest is hot.
+    first = written(found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                    .where("first <> last").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "first"), "first-chunks")
     again = (found.join(first, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")))
              .where(place != F.col("first"))
              .select("doc_id", "version", "start", "end", F.col("first.doc_id").alias("first_doc_id")))
