@@ -286,7 +286,9 @@ def hot_ranges(texts: DataFrame) -> DataFrame:
 
     strings = written(arrow_map(texts, run, "doc_id long, row long, start long, h1 long, h2 long").distinct(), "hot-strings")
     place = F.struct("doc_id", "row", "start")
-    first = strings.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    # Written, so that Spark can split the join below where a string is hot.
+    first = written(strings.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+                    .agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last"), "first-strings")
     again = strings.join(first, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where(place != F.col("first")).select("doc_id", "row", "start")
     # Starts side by side make one range.
     by_row = Window.partitionBy("doc_id", "row").orderBy("start")
