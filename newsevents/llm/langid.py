@@ -26,6 +26,7 @@ from newsevents.llm.words import Adam, Bags, WordCache, char_table, grams, has_w
 
 #: Bounds of the training sample: rows per language, rows in all, characters of one (a longer text gives stretches of that many in all).
 SAMPLE_ROWS, SAMPLE_TOTAL, SAMPLE_CHARS = 300, 6_000, 6_000
+SAMPLE_PARTS = 64
 #: Training sequences and their length, longest chain at prediction.
 SEQUENCES, LENGTH, CHAIN = 1_500, 48, 128
 BUCKETS, STEPS, RATE = 1 << 16, 40, 0.1
@@ -166,9 +167,12 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_total: int = SAM
     if not n_langs:
         return None
     each = max(1, min(sample_rows, sample_total // n_langs))
-    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id", "version")
-    sizes = usable.select("doc_id", "lang", (F.length("text") > sample_chars).alias("long"), F.xxhash64("text").alias("version"))
-    some = sizes.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    some = usable.select("doc_id", "lang", (F.length("text") > sample_chars).alias("long"), F.xxhash64("text").alias("version"))
+    some = some.withColumn("_part", F.pmod(F.xxhash64("doc_id", "version"), F.lit(SAMPLE_PARTS)))
+    # A language may be a third of all rows: its first rows are taken by parts, then of those.
+    for keys in (["lang", "_part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("long", F.xxhash64("doc_id"), "doc_id", "version")
+        some = some.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
     # At most sample_total rows (or one a language).
     some = some.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "version").distinct()
     rows = (usable.join(F.broadcast(some), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")) & (F.xxhash64("text") == F.col("version")))
