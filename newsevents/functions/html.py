@@ -74,6 +74,12 @@ def tidy_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(decode_entities(F.regexp_replace(c, TAG, " ")), SPACE, " "))
 
 
+def tidy_texts(fragments: Column) -> Column:
+    """``tidy_text`` of each item of an array, a pass for each step: within one lambda every use of a step's text would make it anew."""
+    bare = F.transform(fragments, lambda x: F.regexp_replace(x, TAG, " "))
+    return F.transform(F.transform(bare, decode_entities), lambda x: F.trim(F.regexp_replace(x, SPACE, " ")))
+
+
 def strip_noise(html: Column) -> Column:
     return F.regexp_replace(html, NOISE, " ")
 

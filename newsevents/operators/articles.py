@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsevents.functions.body import scored_paragraphs
-from newsevents.functions.html import ARTICLE_OPEN, BODY, TITLE, articles, paragraph_chunks, strip_noise, tidy_text
+from newsevents.functions.html import ARTICLE_OPEN, BODY, TITLE, articles, paragraph_chunks, strip_noise, tidy_text, tidy_texts
 from newsevents.operators.dataflow import spread
 from newsevents.session import ship_package
 
@@ -33,14 +33,14 @@ def article_paragraphs(html: Column) -> Column:
     The ``<article>`` elements' non-blank paragraphs. A page without such an element gives null:
     its paragraphs are found by scores.
     """
-    paras = F.filter(F.transform(paragraph_chunks(articles(html)), tidy_text), lambda p: p != F.lit(""))
+    paras = F.filter(tidy_texts(paragraph_chunks(articles(html))), lambda p: p != F.lit(""))
     return F.when(html.rlike(ARTICLE_OPEN), paras)
 
 
 def body_paragraphs(html: Column) -> Column:
     """Array of paragraph texts of the best-scored block of the ``<body>`` (see ``functions/body.py``)."""
     raw = _scored(F.coalesce(F.nullif(F.regexp_extract(html, BODY, 1), F.lit("")), html))
-    return F.filter(F.transform(raw, tidy_text), lambda p: p != F.lit(""))
+    return F.filter(tidy_texts(raw), lambda p: p != F.lit(""))
 
 
 def extract_articles(pages: DataFrame, html: str = "html", parallel: int | None = None) -> DataFrame:
