@@ -28,9 +28,9 @@ STOPS = frozenset((
 
 NEIGHBOUR, PROSE_STOPS, TEXT_WORDS, LINK_SHARE, CHARS_PER_POINT = 3, 3, 10, 0.5, 100
 
-_TAG = re.compile(r"<(/?)(" + "|".join(sorted(BLOCKS, key=len, reverse=True)) + r"|a)(?=[\s>/])[^>]*>", re.I)
+_TAG = re.compile(r"<(/?)(" + "|".join(sorted(BLOCKS, key=len, reverse=True)) + r"|a)(?=[\s>/])[^<>]*>", re.I)
 _SENTENCE = re.compile(r"[.!?…]")
-_ANY, _WORD = re.compile(r"<[^>]*>"), re.compile(r"[^\W\d_]+")
+_ANY, _WORD = re.compile(r"<[^<>]*>"), re.compile(r"[^\W\d_]+")
 
 
 def _text(raw: str) -> str:

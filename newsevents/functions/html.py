@@ -13,17 +13,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ---------------------------------------------------------------
+# A tag has no < within: a run of opening signs without a closing one is read once, not once from each of them.
 # Elements whose text is never article text; one that is not closed runs to the end.
-NOISE = r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
-TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-ARTICLE_TAG = r"(?i)</?article(?:\s[^>]*)?>"
-ARTICLE_OPEN = r"(?i)<article(?:\s[^>]*)?>"
-BODY = r"(?is)<body[^>]*>(.*?)(?:</body>|\z)"
+NOISE = (r"(?is)<script\b[^<>]*+>.*?(?:</script\s*>|\z)|<style\b[^<>]*+>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)")
+TITLE = r"(?is)<title[^<>]*+>((?:[^<]++|<(?!/?title\b))*+)</title>"
+ARTICLE_TAG = r"(?i)</?article(?:\s[^<>]*+)?>"
+ARTICLE_OPEN = r"(?i)<article(?:\s[^<>]*+)?>"
+BODY = r"(?is)<body[^<>]*+>(.*?)(?:</body>|\z)"
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-PARAGRAPH_OPEN = r"(?i)<p(?:\s[^>]*)?>"
+PARAGRAPH_OPEN = r"(?i)<p(?:\s[^<>]*+)?>"
 PARAGRAPH_END = r"(?is)</p>.*$"
-TAG = r"<[^>]*>"
-LINK_TEXT = r"(?is)<a[^>]*>(.*?)</a>"
+TAG = r"<[^<>]*+>"
 SPACE = r"\s+"
 
 

@@ -74,3 +74,11 @@ def test_refetched_url_counts_once(spark):
                                           (3, "a", "<article><p>mid</p></article>"), (9, "a", None)]))
     events = spark.createDataFrame([(10, "a"), (10, "a")], "cameo long, source_url string")
     assert [(r.cameo, r.content) for r in attach_content(events, arts).collect()] == [(10, "new")] * 2
+
+
+def test_a_megabyte_of_open_tags(spark):  # linear in the page, whatever is left open
+    units = ["<", "<p ", "<p", "<article ", "<script ", "<title>", "<title", "<body ", "<!-- ", "&", "&a", "<p>", "</p>", "<a href=", "<article>", "<div><p>", "<style>x"]
+    rows = [(i, "u", u * (1_000_000 // len(u))) for i, u in enumerate(units)]
+    rows.append((99, "u", "<title>a <b>x</b> &lt;</title><article><p>1 < 2 and <i>3</i></p></article>"))
+    got = {r.page_id: r for r in extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).select("page_id", "title", "paragraphs").collect()}
+    assert len(got) == len(rows) and got[99].title == "a x <" and got[99].paragraphs == ["1 < 2 and 3"]
