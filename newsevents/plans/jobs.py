@@ -9,6 +9,7 @@ One job per capability of the original batch jobs, plus the chained trend:
   top-entities   <graph> <out> [--top N]                  themes/persons/orgs
   extract-content <events> <pages.parquet> <out> [--parallel N]
   cluster        <dir> [--day D] [--k K] [--features N]   TF-IDF + k-means on one day's articles
+  follow-topics  <dir> [--k K] [--features N] [--threshold T]  a model for each day, its clusters followed over the days
   stream-pair-average <feed dir> <out> [--c1 --c2] [--once]  running daily averages
                                                           as new daily files arrive
 
@@ -31,11 +32,12 @@ from newsevents.operators.articles import attach_content, extract_articles  # no
 from newsevents.operators.checks import SameCount  # noqa: E402
 from newsevents.operators.entities import entity_counts, entity_top_n  # noqa: E402
 from newsevents.operators.pairs import pair_daily_avg  # noqa: E402
+from newsevents.operators.lineage import THRESHOLD, lineages, transitions  # noqa: E402
 from newsevents.operators.sparse_kmeans import fit  # noqa: E402
 from newsevents.operators.tfidf import DEFAULT_FEATURES, analyze, tfidf_arrays  # noqa: E402
 from newsevents.operators.trend import assert_series, moving_average, pair_trend  # noqa: E402
 from newsevents.operators.trend_store import TrendStore  # noqa: E402
-from newsevents.session import delete_scratch, get_spark  # noqa: E402
+from newsevents.session import cut_lineage, delete_scratch, get_spark  # noqa: E402
 from newsevents.sinks.writers import (write_articles, write_event_json, write_points,  # noqa: E402
                                       write_ranked, write_series, write_tsv)
 from newsevents.sources.feeds import json_records, read_articles, read_events, read_series  # noqa: E402
@@ -97,6 +99,19 @@ def job_cluster(spark, a):
     cost.select("cost", "n", "k").write.mode("overwrite").json(os.path.join(a.dir, "cost"))
 
 
+def job_follow_topics(spark, a):
+    # Every article on the days of its events, which extract-content wrote beside them.
+    events = json_records(spark.read.parquet(os.path.join(a.dir, "json")), "json", "day date")
+    days = events.select("cameo", F.col("json.day").alias("day")).where(F.col("day").isNotNull()).distinct()
+    docs = read_articles(spark, os.path.join(a.dir, "content")).join(days, "cameo").select("cameo", "day", F.coalesce("content", F.lit("")).alias("text"))
+    model = fit(tfidf_arrays(analyze(docs).select("cameo", "day", "terms"), ["day"], num_features=a.features), ["day"], k=a.k)
+    write_tsv(model.assigned.select("day", "cluster", "cameo"), os.path.join(a.dir, "topics"))
+    centers = cut_lineage(model.centers, "centers")
+    moves = cut_lineage(transitions(centers, a.threshold), "moves")
+    write_tsv(moves.orderBy("day", "kind", "cluster_from", "cluster_to"), os.path.join(a.dir, "topic-moves"))
+    write_tsv(lineages(centers, moves).orderBy("day", "cluster"), os.path.join(a.dir, "topic-lineages"))
+
+
 def job_stream_pair_average(spark, a):
     from newsevents.streaming.feeds import pair_daily_avg_stream, start, stream_events
     q = start(pair_daily_avg_stream(stream_events(spark, a.feed, max_files_per_trigger=1), a.c1, a.c2),
@@ -124,6 +139,9 @@ def main(argv=None):
     s = sub.add_parser("cluster"); s.add_argument("dir"); s.add_argument("--k", type=int, default=None)
     s.add_argument("--features", type=int, default=DEFAULT_FEATURES)
     s.add_argument("--day", default=None, help="train on and cluster this day's articles only (yyyy-mm-dd)")
+    s = sub.add_parser("follow-topics"); s.add_argument("dir"); s.add_argument("--k", type=int, default=None)
+    s.add_argument("--features", type=int, default=DEFAULT_FEATURES)
+    s.add_argument("--threshold", type=float, default=THRESHOLD, help="cosine from which two days' clusters are linked")
     s = sub.add_parser("stream-pair-average"); s.add_argument("feed"); s.add_argument("out")
     s.add_argument("--c1", default="FR"); s.add_argument("--c2", default="UK")
     s.add_argument("--once", action="store_true", help="process the files present, then stop")
@@ -140,7 +158,7 @@ def main(argv=None):
 def _run(spark, a):
     {"pair-average": job_pair_average, "moving-average": job_moving_average,
      "pair-trend": job_pair_trend, "trend-update": job_trend_update, "top-entities": job_top_entities,
-     "extract-content": job_extract_content, "cluster": job_cluster,
+     "extract-content": job_extract_content, "cluster": job_cluster, "follow-topics": job_follow_topics,
      "stream-pair-average": job_stream_pair_average}[a.job](spark, a)
 
 

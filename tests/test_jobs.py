@@ -77,3 +77,31 @@ def test_cli_stream_pair_average_once(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "stream-out")
     jobs.main(["stream-pair-average", feed, out, "--once"])
     assert spark.read.parquet(out).select("day").distinct().count() == 2
+
+
+def test_cli_follow_topics(spark, tmpdir_path):  # C2, C3
+    feed, out = os.path.join(tmpdir_path, "events"), os.path.join(tmpdir_path, "x")
+    os.makedirs(feed)
+    # Three days; fruit and engines each day, rivers on the last two.
+    topics = {"fruit": "apples pears plums", "engine": "engines wheels brakes", "river": "rivers lakes boats"}
+    seen = [(d, t, i) for d in (1, 2, 3) for t in topics if not (d == 1 and t == "river") for i in range(6)]
+    with open(os.path.join(feed, "day.export.CSV"), "w") as f:
+        f.write("\n".join(event_line(c0=str(n), c1=f"2014090{d}", c57=f"http://p/{t}{i}") for n, (d, t, i) in enumerate(seen)) + "\n")
+    pages = [(n, f"http://p/{t}{i}", f"<article><p>{words} {words} extra{chr(97 + i)}</p></article>") for n, (t, i, words) in
+             enumerate((t, i, w) for t, w in topics.items() for i in range(6))]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(out + "-pages")
+    jobs.main(["extract-content", feed, out + "-pages", out])
+    jobs.main(["follow-topics", out, "--k", "3", "--features", "4096"])
+    topic = {str(n): (d, t) for n, (d, t, i) in enumerate(seen)}
+    rows = spark.read.option("sep", "\t").schema("day string, cluster int, cameo string").csv(out + "/topics").collect()
+    of = {}
+    for r in rows:
+        of.setdefault((int(r.day[-2:]), r.cluster), set()).add(topic[r.cameo])
+    assert len(rows) == len(seen) and all(len({t for _, t in x}) == 1 for x in of.values())
+    name = {k: next(iter(x))[1] for k, x in of.items()}
+    moves = spark.read.option("sep", "\t").schema("day string, next string, kind string, a int, b int, sim double").csv(out + "/topic-moves").collect()
+    went_on = {(int(r.day[-2:]), name[int(r.day[-2:]), r.a], name[int(r.next[-2:]), r.b]) for r in moves if r.kind == "continued"}
+    assert went_on >= {(2, "fruit", "fruit"), (2, "engine", "engine"), (2, "river", "river")} and all(a == b for _, a, b in went_on)
+    assert [name[2, r.b] for r in moves if r.kind == "born" and r.day.endswith("01")] == ["river"]
+    ages = spark.read.option("sep", "\t").schema("day string, cluster int, first string, c int, age int").csv(out + "/topic-lineages").collect()
+    assert max(r.age for r in ages if r.day.endswith("03") and name[3, r.cluster] == "fruit") == 2
