@@ -26,7 +26,7 @@ from newsevents.session import shared_dir
 from newsevents.sinks.writers import (write_articles, write_event_json, write_points, write_ranked,
                                       write_series, write_tsv)
 from newsevents.sources.feeds import json_records, read_articles, read_events, read_graph, read_series
-from newsevents.sources.fixtures import event_lines, graph_lines
+from newsevents.sources.fixtures import event_lines, graph_lines, write_lines
 from newsevents.sources.tables import table
 
 
@@ -101,7 +101,7 @@ def q_json_inferred(spark, sf_dir):
 def q_event_file_scan(spark, sf_dir):
     """Event feed written as TSV text, scanned by the CSV source (filter pushed down)."""
     path = shared_dir(spark, "event-feed")
-    event_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    write_lines(event_lines(spark, sf_dir), path)
     d = pair_daily_avg(read_events(spark, path), *PAIR)
     return d.select("day", r6("avg_goldstein").alias("avg_goldstein"))
 
@@ -110,7 +110,7 @@ def q_event_file_scan(spark, sf_dir):
 def q_graph_file_scan(spark, sf_dir):
     """Graph feed (with header line) written as text, scanned, counted."""
     path = shared_dir(spark, "graph-feed")
-    graph_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    write_lines(graph_lines(spark, sf_dir), path)
     return entity_counts(read_graph(spark, path, with_row_id=False))
 
 

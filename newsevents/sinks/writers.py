@@ -53,7 +53,7 @@ def write_event_json(events: DataFrame, path: str, mode: str = "overwrite") -> N
     """Every event as ``(cameo, json)`` (K5); empty structs and null leaves left out."""
     tidy = null_empty_structs(events)
     (tidy.select("cameo", F.to_json(F.struct(*[F.col(c) for c in tidy.columns])).alias("json"))
-     .write.mode(mode).parquet(path))
+     .write.mode(mode).option("compression", "zstd").parquet(path))      # names repeat in every row
 
 
 def write_points(points: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -54,14 +54,16 @@ def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = F.broadcast(nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name")))
     pages, n_pages = _page_urls(spark, sf_dir)
 
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-         .join(cust, F.col("o_custkey") == cust.c_custkey)
-         .join(supp, F.col("l_suppkey") == supp.s_suppkey)
-         .join(cn, F.col("c_nationkey") == cn.cn_key)
-         .join(sn, F.col("s_nationkey") == sn.sn_key)
-         .join(part, F.col("l_partkey") == part.p_partkey)
-         .withColumn("_page", F.pmod(F.col("l_orderkey"), n_pages))
-         .join(pages, F.col("_page") == pages.page_id, "left"))
+    # What hangs on an order is joined to the orders, what hangs on a line to the lines while they are narrow:
+    # no line is shuffled with a customer's or a page's text but in the last join.
+    by_order = (orders.join(cust, F.col("o_custkey") == cust.c_custkey)
+                .join(cn, F.col("c_nationkey") == cn.cn_key)
+                .withColumn("_page", F.pmod(F.col("o_orderkey"), n_pages))
+                .join(pages, F.col("_page") == pages.page_id, "left"))
+    by_line = (li.join(part, F.col("l_partkey") == part.p_partkey)
+               .join(supp, F.col("l_suppkey") == supp.s_suppkey)
+               .join(sn, F.col("s_nationkey") == sn.sn_key))
+    j = by_line.join(by_order, F.col("l_orderkey") == F.col("o_orderkey"))
 
     ln = F.col("l_linenumber")
     day = F.date_format("o_orderdate", "yyyyMMdd")
@@ -118,10 +120,11 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     nation = F.broadcast(table(spark, sf_dir, "nation", "n_nationkey", "n_name"))
     pages, n_pages = _page_urls(spark, sf_dir)
 
-    # Per order: bounded by the order's line count.
-    per_order = (li.join(supp, li.l_suppkey == supp.s_suppkey)
-                 .join(part, li.l_partkey == part.p_partkey)
+    # Per order: bounded by the order's line count. The lines move to their order as rows; collected first, they would move as arrays.
+    per_order = (li.join(part, li.l_partkey == part.p_partkey)
+                 .join(supp, li.l_suppkey == supp.s_suppkey)
                  .join(nation, F.col("s_nationkey") == nation.n_nationkey)
+                 .select("l_orderkey", "l_linenumber", "p_type", "s_name", "s_nationkey", "n_name").repartition("l_orderkey")
                  .groupBy("l_orderkey")
                  .agg(F.count(F.lit(1)).alias("n_lines"),
                       F.array_sort(F.collect_set("p_type")).alias("themes"),
@@ -130,13 +133,13 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
                       F.array_sort(F.collect_list(F.col("l_orderkey") * 8 + F.col("l_linenumber"))).alias("ids")))
     u1 = pages.select(F.col("page_id").alias("u1_id"), F.col("url").alias("url1"))
     u2 = pages.select(F.col("page_id").alias("u2_id"), F.col("url").alias("url2"))
-    j = (orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-         .join(cust, F.col("o_custkey") == cust.c_custkey)
+    j = (orders.join(cust, F.col("o_custkey") == cust.c_custkey)
          .join(nation, F.col("c_nationkey") == nation.n_nationkey)
          .withColumn("_p1", F.pmod(F.col("o_orderkey"), n_pages))
          .withColumn("_p2", F.pmod(F.col("o_orderkey") + 1, n_pages))
          .join(u1, F.col("_p1") == u1.u1_id, "left")
-         .join(u2, F.col("_p2") == u2.u2_id, "left"))
+         .join(u2, F.col("_p2") == u2.u2_id, "left")
+         .join(per_order, F.col("o_orderkey") == per_order.l_orderkey, "left"))     # last: the arrays are not moved again
     n_lines = F.coalesce(F.col("n_lines"), F.lit(0))
     themes = F.coalesce(F.col("themes"), F.array().cast("array<string>"))
     locs = F.concat(F.array(_location(F.col("c_nationkey"), F.col("n_name"))),
@@ -162,6 +165,15 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     return lines
 
 
+#: Lines of a feed file: a gzipped file is read by one task.
+FILE_LINES = 100_000
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Feed lines as gzipped text files of at most ``FILE_LINES``, as daily files come."""
+    lines.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(path)
+
+
 # Bump when the line layout changes: published feeds are keyed by it.
 FEED_VERSION = "1"
 _FEED_TABLES = {"events": ["lineitem", "orders", "customer", "supplier", "part", "nation", "pages"],
@@ -185,4 +197,4 @@ def feed_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """
     build = {"events": event_lines, "graph": graph_lines}[kind]
     path = f"{shared_root(spark).rstrip('/')}/feeds/{kind}-{_stamp(spark, sf_dir, _FEED_TABLES[kind])}"
-    return publish_once(spark, path, lambda tmp: build(spark, sf_dir).write.text(tmp))
+    return publish_once(spark, path, lambda tmp: write_lines(build(spark, sf_dir), tmp))
