@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from newsevents import schema as S
 from newsevents.functions.parsing import (convert, non_blank_items, split_all, to_date,
                                            to_double, to_int, to_long)
-from newsevents.session import cut_lineage
 
 Tok = Callable[[int], Column]
 
@@ -171,28 +170,32 @@ def with_row_key(df: DataFrame, source: Column | str, value: str = "value",
     return df.withColumn(name, F.md5(F.concat_ws("-", src, F.col(value))))
 
 
+#: Copies of one line that one task numbers; more are dealt to tasks in runs of this length.
+RUN = 10_000
+
+
 def with_unique_row_key(df: DataFrame, source: Column | str, value: str = "value", name: str = "row_id") -> DataFrame:
     """A key for each row: ``with_row_key`` for the first of a source's identical lines, a key with its number for each further one.
 
     Which of several identical lines is the first does not matter, so the keys of a file are the same
-    however it is split. Only lines that repeat are numbered, a task at a time: a line's place
-    is its place among its like in its task plus their number in the tasks before, so a line that makes up a third of a
-    feed is not gathered. Reads the input three times: for the hashes that repeat, and for the lines with and without one.
+    however it is split. Equal rows are counted by a partial aggregate and made again from their number: each distinct row is
+    shuffled once a task, whatever its copies, and a line that makes up a third of a feed is dealt to tasks in runs of ``RUN``.
+    If ``df`` has columns beside ``value``, the distinct rows of one line are numbered one after the other.
     """
     src = F.lit(source) if isinstance(source, str) else source
-    tagged = df.withColumn("_src", src).withColumn("_x", F.xxhash64("_src", value))
-    repeated = tagged.groupBy("_x").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_x")
-    columns = [F.col(c) for c in df.columns]
+    others = [c for c in df.columns if c != value]
+    counted = df.withColumn("_src", src).groupBy("_src", *df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_first", F.lit(0).cast("long"))
+    if others:
+        before = Window.partitionBy("_src", value).orderBy(*others).rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+    def placed(rows: DataFrame, start: Column, copies: Column) -> DataFrame:
+        place = F.explode(F.sequence(start, start + copies - 1)).alias("_place")
+        return rows.select("_src", *df.columns, place)
+
+    few = placed(counted.where(F.col("_n") <= RUN), F.col("_first"), F.col("_n"))
+    runs = counted.where(F.col("_n") > RUN).withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(RUN)))).repartition(value, "_from")
+    many = placed(runs, F.col("_first") + F.col("_from"), F.least(F.lit(RUN), F.col("_n") - F.col("_from")))
     content = F.md5(F.concat_ws("-", F.col("_src"), F.col(value)))
-    once = tagged.join(repeated, "_x", "left_anti").select(*columns, content.alias(name))
-
-    # Task and place are those of the scan; written, for they are used twice.
-    more = cut_lineage(tagged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-                       .join(repeated, "_x", "left_semi").select(*columns, content.alias("_key"), "_part", "_at"), "repeated")
-    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)     # a row a task
-    offsets = (more.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
-               .select("_key", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
-    place = F.row_number().over(Window.partitionBy("_key", "_part").orderBy("_at")) - 1                  # the like of one task
-    numbered = more.withColumn("_place", place).join(offsets, ["_key", "_part"]).withColumn("_place", F.col("_place") + F.col("_offset"))
-    key = F.when(F.col("_place") == 0, F.col("_key")).otherwise(F.md5(F.concat_ws("-", "_key", F.col("_place").cast("string"))))
-    return once.unionByName(numbered.select(*columns, key.alias(name)))
+    key = F.when(F.col("_place") == 0, content).otherwise(F.md5(F.concat_ws("-", content, F.col("_place").cast("string"))))
+    return few.unionByName(many).select(*df.columns, key.alias(name))

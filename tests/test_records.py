@@ -176,3 +176,23 @@ def test_null_text_of_articles_is_written_empty(spark, tmp_path):  # X10
     from newsevents.sinks.writers import write_articles
     write_articles(spark.createDataFrame([(1, None, None), (2, "t", "c")], "cameo long, title string, content string"), str(tmp_path / "x"))
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "x")).collect()) == [(1, "", ""), (2, "t", "c")]
+
+
+def test_copies_of_a_line_are_counted_not_moved(spark, monkeypatch):  # S8
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from newsevents.operators import records
+    monkeypatch.setattr(records, "RUN", 7)
+    lines = spark.createDataFrame([("hot",)] * 40 + [("two",)] * 2 + [(None,)] * 2 + [("one",)], "value string").repartition(3)
+    keyed = records.with_unique_row_key(lines, "s")
+    def key(text, i):
+        first = hashlib.md5(text.encode()).hexdigest()
+        return hashlib.md5(f"{first}-{i}".encode()).hexdigest() if i else first
+    want = [("hot", key("s-hot", i)) for i in range(40)] + [("two", key("s-two", i)) for i in range(2)] + [(None, key("s", i)) for i in range(2)] + [("one", key("s-one", 0))]
+    assert sorted(((r.value, r.row_id) for r in keyed.collect()), key=str) == sorted(want, key=str)
+    assert "Join" not in keyed._jdf.queryExecution().optimizedPlan().toString()      # a line's text meets no table of repeats
+    more = lines.withColumn("x", F.when(F.col("value") == "hot", F.spark_partition_id()))
+    got = records.with_unique_row_key(more, "s")
+    assert got.columns == ["value", "x", "row_id"] and sorted(((r.value, r.row_id) for r in got.collect()), key=str) == sorted(want, key=str)
