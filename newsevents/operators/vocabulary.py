@@ -48,26 +48,48 @@ def encode(analyzed: DataFrame, vocabulary: DataFrame, terms: str = "terms", out
     def run(it):
         known = shared.value
         for b in it:
-            lists = b.column(b.num_columns - 1)
-            if isinstance(lists, pa.ChunkedArray):
-                lists = lists.combine_chunks()
-            flat = lists.flatten().to_pylist()
-            ids = np.fromiter((known.get(t, -1) for t in flat), np.int64, len(flat))
-            off = lists.offsets.to_numpy()
-            off = off - off[0]
-            rare = [None if ok and not len(x) else x for ok, x in (
-                (v, sorted({t for t, i in zip(flat[a:z], ids[a:z].tolist()) if i < 0 and t is not None})) for v, a, z in zip(lists.is_valid().to_pylist(), off, off[1:]))]
-            mask = pa.array(~lists.is_valid().to_numpy(zero_copy_only=False))
-            coded = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids), mask=mask)
-            yield pa.RecordBatch.from_arrays([*b.columns, coded, pa.array(rare, pa.list_(pa.string()))], [*b.schema.names, "_ids", "_rare"])
+            lists, flat, off, mask = _lists(b)
+            words = flat.dictionary_encode()
+            # Of a batch only the distinct words become Python strings.
+            names_ids = np.array([known.get(t, -1) for t in words.dictionary.to_pylist()] + [-1], np.int64)
+            word = words.indices.fill_null(len(names_ids) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = names_ids[word]
+            ids, rare, ends = _numbered(ids, (ids < 0) & (word < len(names_ids) - 1), word, off)
+            coded = pa.ListArray.from_arrays(off, pa.array(ids), mask=mask)
+            yield pa.RecordBatch.from_arrays([*b.columns, coded, pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(rare)))], [*b.schema.names, "_ids", "_rare"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
     # Written: a row's number must not change between its two uses.
     coded = cut_lineage(plain.mapInArrow(run, f"{fields}, _ids array<long>, _rare array<string>").withColumn("_r", F.monotonically_increasing_id()), "coded")
-    tail = (coded.select("_r", F.explode("_rare").alias("term")).join(vocabulary.where(F.col("id") >= hot).select("term", "id"), "term")
-            .groupBy("_r").agg(F.map_from_entries(F.collect_list(F.struct("term", "id"))).alias("_tail")))
-    filled = F.zip_with("_terms", "_ids", lambda t, i: F.when(i >= 0, i).otherwise(F.try_element_at("_tail", t)))
-    return coded.join(tail, "_r", "left").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], filled.alias(out))
+    found = _found(coded, vocabulary.where(F.col("id") >= hot).select(F.col("term").alias("_key"), F.col("id").alias("_v")))
+    filled = F.transform("_ids", lambda i: F.when(i >= 0, i).otherwise(F.get(F.col("_tail"), (-2 - i).cast("int"))))
+    return found.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], filled.alias(out))
+
+
+def _lists(b: pa.RecordBatch) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """The last column's lists, their values, offsets from 0 and which lists are null."""
+    lists = b.column(b.num_columns - 1)
+    size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+    off = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+    return lists, lists.flatten(), off, pa.array(~lists.is_valid().to_numpy(zero_copy_only=False))
+
+
+def _numbered(ids: np.ndarray, rare: np.ndarray, word: np.ndarray, off: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """``ids`` with ``-2 - place`` for a rare word (its place among the distinct rare words of its document), those words, and their offsets."""
+    ends = off.to_numpy()
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[rare]
+    key, inverse = np.unique(row << 32 | word[rare], return_inverse=True)      # words are numbered within the batch
+    first = np.searchsorted(key, np.arange(len(ends)) << 32)
+    ids = ids.copy()
+    ids[rare] = -2 - (inverse - first[row])
+    return ids, key & 0xFFFFFFFF, pa.array(first.astype(np.int32))
+
+
+def _found(coded: DataFrame, words: DataFrame) -> DataFrame:
+    """``coded`` with ``_tail``, the values of its ``_rare`` words in their order: read by place, whatever a document's length."""
+    tail = (coded.select("_r", F.posexplode("_rare").alias("_at", "_key")).join(words, "_key", "left")
+            .groupBy("_r").agg(F.array_sort(F.collect_list(F.struct("_at", "_v"))).alias("_tail")))
+    return coded.join(tail.select("_r", F.col("_tail._v").alias("_tail")), "_r", "left")
 
 
 def decode(encoded: DataFrame, vocabulary: DataFrame, ids: str = "ids", out: str = "terms", value: str = "term", hot: int = HOT_TERMS) -> DataFrame:
@@ -82,20 +104,18 @@ def decode(encoded: DataFrame, vocabulary: DataFrame, ids: str = "ids", out: str
     def run(it):
         words = pa.array(shared.value, pa.string())
         for b in it:
-            lists = b.column(b.num_columns - 1)
-            if isinstance(lists, pa.ChunkedArray):
-                lists = lists.combine_chunks()
-            flat = lists.flatten()
+            lists, flat, off, mask = _lists(b)
+            ids = flat.fill_null(-1).to_numpy(zero_copy_only=False)
             known = pa.compute.if_else(pa.compute.less(flat, len(words)), flat, None)
-            off = lists.offsets.to_numpy()
-            mask = pa.array(~lists.is_valid().to_numpy(zero_copy_only=False))
-            text = pa.ListArray.from_arrays(pa.array((off - off[0]).astype(np.int32)), words.take(known), mask=mask)
-            yield pa.RecordBatch.from_arrays([*b.columns, text], [*b.schema.names, "_text"])
+            distinct, word = np.unique(ids, return_inverse=True)
+            at, rare, ends = _numbered(ids, ids >= hot, word, off)
+            text = pa.ListArray.from_arrays(off, words.take(known), mask=mask)
+            place = pa.ListArray.from_arrays(off, pa.array(at), mask=mask)
+            yield pa.RecordBatch.from_arrays([*b.columns, text, place, pa.ListArray.from_arrays(ends, pa.array(distinct[rare], pa.int64()))],
+                                             [*b.schema.names, "_text", "_at_rare", "_rare"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
-    coded = cut_lineage(plain.mapInArrow(run, f"{fields}, _text array<string>").withColumn("_r", F.monotonically_increasing_id()), "decoded")
-    rare = F.array_distinct(F.filter("_ids", lambda i: i >= hot))
-    tail = (coded.select("_r", F.explode(rare).alias("id")).join(vocabulary.where(F.col("id") >= hot).select("id", F.col(value).alias("_v")), "id")
-            .groupBy("_r").agg(F.map_from_entries(F.collect_list(F.struct("id", "_v"))).alias("_tail")))
-    filled = F.zip_with("_ids", "_text", lambda i, t: F.coalesce(t, F.try_element_at("_tail", i)))
-    return coded.join(tail, "_r", "left").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], filled.alias(out))
+    coded = cut_lineage(plain.mapInArrow(run, f"{fields}, _text array<string>, _at_rare array<long>, _rare array<long>").withColumn("_r", F.monotonically_increasing_id()), "decoded")
+    found = _found(coded, vocabulary.where(F.col("id") >= hot).select(F.col("id").alias("_key"), F.col(value).alias("_v")))
+    filled = F.zip_with("_at_rare", "_text", lambda i, t: F.when(i <= -2, F.get(F.col("_tail"), (-2 - i).cast("int"))).otherwise(t))
+    return found.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], filled.alias(out))

@@ -38,3 +38,23 @@ def test_unknown_words_and_empty_tables(spark):
     assert encode(docs, vocabulary).first().ids == [None, 0] and decode(encode(docs, vocabulary), vocabulary).first().terms == [None, "old"]
     none = docs.limit(0)
     assert build_vocabulary(none).count() == 0 and encode(none, vocabulary).count() == 0 and encode(docs, build_vocabulary(none)).first().ids == [None, None]
+
+
+def test_rare_words_are_read_by_place(spark):
+    rows = [(1, [f"w{i}" for i in range(3000)] + ["w7", None, "the"], "a", "b", 1), (2, ["w7", "no such word"], "a", "b", 1), (3, [], "a", "b", 1), (4, None, "a", "b", 1)]
+    docs = some_docs(spark, rows)
+    vocabulary = build_vocabulary(docs.where("doc_id <> 2"))
+    ids = encode(docs, vocabulary, hot=2)
+    back = decode(ids, vocabulary, hot=2)
+    for df in (ids, back):      # a map is searched from its start for each word
+        assert "map_from_entries" not in df._jdf.queryExecution().analyzed().toString()
+    got = {r.doc_id: r.terms for r in back.collect()}
+    assert got == {1: rows[0][1], 2: ["w7", None], 3: [], 4: None}
+
+
+def test_a_batch_of_lists_is_stemmed(spark):
+    from newsevents.functions.stem import stem_terms
+    rows = [(1, ["ponies", "ponies", "running"]), (2, None), (3, []), (4, ["ponies", None])]
+    df = spark.createDataFrame(rows, "id int, t array<string>").coalesce(1)
+    got = {r.id: r.s for r in df.select("id", stem_terms(df.t).alias("s")).collect()}
+    assert got == {1: ["poni", "poni", "run"], 2: None, 3: [], 4: ["poni", None]}
