@@ -14,7 +14,6 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsevents.operators.dataflow import spread
 from newsevents.session import list_files, publish_once, shared_root
 from newsevents.schema import EVENT_WIDTH
 from newsevents.sources.tables import table
@@ -42,9 +41,9 @@ def _page_urls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
 
 def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with the 58 feed fields as strings ``f0..f57``."""
-    tasks = spark.sparkContext.defaultParallelism   # the tables are single files of one row group
-    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                      "l_quantity", "l_discount", "l_returnflag", "l_linestatus"), tasks)
+    # Not spread first: the join by order deals the lines out anyway, before their fields are made.
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+               "l_quantity", "l_discount", "l_returnflag", "l_linestatus")
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
@@ -55,15 +54,14 @@ def event_line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, n_pages = _page_urls(spark, sf_dir)
 
     # What hangs on an order is joined to the orders, what hangs on a line to the lines while they are narrow:
-    # no line is shuffled with a customer's or a page's text but in the last join.
+    # no line is shuffled with a customer's or a page's text but in the last join. Nations (broadcast) come after it.
     by_order = (orders.join(cust, F.col("o_custkey") == cust.c_custkey)
-                .join(cn, F.col("c_nationkey") == cn.cn_key)
                 .withColumn("_page", F.pmod(F.col("o_orderkey"), n_pages))
                 .join(pages, F.col("_page") == pages.page_id, "left"))
     by_line = (li.join(part, F.col("l_partkey") == part.p_partkey)
-               .join(supp, F.col("l_suppkey") == supp.s_suppkey)
-               .join(sn, F.col("s_nationkey") == sn.sn_key))
-    j = by_line.join(by_order, F.col("l_orderkey") == F.col("o_orderkey"))
+               .join(supp, F.col("l_suppkey") == supp.s_suppkey))
+    j = (by_line.join(by_order, F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(cn, F.col("c_nationkey") == cn.cn_key).join(sn, F.col("s_nationkey") == sn.sn_key))
 
     ln = F.col("l_linenumber")
     day = F.date_format("o_orderdate", "yyyyMMdd")
@@ -110,10 +108,8 @@ def _location(key: Column, name: Column) -> Column:
 
 def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFrame:
     """Knowledge-graph lines (column ``value``): one per order, plus a header line."""
-    tasks = spark.sparkContext.defaultParallelism
-    li = spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), tasks)
-    orders = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                          "o_totalprice", "o_orderpriority"), tasks)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     part = table(spark, sf_dir, "part", "p_partkey", "p_type")
@@ -123,8 +119,8 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     # Per order: bounded by the order's line count. The lines move to their order as rows; collected first, they would move as arrays.
     per_order = (li.join(part, li.l_partkey == part.p_partkey)
                  .join(supp, li.l_suppkey == supp.s_suppkey)
+                 .select("l_orderkey", "l_linenumber", "p_type", "s_name", "s_nationkey").repartition("l_orderkey")
                  .join(nation, F.col("s_nationkey") == nation.n_nationkey)
-                 .select("l_orderkey", "l_linenumber", "p_type", "s_name", "s_nationkey", "n_name").repartition("l_orderkey")
                  .groupBy("l_orderkey")
                  .agg(F.count(F.lit(1)).alias("n_lines"),
                       F.array_sort(F.collect_set("p_type")).alias("themes"),
@@ -134,12 +130,12 @@ def graph_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     u1 = pages.select(F.col("page_id").alias("u1_id"), F.col("url").alias("url1"))
     u2 = pages.select(F.col("page_id").alias("u2_id"), F.col("url").alias("url2"))
     j = (orders.join(cust, F.col("o_custkey") == cust.c_custkey)
-         .join(nation, F.col("c_nationkey") == nation.n_nationkey)
          .withColumn("_p1", F.pmod(F.col("o_orderkey"), n_pages))
          .withColumn("_p2", F.pmod(F.col("o_orderkey") + 1, n_pages))
          .join(u1, F.col("_p1") == u1.u1_id, "left")
          .join(u2, F.col("_p2") == u2.u2_id, "left")
-         .join(per_order, F.col("o_orderkey") == per_order.l_orderkey, "left"))     # last: the arrays are not moved again
+         .join(per_order, F.col("o_orderkey") == per_order.l_orderkey, "left")     # last: the arrays are not moved again
+         .join(nation, F.col("c_nationkey") == nation.n_nationkey))
     n_lines = F.coalesce(F.col("n_lines"), F.lit(0))
     themes = F.coalesce(F.col("themes"), F.array().cast("array<string>"))
     locs = F.concat(F.array(_location(F.col("c_nationkey"), F.col("n_name"))),

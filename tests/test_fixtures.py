@@ -35,3 +35,14 @@ def test_feed_files_are_gzipped_and_bounded(spark, tmp_path, monkeypatch):
         else:
             assert [(f[1], f[3], f[6], f[8], f[10]) for f in fields[:3]] == [
                 ("3", "t1;t2;", "s one;s two", "9,10,10,x", "u1<UDIV>u2"), ("2", "t1;", "s two", "17,17,x", "u2<UDIV>u0"), ("0", "", "", "x", "u0<UDIV>u1")]
+
+
+def test_lines_are_dealt_out_once_and_without_nations(spark, tmp_path):
+    """Nothing is spread before the joins, and a nation's name is looked up after the last shuffle."""
+    small_tables(spark, tmp_path)
+    for build, deal in ((fixtures.event_lines, "Join Inner, (l_orderkey#"), (fixtures.graph_lines, "RepartitionByExpression [l_orderkey#")):
+        plan = build(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        nations = [i for i, x in enumerate(plan) if "strategy=broadcast" in x]
+        dealt = [i for i, x in enumerate(plan) if deal in x]
+        assert len(nations) == 2 and len(dealt) == 1 and max(nations) < dealt[0]
+        assert not any("Repartition " in x for x in plan)
