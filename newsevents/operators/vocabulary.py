@@ -55,14 +55,15 @@ def encode(analyzed: DataFrame, vocabulary: DataFrame, terms: str = "terms", out
             word = words.indices.fill_null(len(names_ids) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
             ids = names_ids[word]
             ids, rare, ends = _numbered(ids, (ids < 0) & (word < len(names_ids) - 1), word, off)
-            coded = pa.ListArray.from_arrays(off, pa.array(ids), mask=mask)
-            yield pa.RecordBatch.from_arrays([*b.columns, coded, pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(rare)))], [*b.schema.names, "_ids", "_rare"])
+            coded = pa.ListArray.from_arrays(off, pa.array(ids.astype(np.int32)), mask=mask)
+            # The terms themselves go no further.
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], coded, pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(rare)))], [*b.schema.names[:-1], "_ids", "_rare"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in plain.schema.fields[:-1])
     # Written: a row's number must not change between its two uses.
-    coded = cut_lineage(plain.mapInArrow(run, f"{fields}, _ids array<long>, _rare array<string>").withColumn("_r", F.monotonically_increasing_id()), "coded")
+    coded = cut_lineage(plain.mapInArrow(run, f"{fields}_ids array<int>, _rare array<string>").withColumn("_r", F.monotonically_increasing_id()), "coded")
     found = _found(coded, vocabulary.where(F.col("id") >= hot).select(F.col("term").alias("_key"), F.col("id").alias("_v")))
-    filled = F.transform("_ids", lambda i: F.when(i >= 0, i).otherwise(F.get(F.col("_tail"), (-2 - i).cast("int"))))
+    filled = F.transform("_ids", lambda i: F.when(i >= 0, i.cast("long")).otherwise(F.get(F.col("_tail"), -2 - i)))
     return found.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], filled.alias(out))
 
 
@@ -102,20 +103,30 @@ def decode(encoded: DataFrame, vocabulary: DataFrame, ids: str = "ids", out: str
     plain = encoded.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(names)], F.col(ids).alias("_ids"))
 
     def run(it):
-        words = pa.array(shared.value, pa.string())
         for b in it:
             lists, flat, off, mask = _lists(b)
             ids = flat.fill_null(-1).to_numpy(zero_copy_only=False)
-            known = pa.compute.if_else(pa.compute.less(flat, len(words)), flat, None)
             distinct, word = np.unique(ids, return_inverse=True)
             at, rare, ends = _numbered(ids, ids >= hot, word, off)
-            text = pa.ListArray.from_arrays(off, words.take(known), mask=mask)
-            place = pa.ListArray.from_arrays(off, pa.array(at), mask=mask)
-            yield pa.RecordBatch.from_arrays([*b.columns, text, place, pa.ListArray.from_arrays(ends, pa.array(distinct[rare], pa.int64()))],
-                                             [*b.schema.names, "_text", "_at_rare", "_rare"])
+            # Hot ids and places of rare words, 4 bytes each; the words are put in where both have met.
+            at = pa.ListArray.from_arrays(off, pa.array(at.astype(np.int32)), mask=mask)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], at, pa.ListArray.from_arrays(ends, pa.array(distinct[rare], pa.int64()))], [*b.schema.names[:-1], "_at_rare", "_rare"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
-    coded = cut_lineage(plain.mapInArrow(run, f"{fields}, _text array<string>, _at_rare array<long>, _rare array<long>").withColumn("_r", F.monotonically_increasing_id()), "decoded")
+    def fill(it):
+        words = pa.array(shared.value, pa.string())
+        for b in it:
+            tail = b.column(b.num_columns - 2)
+            size = pa.compute.fill_null(pa.compute.list_value_length(tail), 0).to_numpy()
+            _, flat, off, mask = _lists(b)
+            at = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), np.diff(off.to_numpy()))
+            rest = len(words) + (np.cumsum(size) - size)[row] - 2 - at
+            place = pa.array(np.where(at >= 0, at, rest), mask=(at == -1) | (at >= len(words)))
+            text = pa.concat_arrays([words, tail.flatten()]).take(place)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.ListArray.from_arrays(off, text, mask=mask)], [*b.schema.names[:-2], "_text"])
+
+    own = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in plain.schema.fields[:-1])
+    coded = cut_lineage(plain.mapInArrow(run, f"{own}_at_rare array<int>, _rare array<long>").withColumn("_r", F.monotonically_increasing_id()), "decoded")
     found = _found(coded, vocabulary.where(F.col("id") >= hot).select(F.col("id").alias("_key"), F.col(value).alias("_v")))
-    filled = F.zip_with("_at_rare", "_text", lambda i, t: F.when(i <= -2, F.get(F.col("_tail"), (-2 - i).cast("int"))).otherwise(t))
-    return found.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], filled.alias(out))
+    text = found.select(*plain.columns[:-1], "_tail", "_at_rare").mapInArrow(fill, f"{own}_text array<string>")
+    return text.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], F.col("_text").alias(out))

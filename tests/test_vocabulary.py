@@ -58,3 +58,20 @@ def test_a_batch_of_lists_is_stemmed(spark):
     df = spark.createDataFrame(rows, "id int, t array<string>").coalesce(1)
     got = {r.id: r.s for r in df.select("id", stem_terms(df.t).alias("s")).collect()}
     assert got == {1: ["poni", "poni", "run"], 2: None, 3: [], 4: ["poni", None]}
+
+
+def test_written_tables_hold_numbers_of_documents_only(spark, monkeypatch):
+    """Neither the terms that were coded nor the ids and hot words that were decoded are written again or shuffled."""
+    from newsevents.operators import vocabulary as module
+    kept, cut = {}, module.cut_lineage
+    def noted(df, name):
+        kept[name] = dict(df.dtypes)
+        return cut(df, name)
+    monkeypatch.setattr(module, "cut_lineage", noted)
+    docs = some_docs(spark, [(i, ["the", f"rare{i}", None, "the", f"rare{i}"], "a", "b", i) for i in range(6)])
+    vocabulary = build_vocabulary(docs)
+    ids = encode(docs, vocabulary, hot=1)
+    assert {r.doc_id: r.terms for r in decode(ids, vocabulary, hot=1).collect()} == {i: ["the", f"rare{i}", None, "the", f"rare{i}"] for i in range(6)}
+    assert dict(ids.dtypes)["ids"] == "array<bigint>"
+    assert [t for t in kept["coded"].values() if t.startswith("array")] == ["array<int>", "array<string>"]
+    assert [t for t in kept["decoded"].values() if t.startswith("array")] == ["array<int>", "array<bigint>"]
