@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsevents.session import list_files, publish_once, shared_root
+from newsevents.session import list_files, publish_once, shared_root, shuffles_cleaned
 from newsevents.schema import EVENT_WIDTH
 from newsevents.sources.tables import table
 
@@ -167,7 +167,8 @@ FILE_LINES = 100_000
 
 def write_lines(lines: DataFrame, path: str) -> None:
     """Feed lines as gzipped text files of at most ``FILE_LINES``, as daily files come."""
-    lines.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(path)
+    with shuffles_cleaned(lines.sparkSession):
+        lines.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(path)
 
 
 # Bump when the line layout changes: published feeds are keyed by it.

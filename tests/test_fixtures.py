@@ -46,3 +46,17 @@ def test_lines_are_dealt_out_once_and_without_nations(spark, tmp_path):
         dealt = [i for i, x in enumerate(plan) if deal in x]
         assert len(nations) == 2 and len(dealt) == 1 and max(nations) < dealt[0]
         assert not any("Repartition " in x for x in plan)
+
+
+def test_shuffles_of_a_written_feed_are_cleaned(spark, tmp_path, monkeypatch):
+    from newsevents import session
+    from newsevents.sources import fixtures
+    seen = []
+    class Lines:
+        sparkSession = spark
+        write = property(lambda self: self)
+        def mode(self, x): return self
+        def option(self, *x): return self
+        def text(self, path): seen.append(spark.conf.get(session.CLEAN_UP))
+    fixtures.write_lines(Lines(), str(tmp_path / "x"))
+    assert seen == ["true"] and spark.conf.get(session.CLEAN_UP, "false") == "false"
